@@ -9,6 +9,7 @@ by the raw table's watermark at the start of the run.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -103,9 +104,22 @@ def _merge_model(store: TableStore, name: str, increment: DataFrame, keys: list[
     return store.write(merged, CORE, name, watermark_col=watermark_col, watermark=watermark)
 
 
+def _run_wave(jobs: dict, done, parallel: int) -> None:
+    """Run independent model builds; Spark schedules their jobs side by side
+    (one driver thread per model, as a model runner's threads would)."""
+    if parallel <= 1:
+        for name, fn in jobs.items():
+            done(name, fn())
+        return
+    with ThreadPoolExecutor(max_workers=min(parallel, len(jobs))) as pool:
+        futures = {name: pool.submit(fn) for name, fn in jobs.items()}
+        for name, fut in futures.items():
+            done(name, fut.result())
+
+
 def run_models(spark: SparkSession, store: TableStore, load_ts: str,
                date_range: tuple[str, str] = (DATE_START, DATE_END),
-               with_reports: bool = False) -> Star:
+               with_reports: bool = False, parallel: int = 8) -> Star:
     """Build or advance every core model from the raw table."""
     raw = store.read(RAW, RAW_TABLE)
     if raw is None:
@@ -122,43 +136,60 @@ def run_models(spark: SparkSession, store: TableStore, load_ts: str,
         star.rows[name] = store.rows(CORE, name)
         return df
 
-    # Generated and seed tables: full refresh.
-    done("dim_date", store.write(dim_date(spark, load_ts, *date_range), CORE, "dim_date"))
-    done("dim_time", store.write(dim_time(spark, load_ts), CORE, "dim_time"))
-    done("dim_mocode", store.write(dim_mocode(mocodes, load_ts), CORE, "dim_mocode"))
-    done("dim_area", store.write(code_dim(stg, CODE_DIMS["dim_area"], load_ts), CORE, "dim_area"))
-
-    # Code dimensions: increment since the stored max(source_dlu), then merge.
-    for name in ("dim_status", "dim_premise", "dim_weapon", "dim_crime_code"):
+    def code_model(name: str) -> DataFrame:
         spec = CODE_DIMS[name]
-        wm = store.watermark(CORE, name)
-        inc = code_dim(stg, spec, load_ts, wm)
-        done(name, _merge_model(store, name, inc, [spec.unique_key], list(spec.update_cols),
-                                watermark_col="source_dlu"))
-    wm = store.watermark(CORE, "dim_victim")
-    done("dim_victim", _merge_model(store, "dim_victim", dim_victim(stg, descent, load_ts, wm),
-                                    ["id"], ["age", "sex", "descent", "source_dlu", "dlu"],
-                                    watermark_col="source_dlu"))
-
-    # Location snapshot over all staged places.
-    current = store.read(CORE, "dim_location")
-    done("dim_location", store.write(dim_location(stg, load_ts, current), CORE, "dim_location"))
-
-    # Bridges and fact: rows with wm < dl_upd <= upto; doe survives the merge.
-    wm = store.watermark(CORE, "bridge_crime_code")
-    inc = bridge_crime_code(stg, dims["dim_crime_code"], load_ts, wm,
-                            star.rows["dim_crime_code"], upto)
-    done("bridge_crime_code", _merge_model(store, "bridge_crime_code", inc,
-                                           ["dr_no", "crime_code_dim_id"], ["dlu"], watermark=upto))
-    wm = store.watermark(CORE, "bridge_mocode")
-    inc = bridge_mocode(stg, dims["dim_mocode"], load_ts, wm, star.rows["dim_mocode"], upto)
-    done("bridge_mocode", _merge_model(store, "bridge_mocode", inc, ["dr_no", "mocode_dim_id"],
-                                       ["dlu"], watermark=upto))
-    wm = store.watermark(CORE, "fct_incidents")
-    inc = fct_incidents(stg, dims, descent, load_ts, star.rows, wm, upto)
-    done("fct_incidents", _merge_model(store, "fct_incidents", inc, ["dr_no"],
-                                       [c for c in FACT_COLUMNS if c not in ("dr_no", "doe")],
-                                       watermark=upto))
+        if not spec.incremental:
+            return store.write(code_dim(stg, spec, load_ts), CORE, name)
+        inc = code_dim(stg, spec, load_ts, store.watermark(CORE, name))
+        return _merge_model(store, name, inc, [spec.unique_key], list(spec.update_cols),
+                            watermark_col="source_dlu")
+
+    def victim_model() -> DataFrame:
+        inc = dim_victim(stg, descent, load_ts, store.watermark(CORE, "dim_victim"))
+        return _merge_model(store, "dim_victim", inc, ["id"],
+                            ["age", "sex", "descent", "source_dlu", "dlu"], watermark_col="source_dlu")
+
+    def location_model() -> DataFrame:
+        return store.write(dim_location(stg, load_ts, store.read(CORE, "dim_location")),
+                           CORE, "dim_location")
+
+    # Wave 1: every dimension (independent of each other). Generated and seed
+    # tables are full refreshes, code dimensions merge an increment since their
+    # stored max(source_dlu), locations are snapshotted over all staged places.
+    wave1 = {
+        "dim_date": lambda: store.write(dim_date(spark, load_ts, *date_range), CORE, "dim_date"),
+        "dim_time": lambda: store.write(dim_time(spark, load_ts), CORE, "dim_time"),
+        "dim_mocode": lambda: store.write(dim_mocode(mocodes, load_ts), CORE, "dim_mocode"),
+        "dim_victim": victim_model,
+        "dim_location": location_model,
+    }
+    for name in ("dim_area", "dim_status", "dim_premise", "dim_weapon", "dim_crime_code"):
+        wave1[name] = (lambda n: (lambda: code_model(n)))(name)
+    _run_wave(wave1, done, parallel)
+
+    # Wave 2: bridges and fact over rows with wm < dl_upd <= upto; the merge
+    # keeps an existing doe (first seen) and refreshes dlu.
+    def crime_bridge() -> DataFrame:
+        inc = bridge_crime_code(stg, dims["dim_crime_code"], load_ts,
+                                store.watermark(CORE, "bridge_crime_code"),
+                                star.rows["dim_crime_code"], upto)
+        return _merge_model(store, "bridge_crime_code", inc, ["dr_no", "crime_code_dim_id"],
+                            ["dlu"], watermark=upto)
+
+    def mo_bridge() -> DataFrame:
+        inc = bridge_mocode(stg, dims["dim_mocode"], load_ts, store.watermark(CORE, "bridge_mocode"),
+                            star.rows["dim_mocode"], upto)
+        return _merge_model(store, "bridge_mocode", inc, ["dr_no", "mocode_dim_id"], ["dlu"],
+                            watermark=upto)
+
+    def fact() -> DataFrame:
+        inc = fct_incidents(stg, dims, descent, load_ts, star.rows,
+                            store.watermark(CORE, "fct_incidents"), upto)
+        return _merge_model(store, "fct_incidents", inc, ["dr_no"],
+                            [c for c in FACT_COLUMNS if c not in ("dr_no", "doe")], watermark=upto)
+
+    _run_wave({"bridge_crime_code": crime_bridge, "bridge_mocode": mo_bridge,
+               "fct_incidents": fact}, done, parallel)
     if with_reports:
         for name in REPORTS:
             store.write(star.report(name), REPORTING, name)

@@ -227,4 +227,96 @@ def queries() -> dict:
     }
     for r in P.REPORTS:
         q[r] = _report(r)
+    q.update(CHECK_QUERIES)
     return q
+
+
+# -- data checks -----------------------------------------------------------------
+
+from blotter.checks import monitors as M  # noqa: E402
+from blotter.checks import rules as C  # noqa: E402
+
+# The checks each registered query runs.
+NOT_NULL_COLS = ["dr_no", "date_rptd", "date_occ", "time_occ", "area", "vict_age", "vict_sex",
+                 "vict_descent", "premis_cd", "weapon_used_cd", "mocodes", "cross_street", "lat", "lon"]
+UNIQUE_CHECKS = [("raw_incidents", "dr_no"), ("orders", "o_orderkey"), ("lineitem", "l_orderkey"),
+                 ("customer", "c_custkey"), ("customer", "c_nationkey")]
+REGEX_CHECKS = {"dr_no": r"^\d+$", "mocodes": r"^\d{4}( \d{4})*$", "lat": r"^-?\d+\.\d+$"}
+RELATIONSHIPS = [("lineitem", "l_orderkey", "orders", "o_orderkey"),
+                 ("lineitem", "l_partkey", "part", "p_partkey"),
+                 ("lineitem", "l_suppkey", "supplier", "s_suppkey"),
+                 ("orders", "o_custkey", "customer", "c_custkey"),
+                 ("customer", "c_nationkey", "nation", "n_nationkey"),
+                 ("events", "user_id", "customer", "c_custkey")]
+FACT_FKS = [("date_occ_id", "dim_date"), ("date_rptd_id", "dim_date"), ("time_occ_id", "dim_time"),
+            ("victims_id", "dim_victim"), ("weapons_id", "dim_weapon"), ("status_dim_id", "dim_status"),
+            ("area_dim_id", "dim_area"), ("premis_dim_id", "dim_premise"),
+            ("location_dim_id", "dim_location")]
+FRESHNESS_NOW = "2024-02-01 12:00:00"
+
+
+def _source(spark, sf_dir, name):
+    return incident_fixture(spark, sf_dir) if name == "raw_incidents" else read_table(spark, sf_dir, name)
+
+
+def q_check_not_null(spark, sf_dir):
+    return C.check_not_null(incident_fixture(spark, sf_dir), "raw_incidents", NOT_NULL_COLS)
+
+
+def q_check_unique(spark, sf_dir):
+    by_table: dict[str, list[str]] = {}
+    for t, c in UNIQUE_CHECKS:
+        by_table.setdefault(t, []).append(c)
+    return C.union_all([C.check_unique(_source(spark, sf_dir, t), t, cols) for t, cols in by_table.items()])
+
+
+def q_check_regex(spark, sf_dir):
+    return C.check_columns(incident_fixture(spark, sf_dir), "raw_incidents", regex=REGEX_CHECKS)
+
+
+def q_check_relationship_lineitem_orders(spark, sf_dir):
+    return C.union_all([C.check_relationship(read_table(spark, sf_dir, ct), fk,
+                                             read_table(spark, sf_dir, pt), pk, ct, pt)
+                        for ct, fk, pt, pk in RELATIONSHIPS])
+
+
+def q_check_relationship_fact_dims(spark, sf_dir):
+    star = full_star(spark, sf_dir)
+    fact = star.table("fct_incidents")
+    return C.union_all([C.check_relationship(fact, fk, star.table(dim), "id", "fct_incidents", dim)
+                        for fk, dim in FACT_FKS])
+
+
+def q_check_summary(spark, sf_dir):
+    return C.summarise_checks(C.union_all([
+        q_check_not_null(spark, sf_dir), q_check_unique(spark, sf_dir), q_check_regex(spark, sf_dir)]))
+
+
+def q_source_freshness(spark, sf_dir):
+    return M.source_freshness(incident_fixture(spark, sf_dir), "dl_upd", FRESHNESS_NOW)
+
+
+def q_volume_anomalies_daily(spark, sf_dir):
+    return M.volume_anomalies(read_table(spark, sf_dir, "events"), "ts")
+
+
+def q_freshness_anomalies_daily(spark, sf_dir):
+    return M.freshness_anomalies(read_table(spark, sf_dir, "events"), "ts")
+
+
+def q_column_anomalies_value(spark, sf_dir):
+    return M.column_anomalies(read_table(spark, sf_dir, "events"), "value", "ts")
+
+
+CHECK_QUERIES = {
+    "check_not_null": q_check_not_null,
+    "check_unique": q_check_unique,
+    "check_regex": q_check_regex,
+    "check_relationship_lineitem_orders": q_check_relationship_lineitem_orders,
+    "check_relationship_fact_dims": q_check_relationship_fact_dims,
+    "check_summary": q_check_summary,
+    "source_freshness": q_source_freshness,
+    "volume_anomalies_daily": q_volume_anomalies_daily,
+    "freshness_anomalies_daily": q_freshness_anomalies_daily,
+    "column_anomalies_value": q_column_anomalies_value,
+}

@@ -306,4 +306,97 @@ FROM stg s LEFT JOIN dim_area a ON s.area = a.code GROUP BY 1, 2, 3, 4"""
     ]
     q["pipeline_row_counts"] = with_(*BASE, VICTIM_DIM, LOCATION_DIM, CODES, MO) + "\nUNION ALL\n".join(
         f"SELECT '{n}' AS table_name, CAST(({s}) AS BIGINT) AS row_count" for n, s in counts)
+    q.update(check_oracles())
+    return q
+
+
+def _check_row(check: str, table: str, column: str, failures_sql: str) -> str:
+    return (f"SELECT '{check}' AS \"check\", '{table}' AS \"table\", '{column}' AS \"column\", "
+            f"CAST(coalesce(({failures_sql}), 0) AS BIGINT) AS failures, "
+            f"coalesce(({failures_sql}), 0) = 0 AS passed")
+
+
+def check_oracles() -> dict[str, str]:
+    from blotter.plans.queries import (FACT_FKS, FRESHNESS_NOW, NOT_NULL_COLS, REGEX_CHECKS,
+                                       RELATIONSHIPS, UNIQUE_CHECKS)
+    q: dict[str, str] = {}
+    nn = [_check_row("not_null", "raw_incidents", c,
+                     f"SELECT sum(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) FROM raw")
+          for c in NOT_NULL_COLS]
+    un = [_check_row("unique", t, c,
+                     f"SELECT count(*) FROM (SELECT {c} FROM {'raw' if t == 'raw_incidents' else t} "
+                     f"WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1)")
+          for t, c in UNIQUE_CHECKS]
+    rx = [_check_row("regex", "raw_incidents", c,
+                     f"SELECT sum(CASE WHEN {c} IS NOT NULL AND NOT regexp_matches({c}, '{p}') "
+                     f"THEN 1 ELSE 0 END) FROM raw") for c, p in REGEX_CHECKS.items()]
+    q["check_not_null"] = with_(RAW) + "\nUNION ALL\n".join(nn)
+    q["check_unique"] = with_(RAW) + "\nUNION ALL\n".join(un)
+    q["check_regex"] = with_(RAW) + "\nUNION ALL\n".join(rx)
+    q["check_summary"] = with_(RAW, "checks AS (" + "\nUNION ALL\n".join(nn + un + rx) + ")") + """
+SELECT "table", count(*) AS checks, CAST(sum(CASE WHEN passed THEN 1 ELSE 0 END) AS BIGINT) AS passed_checks,
+       CAST(sum(CASE WHEN passed THEN 0 ELSE 1 END) AS BIGINT) AS failed_checks,
+       CAST(sum(failures) AS BIGINT) AS failures
+FROM checks GROUP BY 1"""
+    q["check_relationship_lineitem_orders"] = "\nUNION ALL\n".join(
+        _check_row(f"relationship:{pt}.{pk}", ct, fk,
+                   f"SELECT count(*) FROM {ct} c WHERE c.{fk} IS NOT NULL AND NOT EXISTS "
+                   f"(SELECT 1 FROM {pt} p WHERE p.{pk} = c.{fk})")
+        for ct, fk, pt, pk in RELATIONSHIPS)
+    dim_ids = {
+        "dim_date": f"SELECT {md5_key('CAST(g.d AS DATE)')} AS id FROM generate_series("
+                    f"CAST({DATE_LO} AS TIMESTAMP), CAST({DATE_HI} AS TIMESTAMP) - INTERVAL 1 DAY, "
+                    "INTERVAL 1 DAY) AS g(d)",
+        "dim_time": f"SELECT {md5_key('h.range', 'm.range')} AS id FROM range(24) h, range(60) m",
+    }
+    ctes = [f"fact AS ({fact_sql()})"] + [f"ids_{k} AS ({v})" for k, v in dim_ids.items()]
+    for d in ("dim_victim", "dim_weapon", "dim_status", "dim_area", "dim_premise", "dim_location"):
+        ctes.append(f"ids_{d} AS (SELECT id FROM {d})")
+    q["check_relationship_fact_dims"] = with_(*BASE, VICTIM_DIM, LOCATION_DIM, *ctes) + "\nUNION ALL\n".join(
+        _check_row(f"relationship:{d}.id", "fct_incidents", fk,
+                   f"SELECT count(*) FROM fact f WHERE f.{fk} IS NOT NULL AND NOT EXISTS "
+                   f"(SELECT 1 FROM ids_{d} p WHERE p.id = f.{fk})")
+        for fk, d in FACT_FKS)
+    q["source_freshness"] = with_(RAW) + f"""
+SELECT max_loaded_at, age_hours,
+  CASE WHEN max_loaded_at IS NULL THEN 'error' WHEN age_hours > 48 THEN 'error'
+       WHEN age_hours > 24 THEN 'warn' ELSE 'pass' END AS status
+FROM (SELECT max(dl_upd) AS max_loaded_at,
+             date_diff('second', max(dl_upd), TIMESTAMP '{FRESHNESS_NOW}') / 3600.0 AS age_hours FROM raw)"""
+    zs = """
+SELECT *, CASE WHEN train_n < 2 THEN false WHEN train_stddev_raw > 0 THEN abs(z_raw) > 3.0
+               ELSE value <> train_mean_raw END AS is_anomaly,
+       round(z_raw, 4) AS z_score, round(train_mean_raw, 4) AS train_mean,
+       round(train_stddev_raw, 4) AS train_stddev
+FROM (SELECT *, CASE WHEN train_n >= 2 AND train_stddev_raw > 0
+                     THEN (value - train_mean_raw) / train_stddev_raw END AS z_raw
+      FROM (SELECT {cols}, count(value) OVER w AS train_n, avg(value) OVER w AS train_mean_raw,
+                   stddev_samp(value) OVER w AS train_stddev_raw
+            FROM series WINDOW w AS ({part} ORDER BY bucket ROWS BETWEEN 14 PRECEDING AND 1 PRECEDING)))"""
+
+    def z_sql(series: str, cols: str = "bucket, value", part: str = "") -> str:
+        body = zs.format(cols=cols, part=part)
+        return f"WITH series AS ({series})\nSELECT * EXCLUDE (z_raw, train_mean_raw, train_stddev_raw) FROM ({body})"
+
+    q["volume_anomalies_daily"] = z_sql("""
+SELECT CAST(g.d AS DATE) AS bucket, CAST(coalesce(c.n, 0) AS BIGINT) AS value
+FROM generate_series((SELECT CAST(min(ts) AS DATE) FROM events), (SELECT CAST(max(ts) AS DATE) FROM events),
+                     INTERVAL 1 DAY) AS g(d)
+LEFT JOIN (SELECT CAST(ts AS DATE) AS b, count(*) AS n FROM events GROUP BY 1) c ON c.b = CAST(g.d AS DATE)""")
+    q["freshness_anomalies_daily"] = z_sql("""
+SELECT CAST(ts AS DATE) AS bucket, max(gap) AS value FROM (
+  SELECT ts, (epoch_us(ts) - epoch_us(lag(ts) OVER (ORDER BY ts))) / 1e6 AS gap
+  FROM (SELECT DISTINCT ts FROM events WHERE ts IS NOT NULL))
+WHERE gap IS NOT NULL GROUP BY 1""")
+    metrics = {
+        "null_count": "CAST(sum(CASE WHEN value IS NULL THEN 1 ELSE 0 END) AS DOUBLE)",
+        "null_percent": "CAST(sum(CASE WHEN value IS NULL THEN 1 ELSE 0 END) * 100.0 / count(*) AS DOUBLE)",
+        "min": "min(value)", "max": "max(value)", "average": "avg(value)",
+        "standard_deviation": "stddev_samp(value)",
+        "zero_count": "CAST(sum(CASE WHEN value = 0 THEN 1 ELSE 0 END) AS DOUBLE)",
+    }
+    per_metric = "\nUNION ALL\n".join(
+        f"SELECT CAST(ts AS DATE) AS bucket, '{m}' AS metric, round(CAST({e} AS DOUBLE), 6) AS value "
+        f"FROM events GROUP BY 1" for m, e in metrics.items())
+    q["column_anomalies_value"] = z_sql(per_metric, "bucket, metric, value", "PARTITION BY metric")
     return q
