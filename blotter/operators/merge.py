@@ -71,7 +71,8 @@ def merge_upsert(target: DataFrame | None, source: DataFrame, keys: list[str],
                  with_action: bool = False,
                  check_unique: bool = True,
                  source_rows: int | None = None,
-                 broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                 broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                 insert_partitioning: tuple[int, list[str]] | None = None) -> DataFrame:
     """MERGE ``source`` into ``target`` on ``keys`` and return the new table.
 
     * matched and changed -> ``update_cols`` (default: every non-key column) come
@@ -89,6 +90,12 @@ def merge_upsert(target: DataFrame | None, source: DataFrame, keys: list[str],
     ``broadcast_rows``) the target is never shuffled: it is streamed once past a
     broadcast of the source, and new keys are found by a key-only semi join.
     Otherwise one full outer sort-merge join on the keys.
+
+    When the target is a bucketed table, pass ``(bucket count, bucket
+    columns)`` as ``insert_partitioning``: on the broadcast path the rewritten
+    target rows stay in their bucket's task (the broadcast join streams the
+    bucketed scan) and new rows are hash-partitioned the same way, so the
+    result can be written bucketed without reshuffling the target.
     """
     cols = source.columns
     update_cols = [c for c in (update_cols if update_cols is not None else cols) if c not in keys]
@@ -104,10 +111,13 @@ def merge_upsert(target: DataFrame | None, source: DataFrame, keys: list[str],
     s = source.select(*[F.col(c).alias(f"s__{c}") for c in cols], F.lit(True).alias("s__hit"))
     on = reduce(lambda a, b: a & b, [F.col(f"t__{k}") == F.col(f"s__{k}") for k in keys])
 
-    if n_src <= broadcast_rows:
+    if broadcast_merge(n_src, broadcast_rows):
         rewritten = t.join(F.broadcast(s), on, "left")
         hits = (target.select(*keys).join(F.broadcast(source.select(*keys)), keys, "left_semi"))
         inserts = source.join(F.broadcast(hits), keys, "left_anti")
+        if insert_partitioning:
+            n_buckets, bucket_cols = insert_partitioning
+            inserts = inserts.repartition(n_buckets, *bucket_cols)
         merged = _resolve(rewritten, cols, keys, update_cols, change_cols)
         ins = inserts.select(*cols, F.lit("insert").alias("_action"))
         out = merged.unionByName(ins)
@@ -117,6 +127,11 @@ def merge_upsert(target: DataFrame | None, source: DataFrame, keys: list[str],
     return out if with_action else out.drop("_action")
 
 
+def broadcast_merge(source_rows: int, broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
+    """Whether ``merge_upsert`` takes the broadcast (no target shuffle) path."""
+    return source_rows <= broadcast_rows
+
+
 def _resolve(joined: DataFrame, cols: list[str], keys: list[str],
              update_cols: list[str], change_cols: list[str] | None) -> DataFrame:
     t_hit, s_hit = F.col("t__hit").isNotNull(), F.col("s__hit").isNotNull()

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from blotter.functions.share import grid_bucket, share_of_counts
 from blotter.operators.incremental import ts_literal
-from blotter.operators.joins import bounded_broadcast
+from blotter.operators.joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast
 from blotter.operators.snapshot import current_versions
 
 
@@ -101,10 +101,12 @@ def location_density(fact: DataFrame, bridge: DataFrame, dim_crime_code: DataFra
     """(fact x bridge) rows per grid cell (lat/lon rounded to 3 places), code,
     month, year and part of day, with each count's share of its grid cell.
 
-    The location dimension grows with the data, so the counts are first
-    reduced per location key and only then joined to it (broadcast only when
-    its written row count is within the bound, else a shuffle of the reduced
-    rows)."""
+    The location dimension grows with the data, so the plan depends on its
+    written row count: within the broadcast bound it is joined to the fact
+    first (the fact then carries two grid coordinates instead of a key, and
+    the counts aggregate straight to grid cells); beyond it the counts are
+    first reduced per location key and only the reduced rows are joined to
+    the dimension."""
     d = bounded_broadcast(dim_date.select(F.col("id").alias("__d"), "year",
                                           F.col("month").alias("month_number")),
                           _rows(rows, "dim_date"))
@@ -115,17 +117,24 @@ def location_density(fact: DataFrame, bridge: DataFrame, dim_crime_code: DataFra
          .join(d, F.col("date_occ_id") == F.col("__d"), "inner")
          .join(t, F.col("time_occ_id") == F.col("__t"), "inner")
          .select("dr_no", "location_dim_id", "year", "month_number", "time_of_day"))
-    j = _coded_incidents(f, bridge, dim_crime_code,
-                         ["location_dim_id", "year", "month_number", "time_of_day"], rows)
-    keys = ["crime_code", "year", "month_number", "time_of_day"]
-    per_loc = j.groupBy("location_dim_id", *keys).agg(F.count(F.lit(1)).alias("n"))
     loc = current_versions(dim_location).select(
         F.col("id").alias("location_dim_id"),
         grid_bucket("lat").alias("lat_bucket"), grid_bucket("lon").alias("lon_bucket"))
-    loc = bounded_broadcast(loc, _rows(rows, "dim_location"))
-    cells = (per_loc.join(loc, "location_dim_id", "inner")
-             .groupBy("lat_bucket", "lon_bucket", *keys)
-             .agg(F.sum("n").cast("long").alias("crime_count")))
+    keys = ["crime_code", "year", "month_number", "time_of_day"]
+    loc_rows = _rows(rows, "dim_location")
+    if loc_rows is not None and loc_rows <= DEFAULT_BROADCAST_ROWS:
+        f = (f.join(F.broadcast(loc), "location_dim_id", "inner")
+             .select("dr_no", "lat_bucket", "lon_bucket", "year", "month_number", "time_of_day"))
+        j = _coded_incidents(f, bridge, dim_crime_code,
+                             ["lat_bucket", "lon_bucket", "year", "month_number", "time_of_day"], rows)
+        cells = j.groupBy("lat_bucket", "lon_bucket", *keys).agg(F.count(F.lit(1)).alias("crime_count"))
+    else:
+        j = _coded_incidents(f, bridge, dim_crime_code,
+                             ["location_dim_id", "year", "month_number", "time_of_day"], rows)
+        per_loc = j.groupBy("location_dim_id", *keys).agg(F.count(F.lit(1)).alias("n"))
+        cells = (per_loc.join(bounded_broadcast(loc, loc_rows), "location_dim_id", "inner")
+                 .groupBy("lat_bucket", "lon_bucket", *keys)
+                 .agg(F.sum("n").cast("long").alias("crime_count")))
     labelled = (cells.withColumn("month", _month_name())
                 .join(bounded_broadcast(_crime_labels(dim_crime_code), _rows(rows, "dim_crime_code")),
                       "crime_code", "inner"))

@@ -23,6 +23,9 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Always read bucketed tables bucket by bucket, so a rewrite of a bucketed
+    # table keeps one bucket per task (no reshuffle before the bucketed write).
+    "spark.sql.sources.bucketing.autoBucketedScan.enabled": "false",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -76,7 +79,8 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
 def conform_session(spark: SparkSession) -> None:
     """Apply the settings the models depend on to a session made elsewhere."""
     for k in ("spark.sql.session.timeZone", "spark.sql.ansi.enabled",
-              "spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled"):
+              "spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled",
+              "spark.sql.sources.bucketing.autoBucketedScan.enabled"):
         try:
             spark.conf.set(k, BASE_CONF[k])
         except Exception:  # static setting on a running session

@@ -73,8 +73,16 @@ def fixture_sql(ts_type: str = "TIMESTAMP") -> str:
             "\nJOIN nation ON c_nationkey = n_nationkey")
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin a scan over the cluster's cores only when it arrives in
+    fewer partitions than that (a small single-file table); a large input is
+    returned untouched, so this never adds a shuffle at scale."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def incident_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,9 +92,11 @@ def incident_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     their Parquet size with ``spark.sql.autoBroadcastJoinThreshold`` and only
     broadcasts them while they are small; otherwise it shuffles.
     """
-    events = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "props")
-    customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    path = sf_dir.rstrip("/")
+    events = spread(spark.read.parquet(f"{path}/events.parquet")
+                    .select("event_id", "ts", "user_id", "event_type", "props"))
+    customer = spark.read.parquet(f"{path}/customer.parquet").select("c_custkey", "c_nationkey")
+    nation = spark.read.parquet(f"{path}/nation.parquet").select("n_nationkey", "n_name")
     joined = (events.join(customer, F.col("user_id") == F.col("c_custkey"))
               .join(nation, F.col("c_nationkey") == F.col("n_nationkey")))
     out = joined.selectExpr(*[f"{expr.replace('{ts}', 'TIMESTAMP_NTZ')} AS {name}"

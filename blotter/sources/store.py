@@ -7,12 +7,19 @@ version carries a small ``_meta.json`` (row count, watermark, schema) that the
 write itself measures with an ``Observation``, so checking a table's size
 (for example before a broadcast) costs no scan.
 
+Tables that are joined with each other on a key (the fact and the bridges on
+``dr_no``) are written *bucketed* on it with the same bucket count: the join
+then reads both sides already co-partitioned and needs no exchange. A bucketed
+version is registered in the session catalog as an external table over its
+folder (re-registered from the metadata by any later session).
+
 File-system calls go through Hadoop's ``FileSystem`` so ``root`` may be any
 shared store the cluster can write (HDFS, object stores, a shared mount).
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -23,12 +30,36 @@ META_FILE = "_meta.json"
 
 
 class TableStore:
-    def __init__(self, spark: SparkSession, root: str, keep_versions: int = 2):
+    def __init__(self, spark: SparkSession, root: str, keep_versions: int = 2,
+                 buckets: int | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
         self.keep_versions = keep_versions
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self._jvm = spark.sparkContext._jvm
         self._conf = spark.sparkContext._jsc.hadoopConfiguration()
+        self.database = "blotter_" + hashlib.md5(self.root.encode()).hexdigest()[:12]
+        self._db_ready = False
+
+    # -- catalog (bucketed tables only) ----------------------------------
+    def _ensure_database(self) -> None:
+        if not self._db_ready:
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database} "
+                           f"LOCATION '{self.root}/_catalog'")
+            self._db_ready = True
+
+    def _catalog_name(self, schema: str, name: str, v: int) -> str:
+        return f"{self.database}.{schema}__{name}__v{v:06d}"
+
+    def _register(self, qualified: str, path: str, meta: dict) -> None:
+        if self.spark.catalog.tableExists(qualified):
+            return
+        self._ensure_database()
+        schema = T.StructType.fromJson(json.loads(meta["schema"]))
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        keys = ", ".join(f"`{k}`" for k in meta["bucket_by"])
+        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {qualified} ({cols}) USING parquet "
+                       f"CLUSTERED BY ({keys}) INTO {meta['buckets']} BUCKETS LOCATION '{path}'")
 
     # -- paths -----------------------------------------------------------
     def path(self, schema: str, name: str) -> str:
@@ -98,6 +129,10 @@ class TableStore:
             return None
         path = self._version_path(schema, name, vs[-1])
         m = self.meta(schema, name)
+        if m and m.get("bucket_by"):
+            qualified = self._catalog_name(schema, name, vs[-1])
+            self._register(qualified, path, m)
+            return self.spark.table(qualified)
         reader = self.spark.read
         if m and m.get("schema"):
             reader = reader.schema(T.StructType.fromJson(json.loads(m["schema"])))
@@ -107,7 +142,9 @@ class TableStore:
               watermark_col: str | None = None, watermark=None,
               range_sort: list[str] | None = None,
               sort_within: list[str] | None = None,
-              num_partitions: int | None = None) -> DataFrame:
+              num_partitions: int | None = None,
+              bucket_by: list[str] | None = None,
+              prepartitioned: bool = False) -> DataFrame:
         """Write ``df`` as the next version and return a frame reading it back.
 
         Row count (and ``max(watermark_col)``) are observed during the write.
@@ -129,13 +166,22 @@ class TableStore:
             out = out.repartitionByRange(parts, *range_sort).sortWithinPartitions(*range_sort)
         elif sort_within:
             out = out.sortWithinPartitions(*sort_within)
-        out.write.mode("errorifexists").parquet(path)
+        if bucket_by:
+            self._ensure_database()
+            if not prepartitioned:
+                out = out.repartition(self.buckets, *bucket_by)
+            (out.write.mode("errorifexists").format("parquet")
+             .bucketBy(self.buckets, *bucket_by).option("path", path)
+             .saveAsTable(self._catalog_name(schema, name, nxt)))
+        else:
+            out.write.mode("errorifexists").parquet(path)
         measured = obs.get
         wm = watermark if watermark is not None else measured.get("wm")
         if watermark_col and measured.get("wm") is not None and watermark is not None:
             wm = max(str(watermark), str(measured["wm"]))
         self._write_meta(path, {"rows": int(measured["rows"]), "watermark": wm,
-                                "schema": df.schema.json(), "version": nxt})
+                                "schema": df.schema.json(), "version": nxt,
+                                "bucket_by": bucket_by, "buckets": self.buckets if bucket_by else None})
         self._expire(schema, name)
         return self.read(schema, name)
 
@@ -143,4 +189,7 @@ class TableStore:
         vs = self.versions(schema, name)
         for v in vs[:-self.keep_versions] if self.keep_versions else []:
             p = self._version_path(schema, name, v)
+            qualified = self._catalog_name(schema, name, v)
+            if self._db_ready and self.spark.catalog.tableExists(qualified):
+                self.spark.sql(f"DROP TABLE IF EXISTS {qualified}")
             self._fs(p).delete(self._p(p), True)
