@@ -5,6 +5,9 @@ from __future__ import annotations
 
 import hashlib
 import math
+import os
+
+EXACT = os.environ.get("ORACLE_EXACT") == "1"
 
 import duckdb
 
@@ -26,7 +29,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return repr(round(v, 6))
+        return repr(v) if EXACT else repr(round(v, 6))
     if hasattr(v, "isoformat"):
         return v.isoformat()
     return str(v)
