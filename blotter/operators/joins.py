@@ -4,10 +4,28 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Largest side (rows) that is ever broadcast. Dimension rows are a few hundred
-# bytes, so this stays far below the broadcast memory limit of an executor.
+# Largest side that is ever broadcast: a row bound and a byte bound on the
+# estimated in-memory size (rows x estimated row width), both must hold.
 DEFAULT_BROADCAST_ROWS = 2_000_000
+DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
+
+# Estimated bytes per value by type (strings: a 32-character key).
+_WIDTH = {T.IntegerType: 4, T.LongType: 8, T.DoubleType: 8, T.FloatType: 4, T.DateType: 4,
+          T.TimestampType: 8, T.TimestampNTZType: 8, T.BooleanType: 1, T.ShortType: 2,
+          T.ByteType: 1, T.StringType: 32}
+
+
+def row_width(schema: T.StructType) -> int:
+    """Estimated bytes per row (fixed-size types exactly, strings as 32 bytes,
+    anything nested as 64) plus a per-row overhead."""
+    return 16 + sum(_WIDTH.get(type(f.dataType), 64) for f in schema.fields)
+
+
+def fits_broadcast(rows: int, schema: T.StructType, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                   max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
+    return rows <= max_rows and rows * row_width(schema) <= max_bytes
 
 
 def checked_rows(df: DataFrame, limit: int) -> int:
@@ -17,8 +35,11 @@ def checked_rows(df: DataFrame, limit: int) -> int:
 
 
 def bounded_broadcast(df: DataFrame, rows: int | None = None,
-                      max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` when its row count is at most ``max_rows``.
+                      max_rows: int = DEFAULT_BROADCAST_ROWS,
+                      max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """``broadcast(df)`` when its row count is at most ``max_rows`` and its
+    estimated size (rows x row width of the projected columns) at most
+    ``max_bytes``.
 
     ``rows`` is a count known from the write that produced ``df`` (see
     ``TableStore``); without it the count is checked here. Beyond the bound the
@@ -26,17 +47,4 @@ def bounded_broadcast(df: DataFrame, rows: int | None = None,
     skew-splitting on).
     """
     n = rows if rows is not None else checked_rows(df, max_rows)
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def null_safe_on(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]):
-    """Join condition equating columns with ``<=>`` (null equals null).
-
-    Catalyst still extracts it as an equi-join key, so this is a hash or
-    sort-merge join, never a nested loop.
-    """
-    cond = None
-    for lc, rc in pairs:
-        c = left[lc].eqNullSafe(right[rc])
-        cond = c if cond is None else cond & c
-    return cond
+    return F.broadcast(df) if fits_broadcast(n, df.schema, max_rows, max_bytes) else df

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from blotter.operators.incremental import ts_literal
-from blotter.operators.joins import DEFAULT_BROADCAST_ROWS, checked_rows
+from blotter.operators.joins import DEFAULT_BROADCAST_ROWS, checked_rows, fits_broadcast
 
 
 class DuplicateKeyError(ValueError):
@@ -87,7 +87,7 @@ def merge_upsert(target: DataFrame | None, source: DataFrame, keys: list[str],
     ``insert / update / unchanged / keep``.
 
     Physical plan: when the source is small (row count checked, at most
-    ``broadcast_rows``) the target is never shuffled: it is streamed once past a
+    ``broadcast_rows`` and within the broadcast byte bound) the target is never shuffled: it is streamed once past a
     broadcast of the source, and new keys are found by a key-only semi join.
     Otherwise one full outer sort-merge join on the keys.
 
@@ -111,7 +111,7 @@ def merge_upsert(target: DataFrame | None, source: DataFrame, keys: list[str],
     s = source.select(*[F.col(c).alias(f"s__{c}") for c in cols], F.lit(True).alias("s__hit"))
     on = reduce(lambda a, b: a & b, [F.col(f"t__{k}") == F.col(f"s__{k}") for k in keys])
 
-    if broadcast_merge(n_src, broadcast_rows):
+    if broadcast_merge(n_src, source.schema, broadcast_rows):
         rewritten = t.join(F.broadcast(s), on, "left")
         hits = (target.select(*keys).join(F.broadcast(source.select(*keys)), keys, "left_semi"))
         inserts = source.join(F.broadcast(hits), keys, "left_anti")
@@ -127,9 +127,12 @@ def merge_upsert(target: DataFrame | None, source: DataFrame, keys: list[str],
     return out if with_action else out.drop("_action")
 
 
-def broadcast_merge(source_rows: int, broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """Whether ``merge_upsert`` takes the broadcast (no target shuffle) path."""
-    return source_rows <= broadcast_rows
+def broadcast_merge(source_rows: int, schema: T.StructType,
+                    broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
+    """Whether ``merge_upsert`` takes the broadcast (no target shuffle) path:
+    the source is within the row bound and its estimated size within the
+    byte bound."""
+    return fits_broadcast(source_rows, schema, broadcast_rows)
 
 
 def _resolve(joined: DataFrame, cols: list[str], keys: list[str],
@@ -171,7 +174,7 @@ def carry_first_seen(incoming: DataFrame, target: DataFrame | None, keys: list[s
         return base.withColumn(doe_col, stamp).withColumn(dlu_col, stamp)
     existing = target.select(*keys, F.col(doe_col).alias("__doe"))
     n = checked_rows(incoming, broadcast_rows)
-    if n <= broadcast_rows:
+    if fits_broadcast(n, incoming.select(*keys).schema, broadcast_rows):
         existing = existing.join(F.broadcast(incoming.select(*keys)), keys, "left_semi")
     joined = base.join(existing, keys, "left")
     return (joined.withColumn(doe_col, F.coalesce(F.col("__doe"), stamp))

@@ -112,7 +112,7 @@ def _merge_model(store: TableStore, name: str, increment: DataFrame, keys: list[
     merged = merge_upsert(sync_columns(current, inc), inc, keys, update_cols=update_cols,
                           check_unique=False, source_rows=n,
                           insert_partitioning=(store.buckets, bucket_by) if bucket_by else None)
-    aligned = bool(bucket_by) and broadcast_merge(n)
+    aligned = bool(bucket_by) and broadcast_merge(n, inc.schema)
     return store.write(merged, CORE, name, watermark_col=watermark_col, watermark=watermark,
                        bucket_by=bucket_by, prepartitioned=aligned)
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from blotter.functions.share import grid_bucket, share_of_group
 from blotter.operators.dedupe import latest_by
-from blotter.operators.incremental import high_watermark, since_watermark, ts_literal
+from blotter.operators.incremental import high_watermark, ts_literal
 from blotter.operators.merge import carry_first_seen, merge_upsert, sync_columns
 from blotter.operators.snapshot import snapshot_check
 from blotter.plans import pipeline as P

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from blotter.functions.share import grid_bucket, share_of_counts
 from blotter.operators.incremental import ts_literal
-from blotter.operators.joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast
+from blotter.operators.joins import bounded_broadcast, fits_broadcast
 from blotter.operators.snapshot import current_versions
 
 
@@ -122,7 +122,7 @@ def location_density(fact: DataFrame, bridge: DataFrame, dim_crime_code: DataFra
         grid_bucket("lat").alias("lat_bucket"), grid_bucket("lon").alias("lon_bucket"))
     keys = ["crime_code", "year", "month_number", "time_of_day"]
     loc_rows = _rows(rows, "dim_location")
-    if loc_rows is not None and loc_rows <= DEFAULT_BROADCAST_ROWS:
+    if loc_rows is not None and fits_broadcast(loc_rows, loc.schema):
         f = (f.join(F.broadcast(loc), "location_dim_id", "inner")
              .select("dr_no", "lat_bucket", "lon_bucket", "year", "month_number", "time_of_day"))
         j = _coded_incidents(f, bridge, dim_crime_code,

@@ -19,8 +19,6 @@ LANDING_SCHEMA = T.StructType([T.StructField(c, T.StringType(), True) for c in R
 RAW_SCHEMA = T.StructType(
     list(LANDING_SCHEMA.fields) + [T.StructField("dl_upd", T.TimestampNTZType(), True)])
 
-RAW_KEY = ["dr_no"]
-
 MOCODE_SEED_SCHEMA = T.StructType([
     T.StructField("mocodes", T.IntegerType(), True),
     T.StructField("description", T.StringType(), True),

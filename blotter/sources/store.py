@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -71,7 +72,7 @@ class TableStore:
     def _fs(self, path: str):
         return self._p(path).getFileSystem(self._conf)
 
-    def versions(self, schema: str, name: str) -> list[int]:
+    def _version_dirs(self, schema: str, name: str, committed: bool) -> list[int]:
         base = self.path(schema, name)
         fs = self._fs(base)
         if not fs.exists(self._p(base)):
@@ -80,10 +81,16 @@ class TableStore:
         for st in fs.listStatus(self._p(base)):
             n = st.getPath().getName()
             if st.isDirectory() and n.startswith("v") and n[1:].isdigit():
-                if fs.exists(self._p(f"{base}/{n}/_SUCCESS")):
+                if not committed or (fs.exists(self._p(f"{base}/{n}/_SUCCESS"))
+                                     and fs.exists(self._p(f"{base}/{n}/{META_FILE}"))):
                     out.append(int(n[1:]))
         return sorted(out)
 
+    def versions(self, schema: str, name: str) -> list[int]:
+        """Committed versions: Spark's ``_SUCCESS`` and our metadata both
+        present. A version left half-written by a lost driver stays invisible."""
+        return self._version_dirs(schema, name, committed=True)
+
     def _version_path(self, schema: str, name: str, v: int) -> str:
         return f"{self.path(schema, name)}/v{v:06d}"
 
@@ -153,13 +160,13 @@ class TableStore:
         the output (ordered report files); ``sort_within`` only sorts inside
         each task's output (tighter Parquet min/max statistics, no shuffle).
         """
-        vs = self.versions(schema, name)
-        nxt = (vs[-1] + 1) if vs else 1
+        every = self._version_dirs(schema, name, committed=False)
+        nxt = (every[-1] + 1) if every else 1   # never reuse a half-written folder
         path = self._version_path(schema, name, nxt)
         exprs = [F.count(F.lit(1)).alias("rows")]
         if watermark_col:
             exprs.append(F.max(watermark_col).alias("wm"))
-        obs = Observation(f"w_{schema}_{name}_{nxt}")
+        obs = Observation(f"w_{schema}_{name}_{nxt}_{uuid.uuid4().hex[:8]}")
         out = df.observe(obs, *exprs)
         if range_sort:
             parts = num_partitions or int(self.spark.conf.get("spark.sql.shuffle.partitions"))

@@ -2,9 +2,8 @@ import datetime as dt
 import hashlib
 
 import pytest
-from pyspark.sql import functions as F
 
-from blotter.functions.calendar import date_spine, hhmm_parts, part_of_day
+from blotter.functions.calendar import date_spine, hhmm_parts
 from blotter.functions.codes import code_array, explode_codes, split_int_codes
 from blotter.functions.keys import NULL_TOKEN, double_text, surrogate_key
 from blotter.functions.share import grid_bucket, pct_half_up, share_of_group
