@@ -9,13 +9,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from blotter.operators.incremental import ts_literal
+from blotter.operators.joins import DEFAULT_BROADCAST_ROWS, checked_rows, fits_broadcast
 from blotter.operators.merge import rows_differ
 
 VALID_FROM, VALID_TO = "valid_from", "valid_to"
 
 
 def snapshot_check(current: DataFrame | None, incoming: DataFrame, key: list[str] | str,
-                   check_cols: list[str], load_ts: dt.datetime | str) -> DataFrame:
+                   check_cols: list[str], load_ts: dt.datetime | str,
+                   incoming_rows: int | None = None,
+                   broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Apply one snapshot run.
 
     Per key: unseen -> new open version (``valid_from = load_ts``,
@@ -25,9 +28,12 @@ def snapshot_check(current: DataFrame | None, incoming: DataFrame, key: list[str
     ``incoming`` must hold one row per key. Re-running with the same input is a
     no-op.
 
-    One full outer join of the open versions with ``incoming``; each joined row
-    emits one or two versions through ``explode`` (no second pass). Closed
-    history rows bypass the join.
+    Each compared row emits one or two versions through ``explode`` (no second
+    pass); closed history rows bypass the comparison. A small ``incoming``
+    (row count given or checked, within the broadcast bounds) is broadcast:
+    the open versions stream past it once and unseen keys are found with a
+    key-only semi join, so the snapshot is never shuffled. Otherwise one full
+    outer sort-merge join of the open versions with ``incoming``.
     """
     keys = [key] if isinstance(key, str) else list(key)
     stamp = ts_literal(load_ts)
@@ -42,7 +48,14 @@ def snapshot_check(current: DataFrame | None, incoming: DataFrame, key: list[str
     o = open_v.select(*[F.col(c).alias(f"o__{c}") for c in out_cols], F.lit(True).alias("o__hit"))
     n = incoming.select(*[F.col(c).alias(f"n__{c}") for c in cols], F.lit(True).alias("n__hit"))
     on = reduce(lambda a, b: a & b, [F.col(f"o__{k}") == F.col(f"n__{k}") for k in keys])
-    j = o.join(n, on, "full_outer")
+    n_rows = incoming_rows if incoming_rows is not None else checked_rows(incoming, broadcast_rows)
+    small = fits_broadcast(n_rows, incoming.schema, broadcast_rows)
+    if small:
+        j = o.join(F.broadcast(n), on, "left")
+        seen = open_v.select(*keys).join(F.broadcast(incoming.select(*keys)), keys, "left_semi")
+        unseen = incoming.join(F.broadcast(seen), keys, "left_anti")
+    else:
+        j = o.join(n, on, "full_outer")
 
     o_hit, n_hit = F.col("o__hit").isNotNull(), F.col("n__hit").isNotNull()
     differs = rows_differ([(F.col(f"o__{c}"), F.col(f"n__{c}")) for c in check_cols])
@@ -56,7 +69,11 @@ def snapshot_check(current: DataFrame | None, incoming: DataFrame, key: list[str
                 .when(differs, F.array(old_row, new_row))
                 .otherwise(F.array(old_row)))
     current_rows = j.select(F.explode(versions).alias("v")).select("v.*")
-    return history.unionByName(current_rows)
+    out = history.unionByName(current_rows)
+    if small:
+        out = out.unionByName(unseen.withColumn(VALID_FROM, stamp)
+                              .withColumn(VALID_TO, F.lit(None).cast("timestamp_ntz")))
+    return out
 
 
 def current_versions(snapshot: DataFrame) -> DataFrame:

@@ -18,8 +18,10 @@ from pyspark.sql import functions as F
 from blotter.operators.merge import broadcast_merge, merge_upsert, sync_columns
 from blotter.plans import reports as R
 from blotter.plans.bridges import bridge_crime_code, bridge_mocode
-from blotter.plans.dims import (CODE_DIMS, DATE_END, DATE_START, code_dim, dim_date,
-                                dim_location, dim_mocode, dim_time, dim_victim)
+from blotter.operators.snapshot import snapshot_check
+from blotter.plans.dims import (CODE_DIMS, DATE_END, DATE_START, LOCATION_CHECK_COLS, code_dim,
+                                dim_date, dim_location, dim_mocode, dim_time, dim_victim,
+                                location_incoming)
 from blotter.plans.fact import FACT_COLUMNS, fct_incidents
 from blotter.plans.staging import stg_incidents
 from blotter.sources.seeds import load_seed
@@ -89,12 +91,16 @@ def load_raw(store: TableStore, batch: DataFrame, change_cols: list[str] | None
         change_cols = [c for c in batch.columns if c not in RAW_KEY + ["dl_upd"]]
     if current is not None:
         current = sync_columns(current, landed)
-    merged = merge_upsert(current, landed, RAW_KEY, change_cols=change_cols, source_rows=n)
-    # Sorted by load stamp inside each file: Parquet row-group statistics on
-    # dl_upd then let the models' watermark filters skip everything already
-    # processed.
+    merged = merge_upsert(current, landed, RAW_KEY, change_cols=change_cols, source_rows=n,
+                          insert_partitioning=(store.buckets, RAW_KEY))
+    # Bucketed on the merge key, so neither merge plan ever shuffles the raw
+    # table (the broadcast plan streams it, the full outer plan shuffles only
+    # the batch into the bucket layout). Sorted by load stamp inside each file:
+    # row-group statistics on dl_upd let the watermark filters skip what was
+    # already processed.
     return store.write(merged, RAW, RAW_TABLE, watermark_col="dl_upd",
-                       sort_within=["dl_upd"])
+                       sort_within=["dl_upd"], bucket_by=RAW_KEY,
+                       prepartitioned=current is not None)
 
 
 def _merge_model(store: TableStore, name: str, increment: DataFrame, keys: list[str],
@@ -112,7 +118,9 @@ def _merge_model(store: TableStore, name: str, increment: DataFrame, keys: list[
     merged = merge_upsert(sync_columns(current, inc), inc, keys, update_cols=update_cols,
                           check_unique=False, source_rows=n,
                           insert_partitioning=(store.buckets, bucket_by) if bucket_by else None)
-    aligned = bool(bucket_by) and broadcast_merge(n, inc.schema)
+    # Each task already holds one bucket when the merge streamed the bucketed
+    # target (broadcast plan) or joined it on exactly the bucket columns.
+    aligned = bool(bucket_by) and (broadcast_merge(n, inc.schema) or list(keys) == list(bucket_by))
     return store.write(merged, CORE, name, watermark_col=watermark_col, watermark=watermark,
                        bucket_by=bucket_by, prepartitioned=aligned)
 
@@ -163,8 +171,15 @@ def run_models(spark: SparkSession, store: TableStore, load_ts: str,
                             ["age", "sex", "descent", "source_dlu", "dlu"], watermark_col="source_dlu")
 
     def location_model() -> DataFrame:
-        return store.write(dim_location(stg, load_ts, store.read(CORE, "dim_location")),
-                           CORE, "dim_location")
+        current = store.read(CORE, "dim_location")
+        if current is None:
+            return store.write(dim_location(stg, load_ts), CORE, "dim_location",
+                               watermark_col="source_dlu")
+        wm = store.watermark(CORE, "dim_location")
+        inc = store.write(location_incoming(stg, load_ts, wm), INCREMENTS, "dim_location")
+        snap = snapshot_check(current, inc, "id", LOCATION_CHECK_COLS, load_ts,
+                              incoming_rows=store.rows(INCREMENTS, "dim_location"))
+        return store.write(snap, CORE, "dim_location", watermark_col="source_dlu")
 
     # Wave 1: every dimension (independent of each other). Generated and seed
     # tables are full refreshes, code dimensions merge an increment since their

@@ -168,6 +168,10 @@ class TableStore:
             exprs.append(F.max(watermark_col).alias("wm"))
         obs = Observation(f"w_{schema}_{name}_{nxt}_{uuid.uuid4().hex[:8]}")
         out = df.observe(obs, *exprs)
+        if bucket_by and range_sort:
+            raise ValueError("a bucketed table cannot also be range-partitioned")
+        if bucket_by and not prepartitioned:
+            out = out.repartition(self.buckets, *bucket_by)
         if range_sort:
             parts = num_partitions or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
             out = out.repartitionByRange(parts, *range_sort).sortWithinPartitions(*range_sort)
@@ -175,8 +179,6 @@ class TableStore:
             out = out.sortWithinPartitions(*sort_within)
         if bucket_by:
             self._ensure_database()
-            if not prepartitioned:
-                out = out.repartition(self.buckets, *bucket_by)
             (out.write.mode("errorifexists").format("parquet")
              .bucketBy(self.buckets, *bucket_by).option("path", path)
              .saveAsTable(self._catalog_name(schema, name, nxt)))

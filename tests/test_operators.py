@@ -83,13 +83,14 @@ def test_since_watermark(spark):
     assert high_watermark(None, "ts") is None
 
 
-def test_snapshot_check_history(spark):
+@pytest.mark.parametrize("broadcast_rows", [0, 1000])
+def test_snapshot_check_history(spark, broadcast_rows):
     s1 = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
     snap = snapshot_check(None, s1, "k", ["v"], "2024-01-01 00:00:00")
-    same = snapshot_check(snap, s1, "k", ["v"], "2024-01-02 00:00:00")
-    assert rows(same, "k", "v") == rows(snap, "k", "v")
+    same = snapshot_check(snap, s1, "k", ["v"], "2024-01-02 00:00:00", broadcast_rows=broadcast_rows)
+    assert rows(same, "k", "v", "valid_from") == rows(snap, "k", "v", "valid_from")
     s2 = spark.createDataFrame([(1, "A"), (3, "c")], "k int, v string")
-    snap2 = snapshot_check(snap, s2, "k", ["v"], "2024-01-03 00:00:00")
+    snap2 = snapshot_check(snap, s2, "k", ["v"], "2024-01-03 00:00:00", broadcast_rows=broadcast_rows)
     got = sorted((r.k, r.v, str(r.valid_from), str(r.valid_to)) for r in snap2.collect())
     assert got == [(1, "A", "2024-01-03 00:00:00", "None"), (1, "a", "2024-01-01 00:00:00", "2024-01-03 00:00:00"),
                    (2, "b", "2024-01-01 00:00:00", "None"), (3, "c", "2024-01-03 00:00:00", "None")]

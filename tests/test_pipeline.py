@@ -111,9 +111,10 @@ def test_bucketed_merge_keeps_layout(spark, sf_small):
     import glob
     star = batch_star(spark, sf_small)
     store = star.store
-    for t in ("fct_incidents", "bridge_crime_code", "bridge_mocode"):
-        v = store.versions(P.CORE, t)[-1]
-        path = store._version_path(P.CORE, t, v).replace("file:", "")
+    for schema, t in ((P.CORE, "fct_incidents"), (P.CORE, "bridge_crime_code"),
+                      (P.CORE, "bridge_mocode"), (P.RAW, P.RAW_TABLE)):
+        v = store.versions(schema, t)[-1]
+        path = store._version_path(schema, t, v).replace("file:", "")
         assert len(glob.glob(path + "/*.parquet")) <= 2 * store.buckets, t
 
 
