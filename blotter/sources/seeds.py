@@ -7,10 +7,14 @@
   description.
 
 Both are bounded by construction (fixed files), so they are broadcast freely.
+The packaged files are parsed on the driver and travel with the plan (the
+package folder need not exist on executors); a seed on shared storage is read
+by Spark's CSV scan.
 """
 
 from __future__ import annotations
 
+import csv
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,12 +33,26 @@ def seed_path(name: str) -> str:
     return os.path.join(SEED_DIR, SEEDS[name][0])
 
 
+def _packaged_rows(fname: str, schema) -> list[tuple]:
+    casts = [int if f.dataType.simpleString() == "int" else str for f in schema.fields]
+    out = []
+    with open(os.path.join(SEED_DIR, fname), newline="", encoding="utf-8") as fh:
+        reader = csv.reader(fh, quotechar='"', doublequote=True)
+        next(reader)
+        for rec in reader:
+            vals = [None if v == "" else c(v) for c, v in zip(casts, rec)]
+            out.append(tuple(vals + [None] * (len(casts) - len(vals))))
+    return out
+
+
 def load_seed(spark: SparkSession, name: str, path: str | None = None) -> DataFrame:
     """Typed seed table. Records whose first (code) column is null are
     rejected: a description split over two lines must not become a code-less
     row."""
     fname, schema = SEEDS[name]
-    df = (spark.read.schema(schema).option("header", True).option("quote", '"')
-          .option("escape", '"').option("mode", "FAILFAST")
-          .csv(path or "file://" + os.path.join(SEED_DIR, fname)))
+    if path:
+        df = (spark.read.schema(schema).option("header", True).option("quote", '"')
+              .option("escape", '"').option("mode", "FAILFAST").csv(path))
+    else:
+        df = spark.createDataFrame(_packaged_rows(fname, schema), schema)
     return df.filter(F.col(schema.fields[0].name).isNotNull())

@@ -86,3 +86,14 @@ def test_share_of_group(spark):
     assert out == {("a", "x"): (2, 3, 66.67), ("a", "y"): (1, 3, 33.33), (None, "x"): (1, 1, 100.0)}
     with pytest.raises(ValueError):
         share_of_group(df, ["v"], ["g"])
+
+
+def test_seeds_load_typed(spark):
+    from blotter.sources.seeds import load_seed, seed_path
+    mo = load_seed(spark, "mocodes")
+    assert mo.schema.simpleString() == "struct<mocodes:int,description:string>"
+    rows = {r.mocodes: r.description for r in mo.collect()}
+    assert len(rows) == 118 and 105 not in rows and 101 in rows and "," in rows[101]
+    assert load_seed(spark, "descent_mapping").count() == 19
+    # the same file through Spark's CSV scan gives the same rows
+    assert sorted(load_seed(spark, "mocodes", "file://" + seed_path("mocodes")).collect()) == sorted(mo.collect())
