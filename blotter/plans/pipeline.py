@@ -15,7 +15,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blotter.operators.merge import broadcast_merge, merge_upsert, sync_columns
+from blotter.operators.merge import (assert_unique_keys, broadcast_merge, merge_upsert,
+                                     sync_columns)
 from blotter.plans import reports as R
 from blotter.plans.bridges import bridge_crime_code, bridge_mocode
 from blotter.operators.snapshot import snapshot_check
@@ -83,14 +84,21 @@ def load_raw(store: TableStore, batch: DataFrame, change_cols: list[str] | None
     """Land one batch (truncate-and-load into the landing table), then MERGE it
     into the raw table on ``dr_no``. A row counts as changed when any column
     but the key and the load stamp differs, so a re-sent unchanged row keeps
-    its old stamp and is not processed again downstream."""
+    its old stamp and is not processed again downstream.
+
+    The first load has nothing to merge with: the batch is written straight
+    into the raw table (no landing copy of the largest load) and its keys are
+    checked on the written files before that version is published."""
+    current = store.read(RAW, RAW_TABLE)
+    if current is None:
+        return store.write(batch, RAW, RAW_TABLE, watermark_col="dl_upd", sort_within=["dl_upd"],
+                           bucket_by=RAW_KEY,
+                           validate=lambda written: assert_unique_keys(written, RAW_KEY, "batch"))
     landed = store.write(batch, INCREMENTS, "landing")
     n = store.rows(INCREMENTS, "landing")
-    current = store.read(RAW, RAW_TABLE)
     if change_cols is None:
         change_cols = [c for c in batch.columns if c not in RAW_KEY + ["dl_upd"]]
-    if current is not None:
-        current = sync_columns(current, landed)
+    current = sync_columns(current, landed)
     merged = merge_upsert(current, landed, RAW_KEY, change_cols=change_cols, source_rows=n,
                           insert_partitioning=(store.buckets, RAW_KEY))
     # Bucketed on the merge key, so neither merge plan ever shuffles the raw
@@ -99,8 +107,7 @@ def load_raw(store: TableStore, batch: DataFrame, change_cols: list[str] | None
     # row-group statistics on dl_upd let the watermark filters skip what was
     # already processed.
     return store.write(merged, RAW, RAW_TABLE, watermark_col="dl_upd",
-                       sort_within=["dl_upd"], bucket_by=RAW_KEY,
-                       prepartitioned=current is not None)
+                       sort_within=["dl_upd"], bucket_by=RAW_KEY, prepartitioned=True)
 
 
 def _merge_model(store: TableStore, name: str, increment: DataFrame, keys: list[str],

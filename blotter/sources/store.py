@@ -151,7 +151,8 @@ class TableStore:
               sort_within: list[str] | None = None,
               num_partitions: int | None = None,
               bucket_by: list[str] | None = None,
-              prepartitioned: bool = False) -> DataFrame:
+              prepartitioned: bool = False,
+              validate=None) -> DataFrame:
         """Write ``df`` as the next version and return a frame reading it back.
 
         Row count (and ``max(watermark_col)``) are observed during the write.
@@ -185,6 +186,8 @@ class TableStore:
         else:
             out.write.mode("errorifexists").parquet(path)
         measured = obs.get
+        if validate is not None:
+            validate(self.spark.read.parquet(path))
         wm = watermark if watermark is not None else measured.get("wm")
         if watermark_col and measured.get("wm") is not None and watermark is not None:
             wm = max(str(watermark), str(measured["wm"]))

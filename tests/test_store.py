@@ -32,3 +32,19 @@ def test_bucketed_table_survives_a_new_catalog_entry(spark):
     again = store.read("s", "f")
     assert again.count() == 100
     assert "Bucketed: true" in again._jdf.queryExecution().executedPlan().toString()
+
+
+def test_first_load_with_duplicate_keys_is_never_published(spark):
+    import pytest
+    from blotter.operators.merge import DuplicateKeyError
+    from blotter.plans import pipeline as P
+    from blotter.schemas import RAW_SCHEMA
+    store = TableStore(spark, scratch_path(spark, "dup-load"))
+    row = tuple(["1"] + [None] * (len(RAW_SCHEMA.fields) - 2)) + (None,)
+    batch = spark.createDataFrame([row, row], RAW_SCHEMA)
+    with pytest.raises(DuplicateKeyError):
+        P.load_raw(store, batch)
+    assert store.read(P.RAW, P.RAW_TABLE) is None
+    ok = spark.createDataFrame([row], RAW_SCHEMA)
+    P.load_raw(store, ok)
+    assert store.read(P.RAW, P.RAW_TABLE).count() == 1
