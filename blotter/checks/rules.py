@@ -87,6 +87,32 @@ def check_relationship(child: DataFrame, fk: str, parent: DataFrame, pk: str,
     return _rows(one, [_result(f"relationship:{parent_table}.{pk}", table, fk, F.col("f"))])
 
 
+def check_relationships(child: DataFrame, table: str,
+                        links: list[tuple[str, DataFrame, str, str]]) -> DataFrame:
+    """Several foreign keys of one child table in one scan and one shuffle.
+
+    ``links`` holds (fk column, parent frame, parent key, parent name). The
+    child's keys are exploded into (fk column, value) pairs and reduced with a
+    partial aggregate; the parents' keys, tagged with the fk column they
+    serve, are anti-joined against them. Same rows as ``check_relationship``
+    per link.
+    """
+    pairs = child.select(F.explode(F.array(*[
+        F.struct(F.lit(fk).alias("__fk"), F.col(fk).cast("string").alias("__k"))
+        for fk, _, _, _ in links])).alias("p")).select("p.*").filter(F.col("__k").isNotNull())
+    keys = pairs.groupBy("__fk", "__k").agg(F.count(F.lit(1)).alias("__n"))
+    parents = union_all([p.select(F.lit(fk).alias("__fk"), F.col(pk).cast("string").alias("__k"))
+                         for fk, p, pk, _ in links]).filter(F.col("__k").isNotNull())
+    orphans = (keys.join(parents, ["__fk", "__k"], "left_anti")
+               .groupBy("__fk").agg(F.sum("__n").alias("f")))
+    spec = child.sparkSession.createDataFrame(
+        [(fk, f"relationship:{name}.{pk}") for fk, _, pk, name in links], "__fk string, check string")
+    return (spec.join(orphans, "__fk", "left")
+            .select("check", F.lit(table).alias("table"), F.col("__fk").alias("column"),
+                    F.coalesce(F.col("f"), F.lit(0)).cast("long").alias("failures"))
+            .withColumn("passed", F.col("failures") == 0))
+
+
 def check_type(spark: SparkSession, df: DataFrame, table: str, col: str, expected: str) -> DataFrame:
     """Schema-only: 0 failures when ``col``'s type is in the ``expected``
     family (no scan)."""

@@ -71,3 +71,15 @@ def test_summary(spark):
     res = C.union_all([C.check_not_null(df, "t", ["x", "y"]), C.check_unique(df, "t", ["y"])])
     r = C.summarise_checks(res).first()
     assert (r.checks, r.passed_checks, r.failed_checks, r.failures) == (3, 2, 1, 1)
+
+
+def test_multi_key_relationships_match_single(spark):
+    fact = spark.createDataFrame([(1, "a", "x"), (2, "zz", "x"), (3, "zz", "q"), (4, None, "q")],
+                                 "dr_no int, a_id string, b_id string")
+    da = spark.createDataFrame([("a",)], "id string")
+    db = spark.createDataFrame([("x",)], "id string")
+    multi = by_column(C.check_relationships(fact, "f", [("a_id", da, "id", "dim_a"),
+                                                        ("b_id", db, "id", "dim_b")]))
+    single = {**by_column(C.check_relationship(fact, "a_id", da, "id", "f", "dim_a")),
+              **by_column(C.check_relationship(fact, "b_id", db, "id", "f", "dim_b"))}
+    assert multi == single == {"a_id": (2, False), "b_id": (2, False)}
