@@ -19,6 +19,17 @@ def recode_sex(c: str = "vict_sex"):
     return expr.otherwise(F.lit(None).cast("string"))
 
 
+def report_number(c: str = "dr_no"):
+    """The report number as int. Text that is not the canonical form of its
+    number (``007``, ``7 ``) fails the job: the raw table is keyed by the
+    text, so two spellings of one number would collide in every table keyed
+    by the int (fact, bridges). A per-row check, no shuffle."""
+    n = F.col(c).cast("int")
+    ok = F.col(c).isNull() | (n.cast("string") == F.col(c))
+    err = F.raise_error(F.concat(F.lit("report number is not a canonical integer: "), F.col(c)))
+    return F.when(ok, n).otherwise(err.cast("int"))
+
+
 def stg_incidents(raw: DataFrame) -> DataFrame:
     """Cast and recode raw rows. Narrow: every expression is per row and stays
     inside one whole-stage-codegen span; Catalyst prunes it to the columns a
@@ -26,7 +37,7 @@ def stg_incidents(raw: DataFrame) -> DataFrame:
     hour, minute = hhmm_parts("time_occ")
     i = lambda c: F.col(c).cast("int").alias(c)
     return raw.select(
-        i("dr_no"),
+        report_number().alias("dr_no"),
         parse_incident_date("date_rptd").alias("date_rptd"),
         parse_incident_date("date_occ").alias("date_occ"),
         F.format_string("%02d:%02d:00", hour, minute).alias("time_occ"),

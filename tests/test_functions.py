@@ -97,3 +97,11 @@ def test_seeds_load_typed(spark):
     assert load_seed(spark, "descent_mapping").count() == 19
     # the same file through Spark's CSV scan gives the same rows
     assert sorted(load_seed(spark, "mocodes", "file://" + seed_path("mocodes")).collect()) == sorted(mo.collect())
+
+
+def test_report_number_must_be_canonical(spark):
+    from blotter.plans.staging import report_number
+    ok = spark.createDataFrame([("7",), ("123",), (None,)], "dr_no string")
+    assert [r[0] for r in ok.select(report_number()).collect()] == [7, 123, None]
+    with pytest.raises(Exception, match="canonical"):
+        spark.createDataFrame([("007",)], "dr_no string").select(report_number()).collect()

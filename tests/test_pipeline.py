@@ -128,3 +128,19 @@ def test_location_density_plans_agree(spark, sf_small):
     small = R.location_density(*args, star.rows)
     large = R.location_density(*args, dict(star.rows, dim_location=10 ** 12))
     assert sorted(map(tuple, small.collect()), key=str) == sorted(map(tuple, large.collect()), key=str)
+
+
+def test_missing_landing_path_fails(spark):
+    import pytest
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
+        read_incidents_csv(spark, "/nonexistent/landing/folder").count()
+
+
+def test_run_pipeline_writes_reports(spark, sf_small):
+    store = TableStore(spark, scratch_path(spark, "run-pipeline"))
+    (s1, b1), _, _ = change_feed(spark, sf_small)
+    star = P.run_pipeline(spark, store, b1, s1)
+    for name in P.REPORTS:
+        written = star.table(name)
+        assert written.count() == star.rows[name] > 0, name
+    assert content(star.table("crime_code_seasonality")) == content(star.report("crime_code_seasonality"))
