@@ -32,7 +32,10 @@ def run(df) -> None:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    spark = get_spark(f"local[{cpus}]", app="blotter-bench", shuffle_partitions=int(cpus) * 2,
+    # One shuffle partition (and table bucket) per core at this data size;
+    # BENCH_PARTITIONS overrides.
+    partitions = int(os.environ.get("BENCH_PARTITIONS", cpus))
+    spark = get_spark(f"local[{cpus}]", app="blotter-bench", shuffle_partitions=partitions,
                       extra={"spark.driver.memory": "16g"})
     times: dict[str, float] = {}
 
