@@ -87,9 +87,11 @@ def merge_upsert(target: DataFrame | None, source: DataFrame, keys: list[str],
     ``insert / update / unchanged / keep``.
 
     Physical plan: when the source is small (row count checked, at most
-    ``broadcast_rows`` and within the broadcast byte bound) the target is never shuffled: it is streamed once past a
-    broadcast of the source, and new keys are found by a key-only semi join.
-    Otherwise one full outer sort-merge join on the keys.
+    ``broadcast_rows`` and within the broadcast byte bound) the target is never
+    shuffled: it is streamed once past a broadcast of the source, and new keys
+    are found by a key-only semi join. Otherwise one full outer sort-merge join
+    on the keys; against a target bucketed on exactly ``keys`` only the source
+    is shuffled (into the target's buckets).
 
     When the target is a bucketed table, pass ``(bucket count, bucket
     columns)`` as ``insert_partitioning``: on the broadcast path the rewritten
