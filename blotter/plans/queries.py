@@ -7,18 +7,21 @@ incremental replay), then every query reads those tables.
 
 from __future__ import annotations
 
+import datetime as dt
 import threading
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from blotter.checks import monitors as M
+from blotter.checks import rules as C
 from blotter.functions.share import grid_bucket, share_of_group
 from blotter.operators.dedupe import latest_by
 from blotter.operators.incremental import high_watermark, ts_literal
 from blotter.operators.merge import carry_first_seen, merge_upsert, sync_columns
 from blotter.operators.snapshot import snapshot_check
 from blotter.plans import pipeline as P
-from blotter.plans.dims import CODE_DIMS, code_dim
+from blotter.plans.dims import CODE_DIMS, code_dim, dim_date
 from blotter.plans.staging import stg_incidents
 from blotter.session import conform_session, scratch_path
 from blotter.sources.fixture import BATCH_STAMPS, incident_fixture, read_table
@@ -99,10 +102,8 @@ def q_pipeline_row_counts(spark, sf_dir):
 def q_dim_date_coverage(spark, sf_dir):
     """Calendar rows spanning the staged incidents (first occurrence date to
     last report date, inclusive)."""
-    from blotter.plans.dims import dim_date
     stg = q_stg_incidents(spark, sf_dir)
     lo, hi = stg.agg(F.min("date_occ").alias("lo"), F.max("date_rptd").alias("hi")).first()
-    import datetime as dt
     return dim_date(spark, RUN_TS, lo, hi + dt.timedelta(days=1))
 
 
@@ -233,9 +234,6 @@ def queries() -> dict:
 
 # -- data checks -----------------------------------------------------------------
 
-from blotter.checks import monitors as M  # noqa: E402
-from blotter.checks import rules as C  # noqa: E402
-
 # The checks each registered query runs.
 NOT_NULL_COLS = ["dr_no", "date_rptd", "date_occ", "time_occ", "area", "vict_age", "vict_sex",
                  "vict_descent", "premis_cd", "weapon_used_cd", "mocodes", "cross_street", "lat", "lon"]
