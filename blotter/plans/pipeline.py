@@ -31,6 +31,7 @@ from blotter.sources.store import TableStore
 RAW, CORE, REPORTING, INCREMENTS = "raw", "mart_core", "mart_reporting", "increments"
 RAW_TABLE = "raw_incidents"
 RAW_KEY = ["dr_no"]
+MERGE_ACTIONS = ["insert", "update", "unchanged", "keep"]
 # Fact and bridges are bucketed on the report number with one bucket count, so
 # fact x bridge joins read co-partitioned inputs.
 CO_KEY = ["dr_no"]
@@ -100,14 +101,23 @@ def load_raw(store: TableStore, batch: DataFrame, change_cols: list[str] | None
         change_cols = [c for c in batch.columns if c not in RAW_KEY + ["dl_upd"]]
     current = sync_columns(current, landed)
     merged = merge_upsert(current, landed, RAW_KEY, change_cols=change_cols, source_rows=n,
-                          insert_partitioning=(store.buckets, RAW_KEY))
+                          insert_partitioning=(store.buckets, RAW_KEY), with_action=True)
     # Bucketed on the merge key, so neither merge plan ever shuffles the raw
     # table (the broadcast plan streams it, the full outer plan shuffles only
     # the batch into the bucket layout). Sorted by load stamp inside each file:
     # row-group statistics on dl_upd let the watermark filters skip what was
     # already processed.
+    # Rows affected by the MERGE are counted in the same pass as the write.
+    actions = {a: F.sum((F.col("_action") == a).cast("long")) for a in MERGE_ACTIONS}
     return store.write(merged, RAW, RAW_TABLE, watermark_col="dl_upd",
-                       sort_within=["dl_upd"], bucket_by=RAW_KEY, prepartitioned=True)
+                       sort_within=["dl_upd"], bucket_by=RAW_KEY, prepartitioned=True,
+                       metrics=actions, drop=["_action"])
+
+
+def merge_counts(store: TableStore) -> dict:
+    """Rows inserted / updated / unchanged / kept by the last raw MERGE."""
+    m = store.meta(RAW, RAW_TABLE) or {}
+    return {k: int(v or 0) for k, v in (m.get("metrics") or {}).items()}
 
 
 def _merge_model(store: TableStore, name: str, increment: DataFrame, keys: list[str],

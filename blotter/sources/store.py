@@ -152,7 +152,9 @@ class TableStore:
               num_partitions: int | None = None,
               bucket_by: list[str] | None = None,
               prepartitioned: bool = False,
-              validate=None) -> DataFrame:
+              validate=None,
+              metrics: dict | None = None,
+              drop: list[str] | None = None) -> DataFrame:
         """Write ``df`` as the next version and return a frame reading it back.
 
         Row count (and ``max(watermark_col)``) are observed during the write.
@@ -167,8 +169,11 @@ class TableStore:
         exprs = [F.count(F.lit(1)).alias("rows")]
         if watermark_col:
             exprs.append(F.max(watermark_col).alias("wm"))
+        exprs += [c.alias(f"m__{k}") for k, c in (metrics or {}).items()]
         obs = Observation(f"w_{schema}_{name}_{nxt}_{uuid.uuid4().hex[:8]}")
         out = df.observe(obs, *exprs)
+        if drop:
+            out = out.drop(*drop)
         if bucket_by and range_sort:
             raise ValueError("a bucketed table cannot also be range-partitioned")
         if bucket_by and not prepartitioned:
@@ -191,8 +196,10 @@ class TableStore:
         wm = watermark if watermark is not None else measured.get("wm")
         if watermark_col and measured.get("wm") is not None and watermark is not None:
             wm = max(str(watermark), str(measured["wm"]))
+        stored_schema = df.drop(*drop).schema if drop else df.schema
         self._write_meta(path, {"rows": int(measured["rows"]), "watermark": wm,
-                                "schema": df.schema.json(), "version": nxt,
+                                "metrics": {k: measured.get(f"m__{k}") for k in (metrics or {})},
+                                "schema": stored_schema.json(), "version": nxt,
                                 "bucket_by": bucket_by, "buckets": self.buckets if bucket_by else None})
         self._expire(schema, name)
         return self.read(schema, name)

@@ -144,3 +144,21 @@ def test_run_pipeline_writes_reports(spark, sf_small):
         written = star.table(name)
         assert written.count() == star.rows[name] > 0, name
     assert content(star.table("crime_code_seasonality")) == content(star.report("crime_code_seasonality"))
+
+
+def test_raw_merge_reports_rows_affected(spark, sf_small):
+    store = TableStore(spark, scratch_path(spark, "merge-counts"))
+    feed = change_feed(spark, sf_small)
+    (s1, b1), (s2, b2), (s3, b3) = feed
+    n1 = b1.count()
+    P.load_raw(store, b1)
+    P.load_raw(store, b2)
+    resent = b1.filter("CAST(dr_no AS BIGINT) % 10 = 0").count()
+    c2 = P.merge_counts(store)
+    assert c2 == {"insert": b2.count() - resent, "update": resent, "unchanged": 0, "keep": n1 - resent}
+    P.load_raw(store, b3)
+    c3 = P.merge_counts(store)
+    unchanged = b1.filter("CAST(dr_no AS BIGINT) % 10 = 1").count()
+    assert c3["unchanged"] == unchanged and c3["update"] == 0
+    assert c3["insert"] == b3.count() - unchanged
+    assert "_action" not in store.read(P.RAW, P.RAW_TABLE).columns
