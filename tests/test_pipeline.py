@@ -162,3 +162,24 @@ def test_raw_merge_reports_rows_affected(spark, sf_small):
     assert c3["unchanged"] == unchanged and c3["update"] == 0
     assert c3["insert"] == b3.count() - unchanged
     assert "_action" not in store.read(P.RAW, P.RAW_TABLE).columns
+
+
+def test_streaming_ingest_advances_models(spark, sf_small):
+    import datetime as dt
+    from blotter.sources.fixture import incident_fixture
+    from blotter.sources.landing import write_landing_csv
+    land = tempfile.mkdtemp(prefix="landing-models-")
+    fx = incident_fixture(spark, sf_small).drop("dl_upd")
+    evens, odds = fx.filter("CAST(dr_no AS INT) % 2 = 0"), fx.filter("CAST(dr_no AS INT) % 2 = 1")
+    write_landing_csv(evens, os.path.join(land, "a"))
+    store = TableStore(spark, scratch_path(spark, "stream-models"))
+    ckpt = scratch_path(spark, "stream-models-ckpt")
+    ticks = iter([dt.datetime(2024, 3, 1), dt.datetime(2024, 3, 2)])
+    ingest_available(spark, os.path.join(land, "*"), store, ckpt, lambda: next(ticks))
+    assert store.read(P.CORE, "fct_incidents").count() == evens.count()
+    write_landing_csv(odds, os.path.join(land, "b"))
+    ingest_available(spark, os.path.join(land, "*"), store, ckpt, lambda: next(ticks))
+    fact = store.read(P.CORE, "fct_incidents")
+    assert fact.count() == fx.count()
+    assert P.merge_counts(store)["insert"] == odds.count()
+    assert fact.filter("doe = TIMESTAMP_NTZ'2024-03-01 00:00:00'").count() == evens.count()
