@@ -83,3 +83,23 @@ def test_multi_key_relationships_match_single(spark):
     single = {**by_column(C.check_relationship(fact, "a_id", da, "id", "f", "dim_a")),
               **by_column(C.check_relationship(fact, "b_id", db, "id", "f", "dim_b"))}
     assert multi == single == {"a_id": (2, False), "b_id": (2, False)}
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hot_keys_are_reduced_before_the_shuffle(spark):
+    """A value holding a third of all rows reaches the exchange as one row per
+    map task: every grouping in the checks is a partial aggregate."""
+    hot = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).cast("int").alias("k"))
+    parent = spark.range(100).select(F.col("id").cast("int").alias("k"))
+    u = C.check_unique(hot, "t", ["k"])
+    r = C.check_relationships(hot, "t", [("k", parent, "k", "p")])
+    for df in (u, r):
+        plan = _plan(df)
+        assert "partial_count" in plan, plan
+    assert {row.column: row.failures for row in u.collect()} == {"k": 1}
+    # child rows whose key (after the hot value 7) is not a parent id 0..99
+    assert r.first().failures == 1934
