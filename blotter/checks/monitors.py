@@ -44,6 +44,18 @@ def schema_changes(spark: SparkSession, old: T.StructType, new: T.StructType) ->
     return spark.createDataFrame(rows, "column string, change string, old_type string, new_type string")
 
 
+def schema_changes_since_last_run(store, schema: str, name: str) -> DataFrame:
+    """Columns added, removed or retyped between a table's two newest
+    committed versions, from the schemas stored with them (no scan). Empty
+    when the table has fewer than two versions."""
+    spark = store.spark
+    vs = store.versions(schema, name)
+    if len(vs) < 2:
+        return schema_changes(spark, T.StructType([]), T.StructType([])).limit(0)
+    return schema_changes(spark, store.version_schema(schema, name, vs[-2]),
+                          store.version_schema(schema, name, vs[-1]))
+
+
 def z_score_anomalies(series: DataFrame, bucket: str = "bucket", value: str = "value",
                       by: list[str] | None = None, train: int = TRAIN_BUCKETS,
                       z: float = Z_THRESHOLD, digits: int = 4) -> DataFrame:

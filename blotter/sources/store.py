@@ -113,6 +113,19 @@ class TableStore:
             stream.close()
         return json.loads(text)
 
+    def version_schema(self, schema: str, name: str, v: int) -> T.StructType | None:
+        """Schema stored with one committed version (no data read)."""
+        p = f"{self._version_path(schema, name, v)}/{META_FILE}"
+        fs = self._fs(p)
+        if not fs.exists(self._p(p)):
+            return None
+        stream = fs.open(self._p(p))
+        try:
+            meta = json.loads(self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+        return T.StructType.fromJson(json.loads(meta["schema"]))
+
     def rows(self, schema: str, name: str) -> int | None:
         m = self.meta(schema, name)
         return None if m is None else m.get("rows")

@@ -48,3 +48,13 @@ def test_first_load_with_duplicate_keys_is_never_published(spark):
     ok = spark.createDataFrame([row], RAW_SCHEMA)
     P.load_raw(store, ok)
     assert store.read(P.RAW, P.RAW_TABLE).count() == 1
+
+
+def test_schema_changes_since_last_run(spark):
+    from blotter.checks.monitors import schema_changes_since_last_run
+    store = TableStore(spark, scratch_path(spark, "schema-drift"))
+    store.write(spark.createDataFrame([(1, "a", 2)], "k int, old string, n int"), "s", "t")
+    assert schema_changes_since_last_run(store, "s", "t").count() == 0
+    store.write(spark.createDataFrame([(1, "x", 2)], "k int, new string, n bigint"), "s", "t")
+    got = sorted((r.column, r.change) for r in schema_changes_since_last_run(store, "s", "t").collect())
+    assert got == [("n", "type_changed"), ("new", "added"), ("old", "removed")]
