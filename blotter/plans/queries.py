@@ -308,6 +308,16 @@ def q_column_anomalies_value(spark, sf_dir):
     return M.column_anomalies(read_table(spark, sf_dir, "events"), "value", "ts")
 
 
+def q_freshness_anomalies_fact_dlu(spark, sf_dir):
+    """Freshness monitor on the incrementally loaded fact's update stamps."""
+    return M.freshness_anomalies(batch_star(spark, sf_dir).table("fct_incidents"), "dlu")
+
+
+def q_column_anomalies_victim_age(spark, sf_dir):
+    """Column monitor on the victim dimension's age, per day of source stamp."""
+    return M.column_anomalies(full_star(spark, sf_dir).table("dim_victim"), "age", "source_dlu")
+
+
 CHECK_QUERIES = {
     "check_not_null": q_check_not_null,
     "check_unique": q_check_unique,
@@ -319,4 +329,6 @@ CHECK_QUERIES = {
     "volume_anomalies_daily": q_volume_anomalies_daily,
     "freshness_anomalies_daily": q_freshness_anomalies_daily,
     "column_anomalies_value": q_column_anomalies_value,
+    "freshness_anomalies_fact_dlu": q_freshness_anomalies_fact_dlu,
+    "column_anomalies_victim_age": q_column_anomalies_victim_age,
 }

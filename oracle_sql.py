@@ -395,8 +395,23 @@ WHERE gap IS NOT NULL GROUP BY 1""")
         "standard_deviation": "stddev_samp(value)",
         "zero_count": "CAST(sum(CASE WHEN value = 0 THEN 1 ELSE 0 END) AS DOUBLE)",
     }
-    per_metric = "\nUNION ALL\n".join(
-        f"SELECT CAST(ts AS DATE) AS bucket, '{m}' AS metric, round(CAST({e} AS DOUBLE), 6) AS value "
-        f"FROM events GROUP BY 1" for m, e in metrics.items())
-    q["column_anomalies_value"] = z_sql(per_metric, "bucket, metric, value", "PARTITION BY metric")
+    def per_metric(table: str, col: str, ts: str) -> str:
+        return "\nUNION ALL\n".join(
+            f"SELECT CAST({ts} AS DATE) AS bucket, '{m}' AS metric, "
+            f"round(CAST({e.replace('value', col)} AS DOUBLE), 6) AS value FROM {table} GROUP BY 1"
+            for m, e in metrics.items())
+
+    q["column_anomalies_value"] = z_sql(per_metric("events", "value", "ts"), "bucket, metric, value",
+                                        "PARTITION BY metric")
+    q["column_anomalies_victim_age"] = (
+        with_(*BASE, VICTIM_DIM).rstrip("\n") + ",\n"
+        + z_sql(per_metric("dim_victim", "age", "source_dlu"), "bucket, metric, value",
+                "PARTITION BY metric")[len("WITH "):])
+    q["freshness_anomalies_fact_dlu"] = (
+        with_(RAW, RAW_FINAL).rstrip("\n") + ",\n"
+        + z_sql("""
+SELECT CAST(ts AS DATE) AS bucket, max(gap) AS value FROM (
+  SELECT ts, (epoch_us(ts) - epoch_us(lag(ts) OVER (ORDER BY ts))) / 1e6 AS gap
+  FROM (SELECT DISTINCT dl_upd AS ts FROM raw_final WHERE dl_upd IS NOT NULL))
+WHERE gap IS NOT NULL GROUP BY 1""")[len("WITH "):])
     return q
