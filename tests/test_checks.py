@@ -103,3 +103,10 @@ def test_hot_keys_are_reduced_before_the_shuffle(spark):
     assert {row.column: row.failures for row in u.collect()} == {"k": 1}
     # child rows whose key (after the hot value 7) is not a parent id 0..99
     assert r.first().failures == 1934
+
+
+def test_freshness_boundaries_are_strict(spark):
+    df = spark.createDataFrame([("2024-01-30 00:00:00",)], "ts string").select(
+        F.col("ts").cast("timestamp_ntz").alias("ts"))
+    assert M.source_freshness(df, "ts", "2024-01-31 00:00:00").first().status == "pass"   # 24 h
+    assert M.source_freshness(df, "ts", "2024-02-01 00:00:00").first().status == "warn"   # 48 h
