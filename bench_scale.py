@@ -22,8 +22,9 @@ from blotter.session import get_spark, scratch_path  # noqa: E402
 from blotter.sources.fixture import incident_fixture  # noqa: E402
 from blotter.sources.store import TableStore  # noqa: E402
 
-# Report-number offset between copies (keeps dr_no an int up to 200 copies).
-COPY_OFFSET = 10_000_000
+# Report-number offset between copies. Fixture report numbers
+# stay below one million up to sf1, so dr_no remains an int up to 2,000 copies.
+COPY_OFFSET = 1_000_000
 
 
 def replicated_fixture(spark, sf_dir: str, k: int):
