@@ -15,6 +15,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from blotter.checks.suite import mart_checks, raise_on_failures
 from blotter.operators.merge import (assert_unique_keys, broadcast_merge, merge_upsert,
                                      sync_columns)
 from blotter.plans import reports as R
@@ -29,6 +30,7 @@ from blotter.sources.seeds import load_seed
 from blotter.sources.store import TableStore
 
 RAW, CORE, REPORTING, INCREMENTS = "raw", "mart_core", "mart_reporting", "increments"
+CHECKS = "mart_checks"
 RAW_TABLE = "raw_incidents"
 RAW_KEY = ["dr_no"]
 MERGE_ACTIONS = ["insert", "update", "unchanged", "keep"]
@@ -248,10 +250,16 @@ def run_models(spark: SparkSession, store: TableStore, load_ts: str,
 
 
 def run_pipeline(spark: SparkSession, store: TableStore, batch: DataFrame, load_ts: str,
-                 with_reports: bool = True) -> Star:
-    """One scheduled run: load a batch, then advance every model."""
+                 with_reports: bool = True, with_checks: bool = True) -> Star:
+    """One scheduled run: load a batch, advance every model, write the
+    reports, then run the mart's declared checks (results written to
+    ``mart_checks.check_results``); a failed check fails the run."""
     load_raw(store, batch)
-    return run_models(spark, store, load_ts, with_reports=with_reports)
+    star = run_models(spark, store, load_ts, with_reports=with_reports)
+    if with_checks:
+        results = store.write(mart_checks(star), CHECKS, "check_results")
+        raise_on_failures(results)
+    return star
 
 
 def row_counts(star: Star, names: list[str]) -> DataFrame:

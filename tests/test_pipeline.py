@@ -183,3 +183,16 @@ def test_streaming_ingest_advances_models(spark, sf_small):
     assert fact.count() == fx.count()
     assert P.merge_counts(store)["insert"] == odds.count()
     assert fact.filter("doe = TIMESTAMP_NTZ'2024-03-01 00:00:00'").count() == evens.count()
+
+
+def test_mart_checks_pass_and_catch_a_broken_key(spark, sf_small):
+    import pytest
+    from blotter.checks.suite import DataCheckError, mart_checks, raise_on_failures
+    star = full_star(spark, sf_small)
+    results = mart_checks(star)
+    assert results.filter("NOT passed").count() == 0
+    assert results.count() > 40
+    broken = results.unionByName(spark.createDataFrame(
+        [("unique", "fct_incidents", "dr_no", 2, False)], results.schema))
+    with pytest.raises(DataCheckError, match="fct_incidents.dr_no"):
+        raise_on_failures(broken)
