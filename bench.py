@@ -7,8 +7,8 @@ Prints one JSON line. Each timing runs the query to completion through the
   every dimension, the snapshot, both bridges and the fact (written tables);
 * ``incremental_3batch``: the same mart advanced by three incremental loads
   of the change feed;
-* the five reports over the built mart, the data checks and monitors, and the
-  landing CSV scan.
+* the five reports over the built mart, the mart's declared check suite, the
+  data checks and monitors, and the landing CSV scan.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from blotter.checks.suite import mart_checks  # noqa: E402
 from blotter.plans import pipeline as P  # noqa: E402
 from blotter.plans import queries as Q  # noqa: E402
 from blotter.session import get_spark  # noqa: E402
@@ -51,6 +52,10 @@ def main() -> None:
         run(star.report(name))
         times[name] = time.time() - t
 
+    t = time.time()
+    run(mart_checks(star))
+    times["mart_checks"] = time.time() - t
+
     t = time.time()
     Q.batch_star(spark, sf_dir)
     times["incremental_3batch"] = time.time() - t
