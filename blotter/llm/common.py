@@ -15,19 +15,45 @@ WHITE = " \t\n\x0b\x0c\r"
 #: The same as a Java pattern for one word.
 WORD = r"[^\x20\x09-\x0D]+"
 
+#: Scratch tables of the scope at hand, see ``scratch_scope``.
+_scope: list[str] | None = None
+
 
 def cut(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     The written table is the new start of the lineage: a lost executor costs
-    only tasks that run after it, and ids made before it never change.
+    only tasks that run after it, and ids made before it never change. Tables
+    stay as long as the shared folder keeps them, or until ``drop_tables``.
     """
     spark = df.sparkSession
     path = scratch_path(spark, "llm", name)
     df.write.parquet(path)
+    if _scope is not None:
+        _scope.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch_scope() -> Iterator[list[str]]:
+    """Collects the paths of the tables that ``cut`` writes inside."""
+    global _scope
+    outer, _scope = _scope, []
+    try:
+        yield _scope
+    finally:
+        _scope = outer
+
+
+def drop_tables(spark: SparkSession, paths: list[str]) -> None:
+    """Delete scratch tables that nothing will read again."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)
+    paths.clear()
+
+
 @contextmanager
 def arrow_batches(spark: SparkSession, rows: int) -> Iterator[None]:
     """Smaller Arrow batches for the actions inside, so that a batch of very
@@ -50,42 +76,27 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def running_total(df: DataFrame, group: list[str], order: list[str], value: Column,
-                  name: str, slices: int) -> DataFrame:
+def running_total(df: DataFrame, group: str, order: list[str], value: Column, name: str,
+                  bits: int = 9) -> DataFrame:
     """Exclusive running sum ``name`` of ``value`` within ``group`` by ``order``.
 
     A group may hold any share of the rows, so it is never summed in one task:
-    ``order[0]`` must be a long that is spread evenly over its 64 bits (a
-    hash); its range is cut into ``slices`` equal parts, sums run inside a part
-    and the parts' totals (at most groups x slices rows) give each part's start.
+    ``order[0]`` must be a long spread evenly over its 64 bits (a hash). Its
+    range is cut into 2^bits parts; sums run inside a part, and the totals of
+    the parts (at most 2^bits rows a group) give each part's start. ``group``
+    must not be null.
     """
-    width = (1 << 64) // slices + 1
-    part = F.floor((F.col(order[0]).cast("decimal(20,0)") + F.lit(1 << 63).cast("decimal(20,0)"))
-                   / F.lit(width).cast("decimal(20,0)")).cast("int")
-    df = df.withColumn("_value", value).withColumn("_part", part)
-    inside = Window.partitionBy(*group, "_part").orderBy(*order).rowsBetween(
-        Window.unboundedPreceding, -1)
-    across = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (df.groupBy(*group, "_part").agg(F.sum("_value").alias("_total"))
-              .withColumn("_start", F.coalesce(F.sum("_total").over(across), F.lit(0)))
-              .drop("_total"))
-    local = df.withColumn("_before", F.coalesce(F.sum("_value").over(inside), F.lit(0)))
-    return _null_safe_left(local, starts, [*group, "_part"]).withColumn(
-        name, F.col("_start") + F.col("_before")).drop("_value", "_part", "_before", "_start")
-
-
-def _null_safe_left(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Left join on ``keys`` where null equals null; key columns appear once."""
-    r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys],
-                     *[c for c in right.columns if c not in keys])
-    on = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
-    cond = on[0]
-    for c in on[1:]:
-        cond = cond & c
-    return left.join(r, cond, "left").drop(*[f"_r_{k}" for k in keys])
-
-
-def with_small_side(spark: SparkSession, small: DataFrame, max_rows: int = 2_000_000) -> DataFrame:
+    df = df.withColumn("_part", F.shiftright(F.col(order[0]), 64 - bits)).withColumn("_value", value)
+    inside = Window.partitionBy(group, "_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    across = Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (df.groupBy(group, "_part").agg(F.sum("_value").alias("_total"))
+              .select(group, "_part", F.coalesce(F.sum("_total").over(across), F.lit(0)).alias("_start")))
+    local = df.withColumn(name, F.coalesce(F.sum("_value").over(inside), F.lit(0)))
+    return local.join(starts, [group, "_part"]).withColumn(name, F.col(name) + F.col("_start")).drop(
+        "_part", "_value", "_start")
+
+
+def with_small_side(small: DataFrame, max_rows: int = 2_000_000) -> DataFrame:
     """``small`` marked for broadcast when a count proves it has at most
     ``max_rows`` rows (of a few numbers each); otherwise as it is, so that the
     join shuffles."""

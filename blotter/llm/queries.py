@@ -6,9 +6,32 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import read
+from .embedding import embedding_dedup
 from .exact_dedup import exact_dedup
+from .html import extract_main_text
+from .licenses import scan_licenses
+from .lm_score import lm_score
+from .mixing import mix_sources
+from .packing import pack
+from .paragraphs import substring_dedup
+from .quality import fit_quality, held_out, score_quality
+from .simhash import simhash_dedup
+
+
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(read(spark, sf_dir, "documents")).select(
+        "doc_id", "first_word", "n_words", "component_id", "n_units", "kept")
+
+
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(read(spark, sf_dir, "pages"))
+
+
+def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_dedup(read(spark, sf_dir, "documents"))
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,8 +39,40 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup(read(spark, sf_dir, "embeddings"))
+
+
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(read(spark, sf_dir, "documents"))
+
+
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    net = fit_quality(docs, read(spark, sf_dir, "labels"))
+    return score_quality(docs, net).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(read(spark, sf_dir, "documents")).drop("row")
+
+
+def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(read(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken")
+
+
+def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target set: the documents labelled as good."""
+    good = read(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
+    return lm_score(read(spark, sf_dir, "documents"), good)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op4_exact_dedup": op4_exact_dedup}
+    found = [op1_substring_dedup, op2_html_extraction, op3_simhash_dedup, op4_exact_dedup, op5_embedding_dedup,
+             op6_license_scan, op7_quality_classifier, op8_packing, op9_source_mix, op10_lm_score]
+    return {f.__name__: f for f in found}
 
 
 OP4_SQL = r"""
