@@ -120,7 +120,6 @@ class Units:
         shingle = _mix(shingle)
         stop = end - SHINGLE + 1  # shingles of a line start before this
         edges = np.stack([start, np.minimum(stop, n - 1)], 1).ravel()
-        tail = shingle[n - 1]
         keys = np.empty((len(start), BANDS), np.uint64)
         for band in range(BANDS):
             key = np.full(len(start), band + 1, np.uint64)
@@ -132,7 +131,6 @@ class Units:
                     least[-1] = min(least[-1], values[n - 1])
                 key = _mix(key * _C[0] + least)
             keys[:, band] = key
-        del tail
         return keys.astype(np.int64)
 
 
@@ -219,13 +217,15 @@ def _similar(similarity: float):
 
 
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    similarity: float = SIMILARITY, min_span: int = SPAN) -> DataFrame:
+                    similarity: float = SIMILARITY, min_span: int = SPAN, across: bool = True) -> DataFrame:
     """One row per repeated span: ``doc_id, row, first_word, n_words,
     component_id, n_units, kept``.
 
     ``first_word`` and ``n_words`` count words of the text; ``component_id`` is
     the smallest cluster in the span; ``kept`` spans are the first of their
-    clusters, the others are removals. Documents without a repeated span of
+    clusters, the others are removals. With ``across``, only clusters with
+    units in two documents count; without, a document's repeats of its own do
+    as well. Documents without a repeated span of
     ``min_span`` words give no row, so null, empty and short texts have none;
     repeated rows repeat all of their spans; ids may be null; texts of any
     length are read whole. An empty table gives no rows, and other columns are
@@ -237,7 +237,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     with arrow_batches(spark, 1000):
         units = cut(find_units(base).withColumn("unit", F.monotonically_increasing_id()), "units")
     classes = cut(units.groupBy("digest").agg(
-        F.count("*").alias("n"), F.min("unit").alias("first"),
+        F.count("*").alias("n"), F.min("unit").alias("first"), F.min("row").alias("lo"), F.max("row").alias("hi"),
         F.max(F.size("bands") > 0).alias("paragraph")).filter("n > 1 OR paragraph"), "classes")
 
     # Candidates: every class with the smallest class of each of its bands.
@@ -254,8 +254,11 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     known = classes.join(clusters.withColumnRenamed("node", "digest"), "digest", "left").filter(
         "n > 1 OR component IS NOT NULL").withColumn("component", F.coalesce("component", "digest"))
-    known = cut(known.select("digest", "component", "first"), "repeated")
-    keepers = known.groupBy("component").agg(F.min("first").alias("keep"))
+    known = cut(known.select("digest", "component", "first", "lo", "hi"), "repeated")
+    keepers = known.groupBy("component").agg(F.min("first").alias("keep"), F.min("lo").alias("lo"),
+                                             F.max("hi").alias("hi"))
+    if across:
+        keepers = keepers.filter("lo < hi")
     known = cut(known.join(keepers, "component").select("digest", "component", "keep"), "repeated_keepers")
     repeated = units.drop("bands").join(with_small_side(known), "digest").withColumn(
         "kept", F.col("unit") == F.col("keep"))

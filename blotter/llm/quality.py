@@ -17,13 +17,15 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pyarrow as pa
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut
 
 WIDTH, STRIDE, CHUNK = 8, 2, 256
+#: Score from which a document counts as good.
+THRESHOLD = 0.7
 HALF = CHUNK // 2
 #: Very long texts are scored piece by piece; chunk logits simply add up.
 PIECE = 1 << 19
@@ -231,30 +233,25 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
     return train([r["text"].encode() for r in both], np.array([r["quality"] for r in both]))
 
 
+def quality_score(net: Network, text) -> F.Column:
+    """The score of each text of a column, worked out in Arrow batches. Null
+    counts as empty; texts of any length are scored as a whole."""
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        tables = net.pair_tables()
+        for batch in batches:
+            scores = [net.probability(mean_logits(net, [(t or "").encode() for t in batch[at:at + 512]], tables))
+                      for at in range(0, len(batch), 512)]
+            yield pd.Series(np.concatenate(scores) if scores else np.empty(0))
+
+    return F.pandas_udf(score, "double")(text)
+
+
 def score_quality(docs: DataFrame, net: Network, id_col: str = "doc_id", text_col: str = "text",
-                  threshold: float = 0.7, keep: tuple[str, ...] = ()) -> DataFrame:
-    """``doc_id, score, predicted`` and the columns ``keep`` of every row.
+                  threshold: float = THRESHOLD) -> DataFrame:
+    """``doc_id, score, predicted`` of every row.
 
-    Null texts are scored like empty ones, texts of any length as a whole; ids
-    may be null or repeat, each row has its own score. An empty table gives no
-    rows. Other columns are ignored.
+    Null texts are scored like empty ones; ids may be null or repeat, each row
+    has its own score. An empty table gives no rows; other columns are ignored.
     """
-    fields = {c: docs.schema[c].dataType.simpleString() for c in keep}
-    schema = ", ".join([f"`_id` {docs.schema[id_col].dataType.simpleString()}", "_score double",
-                        *[f"`{c}` {t}" for c, t in fields.items()]])
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = net.pair_tables()
-        for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                texts = [(t or "").encode() for t in part.column("_text").to_pylist()]
-                p = net.probability(mean_logits(net, texts, tables))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("_id"), pa.array(p, pa.float64()), *[part.column(c) for c in keep]],
-                    ["_id", "_score", *keep])
-
-    inside = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), *keep)
-    out = inside.mapInArrow(score, schema)
-    return out.select(F.col("_id").alias("doc_id"), F.col("_score").alias("score"),
-                      (F.col("_score") >= threshold).cast("int").alias("predicted"), *keep)
+    scored = docs.select(F.col(id_col).alias("doc_id"), quality_score(net, F.col(text_col)).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
