@@ -59,7 +59,6 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_wo
     row, so equal rows stay together in no particular batch. An empty table
     gives no rows; other columns are ignored.
     """
-    spark = docs.sparkSession
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"),
                        word_count(F.col(text_col)).alias("size")).filter("size > 0")
     pieces = rows.select("row", "doc_id", "size", F.explode(F.expr(
@@ -70,7 +69,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_wo
     # At most max_words rows come to the driver, whatever the input.
     histogram = pieces.groupBy("n_words").count().orderBy("n_words").collect()
     ends = best_boundaries(np.array([r[0] for r in histogram]), np.array([r[1] for r in histogram]), buckets)
-    bound = F.lit(ends[-1] if ends else 0)
+    bound = F.lit(ends[-1] if ends else 1)
     number = F.lit(max(len(ends) - 1, 0))
     for k in range(len(ends) - 2, -1, -1):
         bound = F.when(F.col("n_words") <= ends[k], F.lit(ends[k])).otherwise(bound)
