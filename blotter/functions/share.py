@@ -21,8 +21,8 @@ def pct_half_up(part: Column | str, total: Column | str, digits: int = 2) -> Col
     p, t = _col(part).cast("long"), _col(total).cast("long")
     num = p * F.lit(2 * 100 * scale) + t
     den = t * F.lit(2)
-    q = (num - F.pmod(num, den)) / den  # exact floor for positive operands
-    return F.when(t > 0, q.cast("long").cast("double") / F.lit(float(scale)))
+    q = F.call_function("div", num, den)  # integer division: the floor of positive operands
+    return F.when(t > 0, q.cast("double") / F.lit(float(scale)))
 
 
 def grid_bucket(c: Column | str, digits: int = 3) -> Column:

@@ -30,5 +30,7 @@ def since_watermark(df: DataFrame, ts_col: str, watermark) -> DataFrame:
     """
     if watermark is None:
         return df
+    if isinstance(watermark, int):
+        return df.filter(F.col(ts_col) > F.lit(watermark))
     return df.filter(F.col(ts_col) > ts_literal(watermark) if isinstance(
         watermark, (str, dt.datetime)) else F.col(ts_col) > F.lit(watermark))

@@ -1,4 +1,4 @@
-"""Join helpers: broadcast only behind a row-count check."""
+"""Join helpers: broadcast only behind a size check."""
 
 from __future__ import annotations
 
@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from blotter.session import scratch_path
+
 # Largest side that is ever broadcast: a row bound and a byte bound on the
 # estimated in-memory size (rows x estimated row width), both must hold.
 DEFAULT_BROADCAST_ROWS = 2_000_000
@@ -28,10 +30,15 @@ def fits_broadcast(rows: int, schema: T.StructType, max_rows: int = DEFAULT_BROA
     return rows <= max_rows and rows * row_width(schema) <= max_bytes
 
 
-def checked_rows(df: DataFrame, limit: int) -> int:
-    """Row count of ``df`` capped at ``limit + 1``: stops reading once the cap
-    is passed, so a large frame costs only the first ``limit + 1`` rows."""
-    return df.limit(limit + 1).count()
+def staged(df: DataFrame, name: str = "staged") -> tuple[DataFrame, int]:
+    """Write ``df`` to the shared scratch folder once; return the frame read
+    back and its row count. Plans that need a source's size and read it several
+    times work on the staged copy, so the source itself runs once. The count
+    comes from the written files' footers."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    return back, back.count()
 
 
 def bounded_broadcast(df: DataFrame, rows: int | None = None,
@@ -42,9 +49,10 @@ def bounded_broadcast(df: DataFrame, rows: int | None = None,
     ``max_bytes``.
 
     ``rows`` is a count known from the write that produced ``df`` (see
-    ``TableStore``); without it the count is checked here. Beyond the bound the
-    frame is returned unhinted and Spark shuffles (sort-merge join, AQE
-    skew-splitting on).
+    ``TableStore``); without it ``df`` is staged and counted here. Beyond the
+    bound the frame is returned unhinted and Spark shuffles (sort-merge join,
+    AQE skew-splitting on).
     """
-    n = rows if rows is not None else checked_rows(df, max_rows)
-    return F.broadcast(df) if fits_broadcast(n, df.schema, max_rows, max_bytes) else df
+    if rows is None:
+        df, rows = staged(df, "bounded")
+    return F.broadcast(df) if fits_broadcast(rows, df.schema, max_rows, max_bytes) else df

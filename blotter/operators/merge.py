@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from blotter.operators.incremental import ts_literal
-from blotter.operators.joins import DEFAULT_BROADCAST_ROWS, checked_rows, fits_broadcast
+from blotter.operators.joins import DEFAULT_BROADCAST_ROWS, fits_broadcast, staged
 
 
 class DuplicateKeyError(ValueError):
@@ -86,7 +86,10 @@ def merge_upsert(target: DataFrame | None, source: DataFrame, keys: list[str],
     ``sync_columns`` when the schema moved). ``with_action`` adds ``_action`` in
     ``insert / update / unchanged / keep``.
 
-    Physical plan: when the source is small (row count checked, at most
+    A source without a known row count is written to the scratch folder first
+    and counted there, so its plan runs once.
+
+    Physical plan: when the source is small (at most
     ``broadcast_rows`` and within the broadcast byte bound) the target is never
     shuffled: it is streamed once past a broadcast of the source, and new keys
     are found by a key-only semi join. Otherwise one full outer sort-merge join
@@ -101,6 +104,8 @@ def merge_upsert(target: DataFrame | None, source: DataFrame, keys: list[str],
     """
     cols = source.columns
     update_cols = [c for c in (update_cols if update_cols is not None else cols) if c not in keys]
+    if source_rows is None and target is not None:
+        source, source_rows = staged(source, "merge_source")
     if check_unique:
         assert_unique_keys(source, keys)
     if target is None:
@@ -108,12 +113,11 @@ def merge_upsert(target: DataFrame | None, source: DataFrame, keys: list[str],
         return out.withColumn("_action", F.lit("insert")) if with_action else out
     target = target.select(*cols)
 
-    n_src = source_rows if source_rows is not None else checked_rows(source, broadcast_rows)
     t = target.select(*[F.col(c).alias(f"t__{c}") for c in cols], F.lit(True).alias("t__hit"))
     s = source.select(*[F.col(c).alias(f"s__{c}") for c in cols], F.lit(True).alias("s__hit"))
     on = reduce(lambda a, b: a & b, [F.col(f"t__{k}") == F.col(f"s__{k}") for k in keys])
 
-    if broadcast_merge(n_src, source.schema, broadcast_rows):
+    if broadcast_merge(source_rows, source.schema, broadcast_rows):
         rewritten = t.join(F.broadcast(s), on, "left")
         hits = (target.select(*keys).join(F.broadcast(source.select(*keys)), keys, "left_semi"))
         inserts = source.join(F.broadcast(hits), keys, "left_anti")
@@ -175,9 +179,9 @@ def carry_first_seen(incoming: DataFrame, target: DataFrame | None, keys: list[s
     if target is None:
         return base.withColumn(doe_col, stamp).withColumn(dlu_col, stamp)
     existing = target.select(*keys, F.col(doe_col).alias("__doe"))
-    n = checked_rows(incoming, broadcast_rows)
-    if fits_broadcast(n, incoming.select(*keys).schema, broadcast_rows):
-        existing = existing.join(F.broadcast(incoming.select(*keys)), keys, "left_semi")
+    base, n = staged(base, "first_seen")
+    if fits_broadcast(n, base.select(*keys).schema, broadcast_rows):
+        existing = existing.join(F.broadcast(base.select(*keys)), keys, "left_semi")
     joined = base.join(existing, keys, "left")
     return (joined.withColumn(doe_col, F.coalesce(F.col("__doe"), stamp))
             .withColumn(dlu_col, stamp).drop("__doe"))

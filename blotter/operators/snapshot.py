@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from blotter.operators.incremental import ts_literal
-from blotter.operators.joins import DEFAULT_BROADCAST_ROWS, checked_rows, fits_broadcast
+from blotter.operators.joins import DEFAULT_BROADCAST_ROWS, fits_broadcast, staged
 from blotter.operators.merge import rows_differ
 
 VALID_FROM, VALID_TO = "valid_from", "valid_to"
@@ -30,7 +30,7 @@ def snapshot_check(current: DataFrame | None, incoming: DataFrame, key: list[str
 
     Each compared row emits one or two versions through ``explode`` (no second
     pass); closed history rows bypass the comparison. A small ``incoming``
-    (row count given or checked, within the broadcast bounds) is broadcast:
+    (row count given or taken from a staged copy, within the broadcast bounds) is broadcast:
     the open versions stream past it once and unseen keys are found with a
     key-only semi join, so the snapshot is never shuffled. Otherwise one full
     outer sort-merge join of the open versions with ``incoming``.
@@ -41,6 +41,8 @@ def snapshot_check(current: DataFrame | None, incoming: DataFrame, key: list[str
     if current is None:
         return (incoming.withColumn(VALID_FROM, stamp)
                 .withColumn(VALID_TO, F.lit(None).cast("timestamp_ntz")))
+    if incoming_rows is None:
+        incoming, incoming_rows = staged(incoming, "snapshot_source")
     out_cols = cols + [VALID_FROM, VALID_TO]
     history = current.filter(F.col(VALID_TO).isNotNull()).select(*out_cols)
     open_v = current.filter(F.col(VALID_TO).isNull()).select(*out_cols)
@@ -48,8 +50,7 @@ def snapshot_check(current: DataFrame | None, incoming: DataFrame, key: list[str
     o = open_v.select(*[F.col(c).alias(f"o__{c}") for c in out_cols], F.lit(True).alias("o__hit"))
     n = incoming.select(*[F.col(c).alias(f"n__{c}") for c in cols], F.lit(True).alias("n__hit"))
     on = reduce(lambda a, b: a & b, [F.col(f"o__{k}") == F.col(f"n__{k}") for k in keys])
-    n_rows = incoming_rows if incoming_rows is not None else checked_rows(incoming, broadcast_rows)
-    small = fits_broadcast(n_rows, incoming.schema, broadcast_rows)
+    small = fits_broadcast(incoming_rows, incoming.schema, broadcast_rows)
     if small:
         j = o.join(F.broadcast(n), on, "left")
         seen = open_v.select(*keys).join(F.broadcast(incoming.select(*keys)), keys, "left_semi")

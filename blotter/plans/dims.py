@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from blotter.functions.calendar import date_spine, part_of_day
 from blotter.functions.keys import double_text, surrogate_key
-from blotter.operators.dedupe import latest_by
+from blotter.operators.dedupe import latest_by, latest_label
 from blotter.operators.incremental import since_watermark, ts_literal
 from blotter.operators.snapshot import snapshot_check
 
@@ -39,41 +39,44 @@ CODE_DIMS: dict[str, CodeDim] = {d.name: d for d in [
             ("premis_cd", "premis_desc"), "id", ("description", "source_dlu", "dlu"), True),
     CodeDim("dim_weapon", "weapon_used_cd", "weapon_desc", "description", ("weapon_used_cd",),
             "id", ("code", "description", "source_dlu", "dlu"), True),
-    CodeDim("dim_crime_code", "crm_cd", "crm_cd_desc", "description", (), "code",
-            ("description", "source_dlu", "dlu"), True),
+    CodeDim("dim_crime_code", "crm_cd", "crm_cd_desc", "description", (), "id",
+            ("code", "description", "source_dlu", "dlu"), True),
 ]}
 
 
-def code_dim(stg: DataFrame, spec: CodeDim, load_ts, watermark=None) -> DataFrame:
-    """Latest label per code among staged rows newer than ``watermark``.
+def code_dim(stg: DataFrame, spec: CodeDim, load_ts, watermark=None,
+             by: str = "dl_upd") -> DataFrame:
+    """Latest label per code among staged rows whose ``by`` is above
+    ``watermark``. A null code is a code like any other (one row).
 
     One row per code even when a code was loaded with several labels or
     stamps (latest stamp wins, then the greatest label).
     """
-    src = since_watermark(stg, "dl_upd", watermark)
+    src = since_watermark(stg, by, watermark)
     for c in spec.not_null:
         src = src.filter(F.col(c).isNotNull())
     src = src.select(F.col(spec.code).alias("code"), F.col(spec.label).alias(spec.label_as),
                      F.col("dl_upd").alias("source_dlu"))
-    latest = latest_by(src, ["code"], ["source_dlu", spec.label_as])
+    latest = latest_label(src, "code", spec.label_as, "source_dlu")
     return latest.select(surrogate_key("code").alias("id"), "code", spec.label_as,
                          "source_dlu", ts_literal(load_ts).alias("dlu"))
 
 
-def dim_victim(stg: DataFrame, descent: DataFrame, load_ts, watermark=None) -> DataFrame:
+def dim_victim(stg: DataFrame, descent: DataFrame, load_ts, watermark=None,
+               by: str = "dl_upd") -> DataFrame:
     """Victim groups (age, sex, descent description).
 
     The 19-row descent seed is broadcast and joined before the aggregate, so
     the map side reduces rows to one per group before any shuffle.
     """
-    src = since_watermark(stg, "dl_upd", watermark).select(
+    src = since_watermark(stg, by, watermark).select(
         "vict_age", "vict_sex", "vict_descent", "dl_upd")
     m = F.broadcast(descent.select(F.col("descent_code").alias("__code"),
                                    F.col("descent_description").alias("descent")))
     mapped = src.join(m, F.col("vict_descent") == F.col("__code"), "left").select(
         F.col("vict_age").alias("age"), F.col("vict_sex").alias("sex"), F.col("descent"),
         F.col("dl_upd").alias("source_dlu"))
-    latest = latest_by(mapped, ["age", "sex", "descent"], ["source_dlu"])
+    latest = mapped.groupBy("age", "sex", "descent").agg(F.max("source_dlu").alias("source_dlu"))
     return latest.select(surrogate_key("age", "sex", "descent").alias("id"),
                          "age", "sex", "descent", "source_dlu", ts_literal(load_ts).alias("dlu"))
 
@@ -91,14 +94,15 @@ def location_key(prefix: str = ""):
 LOCATION_CHECK_COLS = ["location", "cross_street", "lat", "lon"]
 
 
-def location_incoming(stg: DataFrame, load_ts, watermark=None) -> DataFrame:
+def location_incoming(stg: DataFrame, load_ts, watermark=None, by: str = "dl_upd") -> DataFrame:
     """Distinct places (location, cross street, lat, lon) among staged rows
     newer than ``watermark``, keyed by their hash, latest stamp per key.
     Grouping on the hash keeps ids unique even for doubles that print alike."""
-    src = since_watermark(stg, "dl_upd", watermark).select(
-        location_key().alias("id"), *LOCATION_CHECK_COLS,
-                     F.col("dl_upd").alias("source_dlu"))
-    latest = latest_by(src, ["id"], ["source_dlu"])
+    src = since_watermark(stg, by, watermark).select(
+        *LOCATION_CHECK_COLS, F.col("dl_upd").alias("source_dlu"))
+    # Plain columns first (a hash aggregate), then the ids of what is left.
+    places = src.groupBy(*LOCATION_CHECK_COLS).agg(F.max("source_dlu").alias("source_dlu"))
+    latest = latest_by(places.withColumn("id", location_key()), ["id"], ["source_dlu"])
     return latest.select("id", *LOCATION_CHECK_COLS, "source_dlu",
                          ts_literal(load_ts).alias("dlu"))
 
@@ -115,6 +119,15 @@ def dim_location(stg: DataFrame, load_ts, current: DataFrame | None = None,
                           LOCATION_CHECK_COLS, load_ts, incoming_rows=incoming_rows)
 
 
+def newer_only(incoming: DataFrame, current: DataFrame, order: list[str]) -> DataFrame:
+    """Rows of ``incoming(id, ...)`` without the ones whose ``order`` is below
+    that of the current row: a late load with an older stamp does not replace
+    a newer label."""
+    old = current.select(F.col("id").alias("__id"), F.struct(*order).alias("__order"))
+    older = (F.col("id") == F.col("__id")) & (F.struct(*order) < F.col("__order"))
+    return incoming.join(old, older, "left_anti")
+
+
 def dim_date(spark: SparkSession, load_ts, start: str | dt.date = DATE_START,
              end: str | dt.date = DATE_END) -> DataFrame:
     """Calendar days in ``[start, end)``. Day of week 0 = Sunday; ISO week."""

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from blotter.operators.incremental import since_watermark, ts_literal
 from blotter.operators.joins import bounded_broadcast
+from blotter.plans.bridges import late_keys
 from blotter.plans.dims import location_key
+from blotter.plans.staging import LOAD_SEQ
 
 FACT_COLUMNS = ["dr_no", "date_rptd_id", "date_occ_id", "time_occ_id", "victims_id",
                 "weapons_id", "status_dim_id", "area_dim_id", "premis_dim_id",
@@ -42,11 +44,17 @@ def fct_incidents(stg: DataFrame, dims: dict[str, DataFrame], descent: DataFrame
     from the same staged rows before the fact, so the hash always names an
     existing current version and no fact-sized join is needed for it.
     ``doe``/``dlu`` are ``load_ts``; the merge keeps an existing ``doe``.
+    A premise that gets its text after ``watermark`` brings back the older rows
+    that name it.
     """
     rows = rows or {}
-    src = since_watermark(stg, "dl_upd", watermark)
+    src = since_watermark(stg, LOAD_SEQ, watermark)
     if upto is not None:
-        src = src.filter(F.col("dl_upd") <= ts_literal(upto))
+        src = src.filter(F.col(LOAD_SEQ) <= upto)
+    if watermark is not None:
+        late = late_keys(stg, "premis_cd", watermark, "premis_desc")
+        if late is not None:
+            src = src.unionByName(stg.filter(F.col(LOAD_SEQ) <= watermark).join(late, "premis_cd", "left_semi"))
     f = src.select("dr_no", "date_occ", "date_rptd", "hour_occ", "minute_occ", "vict_age",
                    "vict_sex", "vict_descent", "weapon_used_cd", "status", "area", "premis_cd",
                    location_key().alias("location_dim_id"))

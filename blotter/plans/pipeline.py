@@ -2,9 +2,9 @@
 bridges -> fact -> reports. Plain function calls in dependency order; every
 model is written as a versioned table before its consumers read it.
 
-Incremental models keep their own watermark beside the table (the largest
-``dl_upd`` they have processed) and read only newer staged rows, bounded above
-by the raw table's watermark at the start of the run.
+Incremental models keep their own watermark beside the table (the number of the
+last load they have processed) and read only rows of later loads, bounded above
+by the raw table's last load at the start of the run.
 """
 
 from __future__ import annotations
@@ -23,11 +23,11 @@ from blotter.plans.bridges import bridge_crime_code, bridge_mocode
 from blotter.operators.snapshot import snapshot_check
 from blotter.plans.dims import (CODE_DIMS, DATE_END, DATE_START, LOCATION_CHECK_COLS, code_dim,
                                 dim_date, dim_location, dim_mocode, dim_time, dim_victim,
-                                location_incoming)
+                                location_incoming, newer_only)
 from blotter.plans.fact import FACT_COLUMNS, fct_incidents
-from blotter.plans.staging import stg_incidents
+from blotter.plans.staging import LOAD_SEQ, stg_incidents
 from blotter.sources.seeds import load_seed
-from blotter.sources.store import TableStore
+from blotter.sources.store import PART, TableStore
 
 RAW, CORE, REPORTING, INCREMENTS = "raw", "mart_core", "mart_reporting", "increments"
 CHECKS = "mart_checks"
@@ -89,31 +89,45 @@ def load_raw(store: TableStore, batch: DataFrame, change_cols: list[str] | None
     but the key and the load stamp differs, so a re-sent unchanged row keeps
     its old stamp and is not processed again downstream.
 
-    The first load has nothing to merge with: the batch is written straight
-    into the raw table (no landing copy of the largest load) and its keys are
-    checked on the written files before that version is published."""
-    current = store.read(RAW, RAW_TABLE)
-    if current is None:
-        return store.write(batch, RAW, RAW_TABLE, watermark_col="dl_upd", sort_within=["dl_upd"],
-                           bucket_by=RAW_KEY,
-                           validate=lambda written: assert_unique_keys(written, RAW_KEY, "batch"))
+    Loads are numbered: rows that a load inserts or changes carry its number
+    (``load_seq``), and every model reads the loads it has not seen. Load
+    stamps may therefore repeat or go back without a row being missed.
+
+    Only the partitions that the batch falls into are read and replaced. The
+    first load has nothing to merge with: its keys are checked on the written
+    table before that becomes visible."""
+    number = (store.watermark(RAW, RAW_TABLE) or 0) + 1
+    batch = batch.withColumn(LOAD_SEQ, F.lit(number).cast("long"))
+    if store.meta(RAW, RAW_TABLE) is None:
+        return store.write_live(batch, RAW, RAW_TABLE, RAW_KEY, number,
+                                validate=lambda written: assert_unique_keys(written, RAW_KEY, "batch"))
     landed = store.write(batch, INCREMENTS, "landing")
     n = store.rows(INCREMENTS, "landing")
+    if n == 0:
+        return store.read(RAW, RAW_TABLE)
     if change_cols is None:
-        change_cols = [c for c in batch.columns if c not in RAW_KEY + ["dl_upd"]]
-    current = sync_columns(current, landed)
-    merged = merge_upsert(current, landed, RAW_KEY, change_cols=change_cols, source_rows=n,
-                          insert_partitioning=(store.buckets, RAW_KEY), with_action=True)
+        change_cols = [c for c in batch.columns if c not in RAW_KEY + ["dl_upd", LOAD_SEQ]]
+    current = _touched_rows(store, RAW, RAW_TABLE, landed)
+    merged = merge_upsert(sync_columns(current, landed), landed, RAW_KEY, change_cols=change_cols,
+                          source_rows=n, insert_partitioning=(store.live_buckets(RAW, RAW_TABLE), RAW_KEY),
+                          with_action=True)
     # Bucketed on the merge key, so neither merge plan ever shuffles the raw
     # table (the broadcast plan streams it, the full outer plan shuffles only
-    # the batch into the bucket layout). Sorted by load stamp inside each file:
-    # row-group statistics on dl_upd let the watermark filters skip what was
-    # already processed.
-    # Rows affected by the MERGE are counted in the same pass as the write.
+    # the batch into the bucket layout). Rows affected by the MERGE are counted
+    # in the same pass as the write.
     actions = {a: F.sum((F.col("_action") == a).cast("long")) for a in MERGE_ACTIONS}
-    return store.write(merged, RAW, RAW_TABLE, watermark_col="dl_upd",
-                       sort_within=["dl_upd"], bucket_by=RAW_KEY, prepartitioned=True,
-                       metrics=actions, drop=["_action"])
+    return store.write_live(merged, RAW, RAW_TABLE, RAW_KEY, number, prepartitioned=True,
+                            metrics=actions, drop=("_action",))
+
+
+def _touched_rows(store: TableStore, schema: str, name: str, increment: DataFrame) -> DataFrame:
+    """Rows of a live table in the partitions that ``increment`` falls into: a
+    partition filter, so no other file is read. With other columns than the
+    table's, all rows (the table is then rewritten)."""
+    table = store.read_live(schema, name)
+    if store.same_schema(schema, name, increment.schema):
+        table = table.filter(F.col(PART).isin(store.touched(increment, schema, name)))
+    return table.drop(PART)
 
 
 def merge_counts(store: TableStore) -> dict:
@@ -123,25 +137,35 @@ def merge_counts(store: TableStore) -> dict:
 
 
 def _merge_model(store: TableStore, name: str, increment: DataFrame, keys: list[str],
-                 update_cols: list[str] | None, watermark_col: str | None = None,
-                 watermark=None, bucket_by: list[str] | None = None) -> DataFrame:
-    """First run: write the increment. Later runs: stage the increment (its
-    row count picks the merge plan), merge, write the next version. Bucketed
-    models keep their bucket layout through the merge without a reshuffle."""
+                 update_cols: list[str] | None, watermark) -> DataFrame:
+    """A dimension. First run: write the increment. Later runs: stage it (its
+    row count picks the merge plan), merge, write the next version."""
     current = store.read(CORE, name)
     if current is None:
-        return store.write(increment, CORE, name, watermark_col=watermark_col, watermark=watermark,
-                           bucket_by=bucket_by)
+        return store.write(increment, CORE, name, watermark=watermark)
+    inc = store.write(increment, INCREMENTS, name)
+    merged = merge_upsert(sync_columns(current, inc), inc, keys, update_cols=update_cols,
+                          check_unique=False, source_rows=store.rows(INCREMENTS, name))
+    return store.write(merged, CORE, name, watermark=watermark)
+
+
+def _merge_live(store: TableStore, name: str, increment: DataFrame, keys: list[str],
+                update_cols: list[str], watermark) -> DataFrame:
+    """Fact and bridges: as above, but only the partitions that the staged
+    increment falls into are read and replaced, and the bucket layout is kept
+    without a reshuffle where the merge keeps it."""
+    if store.meta(CORE, name) is None:
+        return store.write_live(increment, CORE, name, CO_KEY, watermark)
     inc = store.write(increment, INCREMENTS, name)
     n = store.rows(INCREMENTS, name)
+    current = _touched_rows(store, CORE, name, inc)
     merged = merge_upsert(sync_columns(current, inc), inc, keys, update_cols=update_cols,
                           check_unique=False, source_rows=n,
-                          insert_partitioning=(store.buckets, bucket_by) if bucket_by else None)
-    # Each task already holds one bucket when the merge streamed the bucketed
+                          insert_partitioning=(store.live_buckets(CORE, name), CO_KEY))
+    # Each task holds whole buckets when the merge streamed the bucketed
     # target (broadcast plan) or joined it on exactly the bucket columns.
-    aligned = bool(bucket_by) and (broadcast_merge(n, inc.schema) or list(keys) == list(bucket_by))
-    return store.write(merged, CORE, name, watermark_col=watermark_col, watermark=watermark,
-                       bucket_by=bucket_by, prepartitioned=aligned)
+    aligned = broadcast_merge(n, inc.schema) or list(keys) == CO_KEY
+    return store.write_live(merged, CORE, name, CO_KEY, watermark, prepartitioned=aligned)
 
 
 def _run_wave(jobs: dict, done, parallel: int) -> None:
@@ -180,29 +204,33 @@ def run_models(spark: SparkSession, store: TableStore, load_ts: str,
         spec = CODE_DIMS[name]
         if not spec.incremental:
             return store.write(code_dim(stg, spec, load_ts), CORE, name)
-        inc = code_dim(stg, spec, load_ts, store.watermark(CORE, name))
-        return _merge_model(store, name, inc, [spec.unique_key], list(spec.update_cols),
-                            watermark_col="source_dlu")
+        inc = code_dim(stg, spec, load_ts, store.watermark(CORE, name), LOAD_SEQ)
+        current = store.read(CORE, name)
+        if current is not None:
+            inc = newer_only(inc, current, ["source_dlu", spec.label_as])
+        return _merge_model(store, name, inc, [spec.unique_key], list(spec.update_cols), upto)
 
     def victim_model() -> DataFrame:
-        inc = dim_victim(stg, descent, load_ts, store.watermark(CORE, "dim_victim"))
+        inc = dim_victim(stg, descent, load_ts, store.watermark(CORE, "dim_victim"), LOAD_SEQ)
+        current = store.read(CORE, "dim_victim")
+        if current is not None:
+            inc = newer_only(inc, current, ["source_dlu"])
         return _merge_model(store, "dim_victim", inc, ["id"],
-                            ["age", "sex", "descent", "source_dlu", "dlu"], watermark_col="source_dlu")
+                            ["age", "sex", "descent", "source_dlu", "dlu"], upto)
 
     def location_model() -> DataFrame:
         current = store.read(CORE, "dim_location")
         if current is None:
-            return store.write(dim_location(stg, load_ts), CORE, "dim_location",
-                               watermark_col="source_dlu")
+            return store.write(dim_location(stg, load_ts), CORE, "dim_location", watermark=upto)
         wm = store.watermark(CORE, "dim_location")
-        inc = store.write(location_incoming(stg, load_ts, wm), INCREMENTS, "dim_location")
+        inc = store.write(location_incoming(stg, load_ts, wm, LOAD_SEQ), INCREMENTS, "dim_location")
         snap = snapshot_check(current, inc, "id", LOCATION_CHECK_COLS, load_ts,
                               incoming_rows=store.rows(INCREMENTS, "dim_location"))
-        return store.write(snap, CORE, "dim_location", watermark_col="source_dlu")
+        return store.write(snap, CORE, "dim_location", watermark=upto)
 
     # Wave 1: every dimension (independent of each other). Generated and seed
-    # tables are full refreshes, code dimensions merge an increment since their
-    # stored max(source_dlu), and places staged since the location snapshot's
+    # tables are full refreshes, code dimensions merge the loads they have not
+    # seen, and places staged since the location snapshot's
     # watermark are compared with its open versions.
     wave1 = {
         "dim_date": lambda: store.write(dim_date(spark, load_ts, *date_range), CORE, "dim_date"),
@@ -215,27 +243,24 @@ def run_models(spark: SparkSession, store: TableStore, load_ts: str,
         wave1[name] = (lambda n: (lambda: code_model(n)))(name)
     _run_wave(wave1, done, parallel)
 
-    # Wave 2: bridges and fact over rows with wm < dl_upd <= upto; the merge
+    # Wave 2: bridges and fact over rows with wm < load_seq <= upto; the merge
     # keeps an existing doe (first seen) and refreshes dlu.
     def crime_bridge() -> DataFrame:
         inc = bridge_crime_code(stg, dims["dim_crime_code"], load_ts,
                                 store.watermark(CORE, "bridge_crime_code"),
                                 star.rows["dim_crime_code"], upto)
-        return _merge_model(store, "bridge_crime_code", inc, ["dr_no", "crime_code_dim_id"],
-                            ["dlu"], watermark=upto, bucket_by=CO_KEY)
+        return _merge_live(store, "bridge_crime_code", inc, ["dr_no", "crime_code_dim_id"], ["dlu"], upto)
 
     def mo_bridge() -> DataFrame:
         inc = bridge_mocode(stg, dims["dim_mocode"], load_ts, store.watermark(CORE, "bridge_mocode"),
                             star.rows["dim_mocode"], upto)
-        return _merge_model(store, "bridge_mocode", inc, ["dr_no", "mocode_dim_id"], ["dlu"],
-                            watermark=upto, bucket_by=CO_KEY)
+        return _merge_live(store, "bridge_mocode", inc, ["dr_no", "mocode_dim_id"], ["dlu"], upto)
 
     def fact() -> DataFrame:
         inc = fct_incidents(stg, dims, descent, load_ts, star.rows,
                             store.watermark(CORE, "fct_incidents"), upto)
-        return _merge_model(store, "fct_incidents", inc, ["dr_no"],
-                            [c for c in FACT_COLUMNS if c not in ("dr_no", "doe")], watermark=upto,
-                            bucket_by=CO_KEY)
+        return _merge_live(store, "fct_incidents", inc, ["dr_no"],
+                           [c for c in FACT_COLUMNS if c not in ("dr_no", "doe")], upto)
 
     _run_wave({"bridge_crime_code": crime_bridge, "bridge_mocode": mo_bridge,
                "fct_incidents": fact}, done, parallel)

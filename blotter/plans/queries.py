@@ -18,11 +18,12 @@ from blotter.checks import rules as C
 from blotter.functions.share import grid_bucket, share_of_group
 from blotter.operators.dedupe import latest_by
 from blotter.operators.incremental import high_watermark, ts_literal
+from blotter.operators.joins import staged
 from blotter.operators.merge import carry_first_seen, merge_upsert, sync_columns
 from blotter.operators.snapshot import snapshot_check
 from blotter.plans import pipeline as P
 from blotter.plans.dims import CODE_DIMS, code_dim, dim_date
-from blotter.plans.staging import stg_incidents
+from blotter.plans.staging import LOAD_SEQ, stg_incidents
 from blotter.session import conform_session, scratch_path
 from blotter.sources.fixture import BATCH_STAMPS, incident_fixture, read_table
 from blotter.sources.landing import read_incidents_csv, with_load_ts, write_landing_csv
@@ -59,9 +60,11 @@ def change_feed(spark: SparkSession, sf_dir: str) -> list[tuple[str, DataFrame]]
     s1, s2, s3 = (ts_literal(s) for s in BATCH_STAMPS)
     b1 = fx.filter(F.col("dl_upd") == s1)
     key_mod = F.col("dr_no").cast("long") % 10
-    b2 = fx.filter(F.col("dl_upd") == s2).unionByName(
+    # Some reports of batches 2 and 3 have no primary code.
+    no_code = F.when(F.col("dr_no").cast("long") % 41 != 0, F.col("crm_cd"))
+    b2 = fx.filter(F.col("dl_upd") == s2).withColumn("crm_cd", no_code).unionByName(
         b1.filter(key_mod == 0).withColumn("status", F.lit("AR")).withColumn("dl_upd", s2))
-    b3 = fx.filter(F.col("dl_upd") == s3).unionByName(
+    b3 = fx.filter(F.col("dl_upd") == s3).withColumn("crm_cd", no_code).unionByName(
         b1.filter(key_mod == 1).withColumn("dl_upd", s3))
     return list(zip(BATCH_STAMPS, [b1, b2, b3]))
 
@@ -119,8 +122,27 @@ def q_fct_incidents_3batch(spark, sf_dir):
     return batch_star(spark, sf_dir).table("fct_incidents")
 
 
+def _batch_table(name):
+    return lambda spark, sf_dir: batch_star(spark, sf_dir).table(name)
+
+
+def q_fct_incidents_same_stamp(spark, sf_dir):
+    """The fact after three loads of which two share a stamp and the last has
+    an older one: every row arrives."""
+    conform_session(spark)
+    k = _key(spark, sf_dir, "same-stamp")
+    with _LOCK:
+        if k not in _STARS:
+            store = TableStore(spark, scratch_path(spark, "star-same-stamp"))
+            fx, third = incident_fixture(spark, sf_dir), F.col("dr_no").cast("long") % 3
+            for part, stamp in ((0, BATCH_STAMPS[1]), (1, BATCH_STAMPS[1]), (2, BATCH_STAMPS[0])):
+                P.load_raw(store, fx.filter(third == part).withColumn("dl_upd", ts_literal(stamp)))
+                _STARS[k] = P.run_models(spark, store, RUN_TS)
+        return _STARS[k].table("fct_incidents")
+
+
 def q_raw_merge_upsert(spark, sf_dir):
-    return batch_star(spark, sf_dir).table(P.RAW_TABLE)
+    return batch_star(spark, sf_dir).table(P.RAW_TABLE).drop(LOAD_SEQ)
 
 
 def _report(name):
@@ -130,22 +152,29 @@ def _report(name):
 # -- operators on their own ----------------------------------------------------
 
 def q_merge_update_columns_subset(spark, sf_dir):
-    """Batch 2 merged into batch 1 with only ``status`` updatable: matched rows
-    take the new status but keep their old stamp and text."""
-    (_, b1), (_, b2), _ = change_feed(spark, sf_dir)
+    """Batches 2 and 3 merged into batch 1 with only ``status`` updatable:
+    matched rows take the new status but keep their old stamp and text.
+    ``_action`` is that of the last merge."""
     cols = ["dr_no", "status", "status_desc", "weapon_desc", "dl_upd"]
-    return merge_upsert(b1.select(*cols), b2.select(*cols), ["dr_no"], update_cols=["status"],
-                        change_cols=["status"], with_action=True)
+    out = None
+    for _, batch in change_feed(spark, sf_dir):
+        target = out if out is None else staged(out.drop("_action"), "merge_target")[0]
+        out = merge_upsert(target, batch.select(*cols), ["dr_no"], update_cols=["status"],
+                           change_cols=["status"], with_action=True)
+    return out
 
 
 def q_merge_schema_sync(spark, sf_dir):
-    """Target without ``status_desc``; the incoming batch adds it and drops
-    ``weapon_desc``. Old rows get null in the new column."""
-    (_, b1), (_, b2), _ = change_feed(spark, sf_dir)
+    """Target without ``status_desc``; the incoming batches 2 and 3 add it and
+    drop ``weapon_desc``. Old rows get null in the new column."""
+    (_, b1), (_, b2), (_, b3) = change_feed(spark, sf_dir)
     target = b1.select("dr_no", "status", "weapon_desc", "dl_upd")
-    incoming = b2.select("dr_no", "status", "status_desc", "dl_upd")
-    return merge_upsert(sync_columns(target, incoming), incoming, ["dr_no"],
-                        change_cols=["status", "status_desc"])
+    for batch in (b2, b3):
+        incoming = batch.select("dr_no", "status", "status_desc", "dl_upd")
+        merged = merge_upsert(sync_columns(target, incoming), incoming, ["dr_no"],
+                              change_cols=["status", "status_desc"])
+        target = staged(merged, "merge_target")[0]
+    return target
 
 
 def q_since_watermark_weapons(spark, sf_dir):
@@ -173,7 +202,7 @@ def q_snapshot_status_history(spark, sf_dir):
     """Status history per report over the change feed (type-2 snapshot)."""
     snap = None
     for stamp, batch in change_feed(spark, sf_dir):
-        incoming = batch.select(F.col("dr_no").cast("int").alias("dr_no"), "status")
+        incoming = batch.select(F.col("dr_no").cast("long").alias("dr_no"), "status")
         snap = snapshot_check(snap, incoming, "dr_no", ["status"], stamp).checkpoint(eager=True)
     return snap
 
@@ -216,6 +245,9 @@ def queries() -> dict:
         "bridge_mocode": _table("bridge_mocode"),
         "fct_incidents_full": _table("fct_incidents"),
         "fct_incidents_3batch": q_fct_incidents_3batch,
+        "fct_incidents_same_stamp": q_fct_incidents_same_stamp,
+        "dim_crime_code_3batch": _batch_table("dim_crime_code"),
+        "bridge_crime_code_3batch": _batch_table("bridge_crime_code"),
         "raw_merge_upsert": q_raw_merge_upsert,
         "merge_update_columns_subset": q_merge_update_columns_subset,
         "merge_schema_sync": q_merge_schema_sync,

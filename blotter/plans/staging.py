@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from blotter.functions.calendar import hhmm_parts, parse_incident_date
 
+# Number of the load that last wrote a raw row (see pipeline.load_raw).
+LOAD_SEQ = "load_seq"
+
 # Victim sex recode; anything else becomes null.
 SEX_LABELS = {"M": "Male", "F": "Female", "X": "Unknown"}
 
@@ -20,14 +23,14 @@ def recode_sex(c: str = "vict_sex"):
 
 
 def report_number(c: str = "dr_no"):
-    """The report number as int. Text that is not the canonical form of its
+    """The report number as a long. Text that is not the canonical form of its
     number (``007``, ``7 ``) fails the job: the raw table is keyed by the
     text, so two spellings of one number would collide in every table keyed
-    by the int (fact, bridges). A per-row check, no shuffle."""
-    n = F.col(c).cast("int")
+    by the number (fact, bridges). A per-row check, no shuffle."""
+    n = F.col(c).cast("long")
     ok = F.col(c).isNull() | (n.cast("string") == F.col(c))
     err = F.raise_error(F.concat(F.lit("report number is not a canonical integer: "), F.col(c)))
-    return F.when(ok, n).otherwise(err.cast("int"))
+    return F.when(ok, n).otherwise(err.cast("long"))
 
 
 def stg_incidents(raw: DataFrame) -> DataFrame:
@@ -64,4 +67,5 @@ def stg_incidents(raw: DataFrame) -> DataFrame:
         F.col("lat").cast("double").alias("lat"),
         F.col("lon").cast("double").alias("lon"),
         F.col("dl_upd"),
+        *[F.col(LOAD_SEQ)] * (LOAD_SEQ in raw.columns),
     )

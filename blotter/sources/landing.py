@@ -30,7 +30,7 @@ def read_incidents_csv(spark: SparkSession, path: str | list[str],
           .option("quote", '"').option("escape", '"')
           .option("multiLine", False)
           .option("nullValue", "").option("emptyValue", None)
-          .option("mode", "FAILFAST")
+          .option("mode", "FAILFAST").option("enforceSchema", False)
           .csv(path))
     return df.select(*[F.when(F.col(f.name) == F.lit("NULL"), F.lit(None).cast(f.dataType))
                        .otherwise(F.col(f.name)).alias(f.name) for f in schema.fields])

@@ -7,11 +7,15 @@ version carries a small ``_meta.json`` (row count, watermark, schema) that the
 write itself measures with an ``Observation``, so checking a table's size
 (for example before a broadcast) costs no scan.
 
-Tables that are joined with each other on a key (the fact and the bridges on
-``dr_no``) are written *bucketed* on it with the same bucket count: the join
-then reads both sides already co-partitioned and needs no exchange. A bucketed
-version is registered in the session catalog as an external table over its
-folder (re-registered from the metadata by any later session).
+Tables that grow with every load (raw rows, fact, bridges) are not rewritten
+as a whole: they are *live* tables, plain Spark tables partitioned by ranges of
+the report number and bucketed on it. A MERGE reads and replaces only the
+partitions its increment falls into (Spark's dynamic partition overwrite).
+Their common bucketing lets fact x bridge joins read co-partitioned inputs. A
+live table counts as existing once its metadata is written; a load that was
+interrupted before is simply run again, since merging the same rows twice
+changes nothing. It is registered in the session catalog as an external table
+(re-registered from the metadata by any later session).
 
 File-system calls go through Hadoop's ``FileSystem`` so ``root`` may be any
 shared store the cluster can write (HDFS, object stores, a shared mount).
@@ -23,19 +27,27 @@ import hashlib
 import json
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from blotter.operators.joins import staged
+
 META_FILE = "_meta.json"
+#: Partition column of live tables: report number div the partition width.
+PART = "dr_part"
 
 
 class TableStore:
     def __init__(self, spark: SparkSession, root: str, keep_versions: int = 2,
-                 buckets: int | None = None):
+                 buckets: int | None = None, part_width: int = 50_000_000):
+        """``buckets`` and ``part_width`` (report numbers per partition) size
+        the live tables; a table keeps the values of its first write, so a
+        store opened later with others still reads and writes one layout."""
         self.spark = spark
         self.root = root.rstrip("/")
         self.keep_versions = keep_versions
+        self.part_width = part_width
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self._jvm = spark.sparkContext._jvm
         self._conf = spark.sparkContext._jsc.hadoopConfiguration()
@@ -49,8 +61,8 @@ class TableStore:
                            f"LOCATION '{self.root}/_catalog'")
             self._db_ready = True
 
-    def _catalog_name(self, schema: str, name: str, v: int) -> str:
-        return f"{self.database}.{schema}__{name}__v{v:06d}"
+    def _catalog_name(self, schema: str, name: str) -> str:
+        return f"{self.database}.{schema}__{name}"
 
     def _register(self, qualified: str, path: str, meta: dict) -> None:
         if self.spark.catalog.tableExists(qualified):
@@ -59,8 +71,10 @@ class TableStore:
         schema = T.StructType.fromJson(json.loads(meta["schema"]))
         cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
         keys = ", ".join(f"`{k}`" for k in meta["bucket_by"])
-        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {qualified} ({cols}) USING parquet "
-                       f"CLUSTERED BY ({keys}) INTO {meta['buckets']} BUCKETS LOCATION '{path}'")
+        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {qualified} ({cols}, `{PART}` bigint) USING parquet "
+                       f"PARTITIONED BY (`{PART}`) CLUSTERED BY ({keys}) INTO {meta['buckets']} BUCKETS "
+                       f"LOCATION '{path}'")
+        self.spark.catalog.recoverPartitions(qualified)
 
     # -- paths -----------------------------------------------------------
     def path(self, schema: str, name: str) -> str:
@@ -95,18 +109,20 @@ class TableStore:
         return f"{self.path(schema, name)}/v{v:06d}"
 
     def exists(self, schema: str, name: str) -> bool:
-        return bool(self.versions(schema, name))
+        return self.meta(schema, name) is not None
 
     # -- metadata --------------------------------------------------------
+    def _live_path(self, schema: str, name: str) -> str:
+        return f"{self.path(schema, name)}/live"
+
     def meta(self, schema: str, name: str) -> dict | None:
-        vs = self.versions(schema, name)
-        if not vs:
-            return None
-        p = f"{self._version_path(schema, name, vs[-1])}/{META_FILE}"
-        fs = self._fs(p)
-        if not fs.exists(self._p(p)):
-            return None
-        stream = fs.open(self._p(p))
+        p = f"{self._live_path(schema, name)}/{META_FILE}"
+        if not self._fs(p).exists(self._p(p)):
+            vs = self.versions(schema, name)
+            if not vs:
+                return None
+            p = f"{self._version_path(schema, name, vs[-1])}/{META_FILE}"
+        stream = self._fs(p).open(self._p(p))
         try:
             text = self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
         finally:
@@ -144,15 +160,13 @@ class TableStore:
 
     # -- read / write ----------------------------------------------------
     def read(self, schema: str, name: str) -> DataFrame | None:
+        m = self.meta(schema, name)
+        if m and m.get("bucket_by"):
+            return self.read_live(schema, name).drop(PART)
         vs = self.versions(schema, name)
         if not vs:
             return None
         path = self._version_path(schema, name, vs[-1])
-        m = self.meta(schema, name)
-        if m and m.get("bucket_by"):
-            qualified = self._catalog_name(schema, name, vs[-1])
-            self._register(qualified, path, m)
-            return self.spark.table(qualified)
         reader = self.spark.read
         if m and m.get("schema"):
             reader = reader.schema(T.StructType.fromJson(json.loads(m["schema"])))
@@ -160,21 +174,14 @@ class TableStore:
 
     def write(self, df: DataFrame, schema: str, name: str,
               watermark_col: str | None = None, watermark=None,
-              range_sort: list[str] | None = None,
-              sort_within: list[str] | None = None,
-              num_partitions: int | None = None,
-              bucket_by: list[str] | None = None,
-              prepartitioned: bool = False,
-              validate=None,
-              metrics: dict | None = None,
-              drop: list[str] | None = None) -> DataFrame:
+              sort_within: list[str] | None = None) -> DataFrame:
         """Write ``df`` as the next version and return a frame reading it back.
 
-        Row count (and ``max(watermark_col)``) are observed during the write.
+        Row count (and ``max(watermark_col)``) are observed in the writing
+        stage itself, where a task's numbers count once however often it runs.
         ``watermark`` overrides the observed one (pass the previous watermark
-        when an increment was empty). ``range_sort`` range-partitions and sorts
-        the output (ordered report files); ``sort_within`` only sorts inside
-        each task's output (tighter Parquet min/max statistics, no shuffle).
+        when an increment was empty). ``sort_within`` sorts inside each task's
+        output (tighter Parquet min/max statistics, no shuffle).
         """
         every = self._version_dirs(schema, name, committed=False)
         nxt = (every[-1] + 1) if every else 1   # never reuse a half-written folder
@@ -182,46 +189,99 @@ class TableStore:
         exprs = [F.count(F.lit(1)).alias("rows")]
         if watermark_col:
             exprs.append(F.max(watermark_col).alias("wm"))
-        exprs += [c.alias(f"m__{k}") for k, c in (metrics or {}).items()]
         obs = Observation(f"w_{schema}_{name}_{nxt}_{uuid.uuid4().hex[:8]}")
-        out = df.observe(obs, *exprs)
-        if drop:
-            out = out.drop(*drop)
-        if bucket_by and range_sort:
-            raise ValueError("a bucketed table cannot also be range-partitioned")
-        if bucket_by and not prepartitioned:
-            out = out.repartition(self.buckets, *bucket_by)
-        if range_sort:
-            parts = num_partitions or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-            out = out.repartitionByRange(parts, *range_sort).sortWithinPartitions(*range_sort)
-        elif sort_within:
-            out = out.sortWithinPartitions(*sort_within)
-        if bucket_by:
-            self._ensure_database()
-            (out.write.mode("errorifexists").format("parquet")
-             .bucketBy(self.buckets, *bucket_by).option("path", path)
-             .saveAsTable(self._catalog_name(schema, name, nxt)))
-        else:
-            out.write.mode("errorifexists").parquet(path)
+        out = df.sortWithinPartitions(*sort_within) if sort_within else df
+        out.observe(obs, *exprs).write.mode("errorifexists").parquet(path)
         measured = obs.get
-        if validate is not None:
-            validate(self.spark.read.parquet(path))
         wm = watermark if watermark is not None else measured.get("wm")
         if watermark_col and measured.get("wm") is not None and watermark is not None:
             wm = max(str(watermark), str(measured["wm"]))
-        stored_schema = df.drop(*drop).schema if drop else df.schema
         self._write_meta(path, {"rows": int(measured["rows"]), "watermark": wm,
-                                "metrics": {k: measured.get(f"m__{k}") for k in (metrics or {})},
-                                "schema": stored_schema.json(), "version": nxt,
-                                "bucket_by": bucket_by, "buckets": self.buckets if bucket_by else None})
+                                "schema": df.schema.json(), "version": nxt})
         self._expire(schema, name)
         return self.read(schema, name)
 
+    # -- live tables -------------------------------------------------------
+    def read_live(self, schema: str, name: str) -> DataFrame | None:
+        """The live table with its partition column."""
+        m = self.meta(schema, name)
+        if m is None:
+            return None
+        qualified = self._catalog_name(schema, name)
+        self._register(qualified, self._live_path(schema, name), m)
+        return self.spark.table(qualified)
+
+    def live_buckets(self, schema: str, name: str) -> int:
+        return int((self.meta(schema, name) or {}).get("buckets") or self.buckets)
+
+    def part_of(self, schema: str, name: str, key: str = "dr_no") -> Column:
+        """The partition that a report number belongs to."""
+        width = int((self.meta(schema, name) or {}).get("part_width") or self.part_width)
+        number = F.col(key).try_cast("long")
+        return F.coalesce(F.call_function("div", number, F.lit(width).cast("long")), F.lit(-1).cast("long"))
+
+    def touched(self, df: DataFrame, schema: str, name: str, key: str = "dr_no") -> list[int]:
+        """Partitions that the keys of ``df`` fall into (partition numbers, one
+        per range of report numbers, not rows)."""
+        part = self.part_of(schema, name, key).alias(PART)
+        return sorted(r[0] for r in df.select(part).distinct().collect())
+
+    def same_schema(self, schema: str, name: str, wanted: T.StructType) -> bool:
+        kinds = lambda s: [(f.name, f.dataType) for f in s.fields]
+        return kinds(T.StructType.fromJson(json.loads(self.meta(schema, name)["schema"]))) == kinds(wanted)
+
+    def write_live(self, df: DataFrame, schema: str, name: str, bucket_by: list[str], watermark,
+                   prepartitioned: bool = False, validate=None, metrics: dict | None = None,
+                   drop: tuple[str, ...] = ()) -> DataFrame:
+        """First write: create the table from ``df``. Later: replace exactly the
+        partitions that ``df`` has rows for (so ``df`` must hold all rows of
+        those); the files of every other partition stay as they are. A ``df``
+        with other columns replaces the whole table.
+
+        ``metrics`` are observed in the writing stage. ``validate`` gets the
+        written table before its metadata makes a first write visible."""
+        old = self.meta(schema, name)
+        path = self._live_path(schema, name)
+        qualified = self._catalog_name(schema, name)
+        buckets = int(old["buckets"]) if old else self.buckets
+        width = int(old["part_width"]) if old else self.part_width
+        exprs = [F.count(F.lit(1)).alias("rows")]
+        exprs += [c.alias(f"m__{k}") for k, c in (metrics or {}).items()]
+        obs = Observation(f"w_{schema}_{name}_{uuid.uuid4().hex[:8]}")
+        out = df.withColumn(PART, self.part_of(schema, name, bucket_by[0]))
+        if not prepartitioned:
+            out = out.repartition(buckets, *bucket_by)
+        out = out.sortWithinPartitions(PART, *bucket_by).observe(obs, *exprs).drop(*drop)
+        self._ensure_database()
+        stored = df.drop(*drop).schema
+        if old is None or not self.same_schema(schema, name, stored):
+            if old is not None:  # the new layout may be made from the old files
+                out = staged(out, "schema_change")[0].repartition(buckets, *bucket_by)
+                out = out.sortWithinPartitions(PART, *bucket_by)
+            (out.write.mode("overwrite").format("parquet").option("path", path).partitionBy(PART)
+             .bucketBy(buckets, *bucket_by).sortBy(*bucket_by).saveAsTable(qualified))
+        else:
+            self._register(qualified, path, old)
+            columns = self.spark.table(qualified).columns
+            conf = "spark.sql.sources.partitionOverwriteMode"
+            before = self.spark.conf.get(conf)
+            self.spark.conf.set(conf, "dynamic")
+            try:
+                out.select(*columns).write.insertInto(qualified, overwrite=True)
+            finally:
+                self.spark.conf.set(conf, before)
+            self.spark.catalog.refreshTable(qualified)
+        measured = obs.get
+        if validate is not None:
+            validate(self.spark.table(qualified))
+        self._write_meta(path, {"watermark": watermark, "written_rows": int(measured["rows"]),
+                                "metrics": {k: measured.get(f"m__{k}") for k in (metrics or {})},
+                                "schema": stored.json(), "bucket_by": bucket_by, "buckets": buckets,
+                                "part_width": width})
+        return self.read(schema, name)
+
     def _expire(self, schema: str, name: str) -> None:
         vs = self.versions(schema, name)
         for v in vs[:-self.keep_versions] if self.keep_versions else []:
             p = self._version_path(schema, name, v)
-            qualified = self._catalog_name(schema, name, v)
-            if self._db_ready and self.spark.catalog.tableExists(qualified):
-                self.spark.sql(f"DROP TABLE IF EXISTS {qualified}")
             self._fs(p).delete(self._p(p), True)

@@ -43,7 +43,7 @@ PART_OF_DAY = ("CASE WHEN {h} BETWEEN 0 AND 5 THEN 'Night' WHEN {h} BETWEEN 6 AN
 RAW = f"raw AS ({fixture_sql('TIMESTAMP')})"
 
 STG_SELECT = """
-  SELECT CAST(dr_no AS INTEGER) AS dr_no,
+  SELECT CAST(dr_no AS BIGINT) AS dr_no,
     CAST(strptime(date_rptd, '%m/%d/%Y %I:%M:%S %p') AS DATE) AS date_rptd,
     CAST(strptime(date_occ, '%m/%d/%Y %I:%M:%S %p') AS DATE) AS date_occ,
     printf('%02d:%02d:00', CAST(substr(lpad(time_occ, 4, '0'), 1, 2) AS INTEGER),
@@ -101,7 +101,7 @@ def with_(*ctes: str) -> str:
 BASE = (RAW, STG, SEEDS, DIMS)
 
 
-def fact_sql(stg: str = "stg", doe: str = RUN_TS, dlu: str = RUN_TS) -> str:
+def fact_sql(stg: str = "stg", doe: str = RUN_TS, dlu: str = RUN_TS, since: str = "dl_upd") -> str:
     in_range = "{d} >= " + DATE_LO + " AND {d} < " + DATE_HI
     return f"""
 SELECT s.dr_no,
@@ -118,8 +118,8 @@ SELECT s.dr_no,
   {doe} AS doe, {dlu} AS dlu
 FROM {stg} s
 LEFT JOIN descent d ON s.vict_descent = d.descent_code
-LEFT JOIN (SELECT DISTINCT premis_cd AS code FROM {stg}
-           WHERE premis_cd IS NOT NULL AND premis_desc IS NOT NULL) p ON s.premis_cd = p.code"""
+LEFT JOIN (SELECT premis_cd AS code, min({since}) AS since FROM {stg}
+           WHERE premis_cd IS NOT NULL AND premis_desc IS NOT NULL GROUP BY 1) p ON s.premis_cd = p.code"""
 
 
 BRIDGE_CRIME = f"""
@@ -178,7 +178,9 @@ FEED = f"""feed AS (
   UNION ALL SELECT dr_no, status, {S3} FROM raw WHERE dl_upd = {S1} AND CAST(dr_no AS BIGINT) % 10 = 1)"""
 
 RAW_FINAL = (f"raw_final AS (SELECT * REPLACE (CASE WHEN {RESENT} THEN 'AR' ELSE status END AS status, "
-             f"CASE WHEN {RESENT} THEN {S2} ELSE dl_upd END AS dl_upd), dl_upd AS first_stamp FROM raw)")
+             f"CASE WHEN {RESENT} THEN {S2} ELSE dl_upd END AS dl_upd, "
+             f"CASE WHEN dl_upd > {S1} AND CAST(dr_no AS BIGINT) % 41 = 0 THEN NULL ELSE crm_cd END AS crm_cd), "
+             "dl_upd AS first_stamp FROM raw)")
 
 
 def oracle_sql() -> dict[str, str]:
@@ -200,22 +202,37 @@ def oracle_sql() -> dict[str, str]:
     q["fct_incidents_full"] = base + fact_sql()
     stg_final = f"stg_final AS ({STG_SELECT.format(src='raw_final', extra=', first_stamp')})"
     q["fct_incidents_3batch"] = (with_(*BASE, RAW_FINAL, stg_final)
-                                 + fact_sql("stg_final", "s.first_stamp", "s.dl_upd"))
+                                 + fact_sql("stg_final", "s.first_stamp",
+                                            "greatest(s.dl_upd, coalesce(p.since, s.dl_upd))", "first_stamp"))
+    # A bridge row appears when both its report and its code have been loaded.
+    q["bridge_crime_code_3batch"] = with_(*BASE, RAW_FINAL, stg_final) + f"""
+SELECT c.dr_no, {md5_key('c.code')} AS crime_code_dim_id, greatest(c.first_stamp, k.since) AS doe,
+       greatest(c.dl_upd, k.since) AS dlu
+FROM (SELECT DISTINCT dr_no, code, first_stamp, dl_upd FROM (
+        SELECT dr_no, first_stamp, dl_upd, unnest([crm_cd_1, crm_cd_2, crm_cd_3, crm_cd_4]) AS code
+        FROM stg_final)) c
+JOIN (SELECT crm_cd AS code, min(first_stamp) AS since FROM stg_final
+      WHERE crm_cd IS NOT NULL GROUP BY 1) k ON c.code = k.code"""
+    q["dim_crime_code_3batch"] = with_(*BASE, RAW_FINAL, stg_final, latest_dim(
+        "final", "crm_cd", "crm_cd_desc", "description", src="stg_final", ts="source_dlu")) + "SELECT * FROM final"
+    q["fct_incidents_same_stamp"] = base + fact_sql()
     q["raw_merge_upsert"] = with_(RAW, RAW_FINAL) + "SELECT * EXCLUDE (first_stamp) FROM raw_final"
     q["merge_update_columns_subset"] = with_(RAW) + f"""
 SELECT dr_no, CASE WHEN CAST(dr_no AS BIGINT) % 10 = 0 THEN 'AR' ELSE status END AS status,
        status_desc, weapon_desc, dl_upd,
-       CASE WHEN CAST(dr_no AS BIGINT) % 10 = 0 THEN 'update' ELSE 'keep' END AS _action
+       CASE WHEN CAST(dr_no AS BIGINT) % 10 = 1 THEN 'unchanged' ELSE 'keep' END AS _action
 FROM raw WHERE dl_upd = {S1}
 UNION ALL
-SELECT dr_no, status, status_desc, weapon_desc, dl_upd, 'insert' FROM raw WHERE dl_upd = {S2}"""
+SELECT dr_no, status, status_desc, weapon_desc, dl_upd,
+       CASE WHEN dl_upd = {S2} THEN 'keep' ELSE 'insert' END FROM raw WHERE dl_upd > {S1}"""
     q["merge_schema_sync"] = with_(RAW) + f"""
 SELECT dr_no, CASE WHEN m THEN 'AR' ELSE status END AS status,
-       CASE WHEN m THEN status_desc END AS status_desc,
-       CASE WHEN m THEN {S2} ELSE dl_upd END AS dl_upd
-FROM (SELECT *, CAST(dr_no AS BIGINT) % 10 = 0 AS m FROM raw WHERE dl_upd = {S1})
+       CASE WHEN m OR late THEN status_desc END AS status_desc,
+       CASE WHEN m THEN {S2} WHEN late THEN {S3} ELSE dl_upd END AS dl_upd
+FROM (SELECT *, CAST(dr_no AS BIGINT) % 10 = 0 AS m, CAST(dr_no AS BIGINT) % 10 = 1 AS late
+      FROM raw WHERE dl_upd = {S1})
 UNION ALL
-SELECT dr_no, status, status_desc, dl_upd FROM raw WHERE dl_upd = {S2}"""
+SELECT dr_no, status, status_desc, dl_upd FROM raw WHERE dl_upd > {S1}"""
     q["since_watermark_weapons"] = with_(
         *BASE[:3],
         latest_dim("inc", "weapon_used_cd", "weapon_desc", "description",
@@ -226,7 +243,7 @@ SELECT dr_no, status, status_desc, dl_upd FROM raw WHERE dl_upd = {S2}"""
     q["snapshot_status_history"] = with_(RAW, FEED) + """
 SELECT dr_no, status, stamp AS valid_from,
        lead(stamp) OVER (PARTITION BY dr_no ORDER BY stamp) AS valid_to
-FROM (SELECT CAST(dr_no AS INTEGER) AS dr_no, status, stamp,
+FROM (SELECT CAST(dr_no AS BIGINT) AS dr_no, status, stamp,
              lag(status) OVER (PARTITION BY dr_no ORDER BY stamp) AS prev,
              row_number() OVER (PARTITION BY dr_no ORDER BY stamp) AS rn
       FROM feed)
