@@ -7,13 +7,12 @@ metric), never over raw rows.
 
 from __future__ import annotations
 
-import datetime as dt
+import json
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from blotter.functions.calendar import date_spine
 from blotter.operators.incremental import ts_literal
 
 # Default training window (buckets) and z threshold.
@@ -46,9 +45,13 @@ def schema_changes(spark: SparkSession, old: T.StructType, new: T.StructType) ->
 
 def schema_changes_since_last_run(store, schema: str, name: str) -> DataFrame:
     """Columns added, removed or retyped between a table's two newest
-    committed versions, from the schemas stored with them (no scan). Empty
-    when the table has fewer than two versions."""
+    writes, from the schemas stored with them (no scan). Empty when the table
+    was written once."""
     spark = store.spark
+    meta = store.meta(schema, name) or {}
+    if meta.get("previous_schema"):
+        old, new = (T.StructType.fromJson(json.loads(meta[k])) for k in ("previous_schema", "schema"))
+        return schema_changes(spark, old, new)
     vs = store.versions(schema, name)
     if len(vs) < 2:
         return schema_changes(spark, T.StructType([]), T.StructType([])).limit(0)
@@ -88,10 +91,9 @@ def daily_volume(df: DataFrame, ts_col: str) -> DataFrame:
     counts = (df.select(F.to_date(F.col(ts_col)).alias("bucket"))
               .filter(F.col("bucket").isNotNull())
               .groupBy("bucket").agg(F.count(F.lit(1)).alias("value")))
-    lo, hi = counts.agg(F.min("bucket"), F.max("bucket")).first()
-    if lo is None:
-        return counts
-    days = date_spine(df.sparkSession, lo, hi + dt.timedelta(days=1)).withColumnRenamed("date_day", "bucket")
+    # The span comes from the counts within the plan; their exchange is reused.
+    days = (counts.agg(F.min("bucket").alias("lo"), F.max("bucket").alias("hi")).filter("lo IS NOT NULL")
+            .select(F.explode(F.expr("sequence(lo, hi, INTERVAL 1 DAY)")).alias("bucket")))
     return (days.join(counts, "bucket", "left")
             .select("bucket", F.coalesce("value", F.lit(0)).cast("long").alias("value")))
 

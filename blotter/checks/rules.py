@@ -2,10 +2,9 @@
 ``(check, table, column, failures, passed)``.
 
 * not-null and pattern checks on one table are a single aggregate (one scan);
-* uniqueness of several columns is one scan and one shuffle: values of all
-  checked columns are exploded into (column, value) pairs and counted with a
-  partial aggregate, so a hot value never reaches a reducer as more than one
-  row per map task;
+* uniqueness groups each column by its own typed values with a partial
+  aggregate, so a hot value never reaches a reducer as more than one row per
+  map task, and a table bucketed on the column is not shuffled at all;
 * relationships first reduce the child to its distinct keys (partial
   aggregate), then anti-join them with the parent's keys.
 
@@ -63,17 +62,16 @@ def check_regex(df: DataFrame, table: str, col: str, pattern: str) -> DataFrame:
 
 
 def check_unique(df: DataFrame, table: str, cols: list[str]) -> DataFrame:
-    """Failures = number of distinct non-null values occurring more than once."""
-    pairs = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in cols
-    ])).alias("p")).select("p.*").filter(F.col("value").isNotNull())
-    dup = (pairs.groupBy("column", "value").count().filter(F.col("count") > 1)
-           .groupBy("column").agg(F.count(F.lit(1)).alias("failures")))
-    names = df.sparkSession.createDataFrame([(c,) for c in cols], "column string")
-    return (names.join(dup, "column", "left")
-            .select(F.lit("unique").alias("check"), F.lit(table).alias("table"), "column",
-                    F.coalesce("failures", F.lit(0)).cast("long").alias("failures"))
-            .withColumn("passed", F.col("failures") == 0))
+    """Failures = number of distinct non-null values occurring more than once.
+
+    Each column is grouped as it is stored: a table bucketed on the column is
+    counted bucket by bucket without an exchange."""
+    parts = []
+    for c in cols:
+        repeated = (df.select(F.col(c).alias("__v")).filter(F.col("__v").isNotNull()).groupBy("__v").count()
+                    .filter(F.col("count") > 1).agg(F.count(F.lit(1)).alias("f")))
+        parts.append(_rows(repeated, [_result("unique", table, c, F.col("f"))]))
+    return union_all(parts)
 
 
 def check_relationship(child: DataFrame, fk: str, parent: DataFrame, pk: str,

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from blotter.checks import monitors as M
 from blotter.checks import rules as C
 
 # The checks declared on the mart (table -> columns).
@@ -30,6 +32,9 @@ FACT_LINKS = [("date_occ_id", "dim_date"), ("date_rptd_id", "dim_date"), ("time_
               ("premis_dim_id", "dim_premise"), ("location_dim_id", "dim_location")]
 
 
+SOURCE_NOT_NULL = ["dr_no", "date_rptd", "date_occ", "time_occ", "area"]
+
+
 class DataCheckError(RuntimeError):
     pass
 
@@ -56,6 +61,47 @@ def mart_checks(star) -> DataFrame:
     return C.union_all(parts)
 
 
+def source_checks(raw: DataFrame) -> DataFrame:
+    """The checks declared on the raw table: required columns, unique report
+    numbers."""
+    return C.union_all([C.check_not_null(raw, "raw_incidents", SOURCE_NOT_NULL),
+                        C.check_unique(raw, "raw_incidents", ["dr_no"])])
+
+
+def freshness_gate(raw: DataFrame, now) -> DataFrame:
+    """Source freshness at ``now``; an error fails the run."""
+    found = M.source_freshness(raw, "dl_upd", now)
+    row = found.first()
+    if row["status"] == "error":
+        raise DataCheckError(f"source is stale: newest row {row['max_loaded_at']}, {row['age_hours']} hours old")
+    return found
+
+
+def monitors(star, area_report: DataFrame | None) -> DataFrame:
+    """The monitors declared on the mart: ``(monitor, table, column, bucket,
+    value, z_score, is_anomaly)``. Findings are recorded; they do not fail a
+    run."""
+    t = star.table
+
+    def rows(found: DataFrame, monitor: str, table: str, column) -> DataFrame:
+        return found.select(F.lit(monitor).alias("monitor"), F.lit(table).alias("table"), column.alias("column"),
+                            F.col("bucket").cast("string").alias("bucket"), F.col("value").cast("double").alias("value"),
+                            "z_score", "is_anomaly")
+
+    parts = [rows(M.freshness_anomalies(t("fct_incidents"), "dlu"), "freshness", "fct_incidents", F.lit("dlu")),
+             rows(M.column_anomalies(t("dim_victim"), "age", "source_dlu"), "column", "dim_victim",
+                  F.concat(F.lit("age:"), F.col("metric")))]
+    if area_report is not None:
+        parts.append(rows(M.volume_anomalies(area_report, "dlu"), "volume", "area_monthly_summary",
+                          F.lit(None).cast("string")))
+    for name in ("dim_area", "fct_incidents"):
+        drift = M.schema_changes_since_last_run(star.store, "mart_core", name)
+        parts.append(drift.select(F.lit("schema_change").alias("monitor"), F.lit(name).alias("table"), "column",
+                                  F.col("change").alias("bucket"), F.lit(None).cast("double").alias("value"),
+                                  F.lit(None).cast("double").alias("z_score"), F.lit(True).alias("is_anomaly")))
+    return C.union_all(parts)
+
+
 def raise_on_failures(results: DataFrame) -> None:
     """Fail the run when any check failed (at most five failures fetched)."""
     bad = results.filter("NOT passed").limit(5).collect()

@@ -15,7 +15,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blotter.checks.suite import mart_checks, raise_on_failures
+from blotter.checks.rules import summarise_checks
+from blotter.checks.suite import (freshness_gate, mart_checks, monitors, raise_on_failures,
+                                  source_checks)
 from blotter.operators.merge import (assert_unique_keys, broadcast_merge, merge_upsert,
                                      sync_columns)
 from blotter.plans import reports as R
@@ -276,13 +278,22 @@ def run_models(spark: SparkSession, store: TableStore, load_ts: str,
 
 def run_pipeline(spark: SparkSession, store: TableStore, batch: DataFrame, load_ts: str,
                  with_reports: bool = True, with_checks: bool = True) -> Star:
-    """One scheduled run: load a batch, advance every model, write the
-    reports, then run the mart's declared checks (results written to
-    ``mart_checks.check_results``); a failed check fails the run."""
+    """One scheduled run: load a batch, check the source (freshness at
+    ``load_ts``, required columns, unique report numbers), advance every model,
+    write the reports, then run the mart's declared checks and monitors. A
+    stale source or a failed check fails the run. Check rows, their summary and
+    the monitors' findings are written to ``mart_checks``."""
     load_raw(store, batch)
+    if with_checks:
+        raw = store.read(RAW, RAW_TABLE)
+        store.write(freshness_gate(raw, load_ts), CHECKS, "source_freshness")
+        raise_on_failures(store.write(source_checks(raw), CHECKS, "source_checks"))
     star = run_models(spark, store, load_ts, with_reports=with_reports)
     if with_checks:
         results = store.write(mart_checks(star), CHECKS, "check_results")
+        store.write(summarise_checks(results), CHECKS, "check_summary")
+        report = star.table("area_monthly_summary") if with_reports else None
+        store.write(monitors(star, report), CHECKS, "monitor_results")
         raise_on_failures(results)
     return star
 

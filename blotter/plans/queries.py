@@ -350,7 +350,57 @@ def q_column_anomalies_victim_age(spark, sf_dir):
     return M.column_anomalies(full_star(spark, sf_dir).table("dim_victim"), "age", "source_dlu")
 
 
+# -- checks over seeded defects: the right answer is not "no failures" ---------
+
+SEEDED_REGEX = {"mocodes": REGEX_CHECKS["mocodes"], "lat": REGEX_CHECKS["lat"]}
+
+
+def q_check_seeded_orphans(spark, sf_dir):
+    """Orders with customers that do not exist, line items with unknown parts."""
+    orders = read_table(spark, sf_dir, "orders").withColumn("o_custkey", F.expr(
+        "CASE WHEN o_orderkey % 89 = 0 THEN NULL WHEN o_orderkey % 97 = 0 THEN o_custkey + 1000000000 "
+        "ELSE o_custkey END"))
+    items = read_table(spark, sf_dir, "lineitem").withColumn("l_partkey", F.expr(
+        "CASE WHEN l_orderkey % 101 = 0 THEN -l_partkey ELSE l_partkey END"))
+    return C.union_all([
+        C.check_relationships(orders, "orders", [("o_custkey", read_table(spark, sf_dir, "customer"), "c_custkey",
+                                                  "customer")]),
+        C.check_relationships(items, "lineitem", [("l_partkey", read_table(spark, sf_dir, "part"), "p_partkey",
+                                                   "part"),
+                                                  ("l_suppkey", read_table(spark, sf_dir, "supplier"), "s_suppkey",
+                                                   "supplier")])])
+
+
+def q_check_seeded_patterns(spark, sf_dir):
+    """Malformed code lists and coordinates, missing areas."""
+    raw = incident_fixture(spark, sf_dir)
+    n = F.col("dr_no").cast("long")
+    raw = (raw.withColumn("mocodes", F.when(n % 31 == 0, F.concat(F.lit("X"), F.col("mocodes"))).otherwise(F.col("mocodes")))
+           .withColumn("lat", F.when(n % 53 == 0, F.lit("n/a")).otherwise(F.col("lat")))
+           .withColumn("area", F.when(n % 71 != 0, F.col("area"))))
+    return C.check_columns(raw, "raw_incidents", not_null=["area"], regex=SEEDED_REGEX)
+
+
+def q_volume_anomalies_spike(spark, sf_dir):
+    """Every event of the 25th arrives ten times."""
+    events = read_table(spark, sf_dir, "events").select("ts", F.explode(F.when(
+        F.dayofmonth("ts") == 25, F.sequence(F.lit(1), F.lit(10))).otherwise(F.array(F.lit(1)))).alias("copy"))
+    return M.volume_anomalies(events, "ts")
+
+
+def q_freshness_anomalies_gap(spark, sf_dir):
+    """Updates between 3 and 22 o'clock of the 25th are stamped at midnight."""
+    late = (F.dayofmonth("ts") == 25) & F.hour("ts").between(3, 21)
+    events = read_table(spark, sf_dir, "events").withColumn(
+        "ts", F.when(late, F.date_trunc("day", "ts").cast("timestamp_ntz")).otherwise(F.col("ts").cast("timestamp_ntz")))
+    return M.freshness_anomalies(events, "ts")
+
+
 CHECK_QUERIES = {
+    "check_seeded_orphans": q_check_seeded_orphans,
+    "check_seeded_patterns": q_check_seeded_patterns,
+    "volume_anomalies_spike": q_volume_anomalies_spike,
+    "freshness_anomalies_gap": q_freshness_anomalies_gap,
     "check_not_null": q_check_not_null,
     "check_unique": q_check_unique,
     "check_regex": q_check_regex,

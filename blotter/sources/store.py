@@ -276,7 +276,8 @@ class TableStore:
             validate(self.spark.table(qualified))
         self._write_meta(path, {"watermark": watermark, "written_rows": int(measured["rows"]),
                                 "metrics": {k: measured.get(f"m__{k}") for k in (metrics or {})},
-                                "schema": stored.json(), "bucket_by": bucket_by, "buckets": buckets,
+                                "schema": stored.json(), "previous_schema": old["schema"] if old else None,
+                                "bucket_by": bucket_by, "buckets": buckets,
                                 "part_width": width})
         return self.read(schema, name)
 

@@ -400,6 +400,37 @@ SELECT CAST(g.d AS DATE) AS bucket, CAST(coalesce(c.n, 0) AS BIGINT) AS value
 FROM generate_series((SELECT CAST(min(ts) AS DATE) FROM events), (SELECT CAST(max(ts) AS DATE) FROM events),
                      INTERVAL 1 DAY) AS g(d)
 LEFT JOIN (SELECT CAST(ts AS DATE) AS b, count(*) AS n FROM events GROUP BY 1) c ON c.b = CAST(g.d AS DATE)""")
+    q["volume_anomalies_spike"] = z_sql("""
+SELECT CAST(g.d AS DATE) AS bucket, CAST(coalesce(c.n, 0) AS BIGINT) AS value
+FROM generate_series((SELECT CAST(min(ts) AS DATE) FROM events), (SELECT CAST(max(ts) AS DATE) FROM events),
+                     INTERVAL 1 DAY) AS g(d)
+LEFT JOIN (SELECT CAST(ts AS DATE) AS b, sum(CASE WHEN day(ts) = 25 THEN 10 ELSE 1 END) AS n
+           FROM events GROUP BY 1) c ON c.b = CAST(g.d AS DATE)""")
+    q["freshness_anomalies_gap"] = z_sql("""
+SELECT CAST(ts AS DATE) AS bucket, max(gap) AS value FROM (
+  SELECT ts, (epoch_us(ts) - epoch_us(lag(ts) OVER (ORDER BY ts))) / 1e6 AS gap
+  FROM (SELECT DISTINCT CASE WHEN day(ts) = 25 AND hour(ts) BETWEEN 3 AND 21
+                             THEN CAST(CAST(ts AS DATE) AS TIMESTAMP) ELSE CAST(ts AS TIMESTAMP) END AS ts
+        FROM events WHERE ts IS NOT NULL))
+WHERE gap IS NOT NULL GROUP BY 1""")
+    bad_orders = ("(SELECT CASE WHEN o_orderkey % 89 = 0 THEN NULL WHEN o_orderkey % 97 = 0 "
+                  "THEN o_custkey + 1000000000 ELSE o_custkey END AS k FROM orders)")
+    bad_parts = "(SELECT CASE WHEN l_orderkey % 101 = 0 THEN -l_partkey ELSE l_partkey END AS k FROM lineitem)"
+    q["check_seeded_orphans"] = "\nUNION ALL\n".join(
+        _check_row(f"relationship:{pt}.{pk}", ct, fk,
+                   f"SELECT count(*) FROM {src} c WHERE c.k IS NOT NULL AND NOT EXISTS "
+                   f"(SELECT 1 FROM {pt} p WHERE p.{pk} = c.k)")
+        for ct, fk, src, pt, pk in [
+            ("orders", "o_custkey", bad_orders, "customer", "c_custkey"),
+            ("lineitem", "l_partkey", bad_parts, "part", "p_partkey"),
+            ("lineitem", "l_suppkey", "(SELECT l_suppkey AS k FROM lineitem)", "supplier", "s_suppkey")])
+    seeded = """seeded AS (SELECT CASE WHEN n % 31 = 0 THEN 'X' || mocodes ELSE mocodes END AS mocodes,
+  CASE WHEN n % 53 = 0 THEN 'n/a' ELSE lat END AS lat, CASE WHEN n % 71 <> 0 THEN area END AS area
+  FROM (SELECT *, CAST(dr_no AS BIGINT) AS n FROM raw))"""
+    q["check_seeded_patterns"] = with_(RAW, seeded) + "\nUNION ALL\n".join(
+        [_check_row("not_null", "raw_incidents", "area", "SELECT count(*) FROM seeded WHERE area IS NULL")]
+        + [_check_row("regex", "raw_incidents", c, f"SELECT count(*) FROM seeded WHERE {c} IS NOT NULL "
+                      f"AND NOT regexp_matches({c}, '{REGEX_CHECKS[c]}')") for c in ("mocodes", "lat")])
     q["freshness_anomalies_daily"] = z_sql("""
 SELECT CAST(ts AS DATE) AS bucket, max(gap) AS value FROM (
   SELECT ts, (epoch_us(ts) - epoch_us(lag(ts) OVER (ORDER BY ts))) / 1e6 AS gap

@@ -1,12 +1,15 @@
-"""Every registered query against its DuckDB oracle on sf0.001."""
+"""Every registered query of the mart against its DuckDB oracle on sf0.001."""
 
 import pytest
 
 import __spark_entry__ as E
 from oracle_harness import compare, duck
 
-QUERIES = E.queries()
-ORACLES = E.oracle_sql()
+from blotter.plans.queries import queries
+from oracle_sql import oracle_sql
+
+QUERIES = queries()
+ORACLES = oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -16,6 +19,7 @@ def con(sf_small):
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLES) <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -42,3 +42,19 @@ def test_report_totals_match_the_fact(spark, sf_small):
         fact.filter(F.col("victims_id").isNotNull()).count()
     assert _sum(star.report("weapon_distribution"), "weapon_count") == \
         fact.filter(F.col("weapons_id").isNotNull()).count()
+
+
+def test_reports_come_in_their_order(spark, sf_small):
+    from blotter.plans import pipeline as P
+    from blotter.plans.queries import full_star
+    star = full_star(spark, sf_small)
+    # The order each report declares, nulls last.
+    orders = {"area_monthly_summary": ["area_code", "area_name", "year", "month"],
+              "crime_code_seasonality": ["crime_code", "month_number"],
+              "location_density": ["lat_bucket", "lon_bucket", "crime_code", "year", "month_number"],
+              "victim_demographics": ["victim_age", "victim_sex", "victim_descent"],
+              "weapon_distribution": ["area_name", "part_of_day", "weapon_type"]}
+    assert set(orders) == set(P.REPORTS)
+    for name, cols in orders.items():
+        keys = [tuple((r[c] is None, r[c] if r[c] is not None else 0) for c in cols) for r in star.report(name).collect()]
+        assert len(keys) > 1 and keys == sorted(keys), name

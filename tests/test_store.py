@@ -26,8 +26,8 @@ def test_versions_meta_and_half_written_folders(spark):
 def test_bucketed_table_survives_a_new_catalog_entry(spark):
     store = TableStore(spark, scratch_path(spark, "store-bucket"), buckets=4)
     df = spark.range(100).select(F.col("id").cast("int").alias("dr_no"))
-    store.write(df, "s", "f", bucket_by=["dr_no"])
-    qualified = store._catalog_name("s", "f", 1)
+    store.write_live(df, "s", "f", ["dr_no"], 1)
+    qualified = store._catalog_name("s", "f")
     spark.sql(f"DROP TABLE {qualified}")           # as in a fresh session
     again = store.read("s", "f")
     assert again.count() == 100
@@ -58,3 +58,53 @@ def test_schema_changes_since_last_run(spark):
     store.write(spark.createDataFrame([(1, "x", 2)], "k int, new string, n bigint"), "s", "t")
     got = sorted((r.column, r.change) for r in schema_changes_since_last_run(store, "s", "t").collect())
     assert got == [("n", "type_changed"), ("new", "added"), ("old", "removed")]
+
+
+def _files(store, name):
+    import glob
+    root = store._live_path("s", name).replace("file:", "")
+    return {p: os.path.getmtime(p) for p in glob.glob(root + "/dr_part=*/*.parquet")}
+
+
+def test_live_table_replaces_only_the_partitions_written(spark):
+    store = TableStore(spark, scratch_path(spark, "store-live"), buckets=2, part_width=100)
+    df = spark.range(1000).select(F.col("id").alias("dr_no"), F.lit(0).alias("v"))
+    store.write_live(df, "s", "f", ["dr_no"], 1)
+    before = _files(store, "f")
+    assert store.touched(df.filter("dr_no BETWEEN 250 AND 349"), "s", "f") == [2, 3]
+    rows = store.read_live("s", "f").filter("dr_part IN (2, 3)").drop("dr_part").withColumn("v", F.lit(7))
+    store.write_live(rows, "s", "f", ["dr_no"], 2)
+    after = _files(store, "f")
+    kept = {p for p in before if "dr_part=2/" not in p and "dr_part=3/" not in p}
+    assert all(after.get(p) == before[p] for p in kept)
+    assert not (set(before) - kept) & set(after)
+    got = store.read("s", "f")
+    assert got.count() == 1000 and got.filter("v = 7").count() == 200 and store.watermark("s", "f") == 2
+
+
+def test_live_table_keeps_the_layout_of_its_first_write(spark):
+    root = scratch_path(spark, "store-layout")
+    first = TableStore(spark, root, buckets=2, part_width=100)
+    df = spark.range(300).select(F.col("id").alias("dr_no"))
+    first.write_live(df, "s", "f", ["dr_no"], 1)
+    again = TableStore(spark, root, buckets=16, part_width=7)
+    again.write_live(again.read_live("s", "f").filter("dr_part = 1").drop("dr_part"), "s", "f", ["dr_no"], 2)
+    assert again.read("s", "f").count() == 300
+    assert again.live_buckets("s", "f") == 2
+    assert len(_files(again, "f")) <= 6
+
+
+def test_live_table_with_other_columns_is_rewritten(spark):
+    store = TableStore(spark, scratch_path(spark, "store-columns"), buckets=2, part_width=100)
+    df = spark.range(300).select(F.col("id").alias("dr_no"))
+    store.write_live(df, "s", "f", ["dr_no"], 1)
+    store.write_live(store.read("s", "f").withColumn("new", F.lit("x")), "s", "f", ["dr_no"], 2)
+    assert store.read("s", "f").filter("new = 'x'").count() == 300
+    from blotter.checks.monitors import schema_changes_since_last_run
+    assert [(r.column, r.change) for r in schema_changes_since_last_run(store, "s", "f").collect()] == [("new", "added")]
+
+
+def test_row_counts_are_those_of_the_written_rows(spark):
+    store = TableStore(spark, scratch_path(spark, "store-rows"))
+    store.write(spark.range(1000).repartition(7), "s", "t", sort_within=["id"])
+    assert store.rows("s", "t") == 1000
