@@ -54,6 +54,7 @@ TOKEN = re.compile(
     r"|</?[a-zA-Z][^>]*>|<[!?][^>]*>", re.S | re.I)
 NAMES = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+ARTICLE = re.compile(r"(?:^|\s)(?:role\s*=\s*[\"']?main\b|itemprop\s*=\s*[\"']?articleBody\b)", re.I)
 WORDS = re.compile(r"[^a-z]+")
 
 GOOD, BAD, UNSURE, MARKUP = 1, 0, None, -1
@@ -139,7 +140,7 @@ def blocks(page: str) -> list[tuple[str, float, bool, bool]]:
             continue
         if own and name in INLINE:
             close()
-        if name in ("article", "main"):
+        if name in ("article", "main") or m["attrs"] and ARTICLE.search(m["attrs"]):
             inside, gone = True, 0 if gone < 2 else gone
         if not (m["attrs"] or "").endswith("/"):
             stack.append((name, max(gone, own), inside))

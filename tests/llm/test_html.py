@@ -62,6 +62,11 @@ def test_paragraph_without_stop_words_in_an_article_stays():
     assert main_text(page(f"<article><p>{LONG}</p><p>{odd}</p></article>")).split("\n")[1] == odd.strip()
 
 
+def test_article_named_by_attributes():
+    body = "<div>Top</div><div role=\"main\"><p>" + SHORT + "</p><p>" + LONG + "</p></div><div>" + LONG + "</div>"
+    assert main_text(page(body)) == SHORT + "\n" + LONG
+
+
 def test_blocks_report_link_density():
     found = blocks("<p><a href='x'>abcd</a>efgh</p>")
     assert found == [("abcdefgh", 0.5, False, False)]
