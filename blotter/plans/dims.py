@@ -52,12 +52,29 @@ def code_dim(stg: DataFrame, spec: CodeDim, load_ts, watermark=None,
     One row per code even when a code was loaded with several labels or
     stamps (latest stamp wins, then the greatest label).
     """
-    src = since_watermark(stg, by, watermark)
-    for c in spec.not_null:
-        src = src.filter(F.col(c).isNotNull())
-    src = src.select(F.col(spec.code).alias("code"), F.col(spec.label).alias(spec.label_as),
-                     F.col("dl_upd").alias("source_dlu"))
-    latest = latest_label(src, "code", spec.label_as, "source_dlu")
+    return from_labels(code_labels(since_watermark(stg, by, watermark), [spec]), stg, spec, load_ts)
+
+
+def code_labels(stg: DataFrame, specs: list[CodeDim]) -> DataFrame:
+    """``dim, code, label, source_dlu``: newest stamp per code and label of
+    several dimensions in one scan and one partial aggregate (codes as text)."""
+    pairs = []
+    for spec in specs:
+        pair = F.struct(F.lit(spec.name).alias("dim"), F.col(spec.code).cast("string").alias("code"),
+                        F.col(spec.label).alias("label"))
+        for c in spec.not_null:
+            pair = F.when(F.col(c).isNotNull(), pair)
+        pairs.append(pair)
+    rows = stg.select("dl_upd", F.explode(F.array(*pairs)).alias("p")).filter("p IS NOT NULL")
+    return rows.groupBy("p.dim", "p.code", "p.label").agg(F.max("dl_upd").alias("source_dlu"))
+
+
+def from_labels(labels: DataFrame, stg: DataFrame, spec: CodeDim, load_ts) -> DataFrame:
+    """One dimension out of ``code_labels``."""
+    own = labels.filter(F.col("dim") == spec.name).select(
+        F.col("code").cast(stg.schema[spec.code].dataType).alias("code"),
+        F.col("label").alias(spec.label_as), "source_dlu")
+    latest = latest_label(own, "code", spec.label_as, "source_dlu")
     return latest.select(surrogate_key("code").alias("id"), "code", spec.label_as,
                          "source_dlu", ts_literal(load_ts).alias("dlu"))
 

@@ -22,9 +22,10 @@ from blotter.operators.merge import (assert_unique_keys, broadcast_merge, merge_
                                      sync_columns)
 from blotter.plans import reports as R
 from blotter.plans.bridges import bridge_crime_code, bridge_mocode
+from blotter.operators.incremental import since_watermark
 from blotter.operators.snapshot import snapshot_check
 from blotter.plans.dims import (CODE_DIMS, DATE_END, DATE_START, LOCATION_CHECK_COLS, code_dim,
-                                dim_date, dim_location, dim_mocode, dim_time, dim_victim,
+                                code_labels, from_labels, dim_date, dim_location, dim_mocode, dim_time, dim_victim,
                                 location_incoming, newer_only)
 from blotter.plans.fact import FACT_COLUMNS, fct_incidents
 from blotter.plans.staging import LOAD_SEQ, stg_incidents
@@ -202,11 +203,18 @@ def run_models(spark: SparkSession, store: TableStore, load_ts: str,
         star.rows[name] = store.rows(CORE, name)
         return df
 
+    # The code dimensions share one scan of the loads they have not seen (those
+    # that are rebuilt in every run only share it on the first).
+    seen = min((store.watermark(CORE, n) or 0 for n, s in CODE_DIMS.items() if s.incremental))
+    shared = [s for s in CODE_DIMS.values() if s.incremental or not seen]
+    labels = store.write(code_labels(since_watermark(stg, LOAD_SEQ, seen), shared), INCREMENTS, "code_labels")
+
     def code_model(name: str) -> DataFrame:
         spec = CODE_DIMS[name]
         if not spec.incremental:
-            return store.write(code_dim(stg, spec, load_ts), CORE, name)
-        inc = code_dim(stg, spec, load_ts, store.watermark(CORE, name), LOAD_SEQ)
+            full = code_dim(stg, spec, load_ts) if seen else from_labels(labels, stg, spec, load_ts)
+            return store.write(full, CORE, name)
+        inc = from_labels(labels, stg, spec, load_ts)
         current = store.read(CORE, name)
         if current is not None:
             inc = newer_only(inc, current, ["source_dlu", spec.label_as])
