@@ -26,13 +26,14 @@ def _fresh(docs: DataFrame, name: str) -> str:
 
 
 def _key() -> Column:
-    """What decisions are brought back by: the id (null last), then the rest of
-    the row. Rows with equal keys are alike, so any of them may stand for
-    another."""
-    digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
+    """What decisions are brought back by: the id (null last), then a digest of
+    text and source, so a key has a fixed size. Rows with equal keys are alike,
+    and any of them may stand for another."""
+    mark = F.when(F.col("text").isNull(), "n").otherwise("t")
+    source = F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n"))
+    whole = F.concat(mark, F.coalesce("text", F.lit("")), F.lit("\0"), source)
     return F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("doc_id"),
-                    F.col("text").isNull().alias("no_text"), digest.alias("digest"),
-                    F.col("source").alias("source"))
+                    F.unhex(F.sha2(whole.cast("binary"), 256)).alias("digest"))
 
 
 def _one_of_each(docs: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
