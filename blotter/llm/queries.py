@@ -91,5 +91,28 @@ SELECT doc_id, keep_id, group_size, kept, sha256(norm) AS text_sha256 FROM r
 """
 
 
+OP5_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+ok AS (
+  SELECT * FROM v
+  WHERE label IS NOT NULL AND e IS NOT NULL AND len(e) > 0
+    AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(e, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM ok a JOIN ok b
+    ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+reach(vec_id, root) AS (
+  SELECT vec_id, vec_id FROM v
+  UNION
+  SELECT l.y, r.root FROM reach r JOIN links l ON l.x = r.vec_id)
+SELECT v.vec_id, coalesce(n.n, 0) AS n_links, c.component_id, v.vec_id = c.component_id AS kept
+FROM v
+JOIN (SELECT vec_id, min(root) AS component_id FROM reach GROUP BY 1) c ON c.vec_id = v.vec_id
+LEFT JOIN (SELECT x, count(*) AS n FROM links GROUP BY 1) n ON n.x = v.vec_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_exact_dedup": OP4_SQL}
+    return {"op4_exact_dedup": OP4_SQL, "op5_embedding_dedup": OP5_SQL}

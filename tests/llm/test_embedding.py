@@ -91,3 +91,9 @@ def test_query_on_small_tables(spark, sf_small):
     rows = [(r.vec_id, r.embedding, r.label) for r in spark.read.parquet(f"{sf_small}/embeddings.parquet").collect()]
     got = sorted(((r.vec_id, r.n_links, r.component_id) for r in Q.op5_embedding_dedup(spark, sf_small).collect()), key=str)
     assert got == brute(rows)
+
+
+def test_oracle(spark, sf_small):
+    from oracle_harness import compare, duck
+    out = compare(spark, duck(sf_small), "op5", Q.op5_embedding_dedup, Q.oracle_sql()["op5_embedding_dedup"], sf_small)
+    assert out["hash_match"] and out["cols_match"], out
