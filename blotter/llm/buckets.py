@@ -23,6 +23,9 @@ from .common import arrow_batches, cut
 from .graph import connected_components
 
 STRETCH = 1024
+STRETCH_BYTES = 1 << 20
+#: Table and (nodes, payloads) twice -> matrix of linked pairs.
+Near = Callable[[int, tuple[list, list], tuple[list, list]], np.ndarray]
 #: Longest run of one bucket that a task holds at once.
 HOLD = 64 * STRETCH
 
@@ -105,65 +108,89 @@ def _walk(radius: int):
 
 
 def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted rows (table, key, component, node) as one row per stretch."""
+    """Sorted rows (table, key, component, node, payload) as one row per
+    stretch: at most STRETCH nodes and, but for a single one, STRETCH_BYTES of
+    payload."""
     for batch in batches:
         t, k, c, v = (batch.column(i).to_numpy() for i in range(4))
-        new = np.flatnonzero((t[1:] != t[:-1]) | (k[1:] != k[:-1])) + 1
-        out = []
-        for s, e in zip([0, *new], [*new, len(t)]):
-            for at in range(s, e, STRETCH):
-                to = min(e, at + STRETCH)
-                out.append((int(t[at]), int(k[at]), int(v[at]), int(c[at:to].min()), int(c[at:to].max()),
-                            v[at:to].tolist(), c[at:to].tolist()))
-        cols = list(zip(*out))
-        kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+        payload = batch.column(4).to_pylist()
+        edges, size = [0], 0
+        for i in range(1, len(t)):
+            size += len(payload[i - 1] or b"")
+            if (t[i] != t[i - 1] or k[i] != k[i - 1] or i - edges[-1] >= STRETCH
+                    or size + len(payload[i] or b"") > STRETCH_BYTES):
+                edges.append(i)
+                size = 0
+        ends = [*edges[1:], len(t)]
+        cols = [[int(t[s]) for s in edges], [int(k[s]) for s in edges], [int(v[s]) for s in edges],
+                [int(c[s:e].min()) for s, e in zip(edges, ends)], [int(c[s:e].max()) for s, e in zip(edges, ends)],
+                [v[s:e].tolist() for s, e in zip(edges, ends)], [c[s:e].tolist() for s, e in zip(edges, ends)],
+                [payload[s:e] for s, e in zip(edges, ends)]]
+        kinds = [pa.int32(), *[pa.int64()] * 4, *[pa.list_(pa.int64())] * 2, pa.list_(pa.binary())]
         yield pa.RecordBatch.from_arrays([pa.array(x, y) for x, y in zip(cols, kinds)],
-                                         ["table", "key", "id", "lo", "hi", "nodes", "comps"])
+                                         ["table", "key", "id", "lo", "hi", "nodes", "comps", "payload"])
 
 
-def _cross_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All pairs of nodes in different components, for a check elsewhere."""
-    for batch in batches:
-        for an, ac, bn, bc in zip(*(batch.column(i).to_pylist() for i in range(4))):
-            an, ac, bn, bc = (np.array(x, np.int64) for x in (an, ac, bn, bc))
-            i, j = np.nonzero(ac[:, None] != bc[None, :])
-            a, b = np.minimum(an[i], bn[j]), np.maximum(an[i], bn[j])
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+def _across(near: Near):
+    """Compares pairs of stretches; the links of a whole task are joined into
+    sets of components as they are found, so that it reports at most one link
+    per component, and stretches that are already connected are skipped."""
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        root: dict[int, int] = {}
 
+        def find(c: int) -> int:
+            while root.setdefault(c, c) != c:
+                root[c] = c = root[root[c]]
+            return c
 
-def _across(radius: int):
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            links = set()
-            for an, ac, bn, bc in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                an, ac, bn, bc = (np.array(x, np.int64) for x in (an, ac, bn, bc))
-                near = _near(an.astype(np.uint64), bn.astype(np.uint64), radius)
-                i, j = np.nonzero(near & (ac[:, None] != bc[None, :]))
-                links.update(zip(ac[i].tolist(), bc[j].tolist()))
-            a, b = zip(*links) if links else ((), ())
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+            for table, an, ac, ap, bn, bc, bp in zip(*(batch.column(i).to_pylist() for i in range(7))):
+                ra, rb = (np.array([find(c) for c in side], np.int64) for side in (ac, bc))
+                apart = ra[:, None] != rb[None, :]
+                if not apart.any():
+                    continue
+                i, j = np.nonzero(near(table, (an, ap), (bn, bp)) & apart)
+                for x, y in set(zip(ra[i].tolist(), rb[j].tolist())):
+                    x, y = find(x), find(y)
+                    if x != y:
+                        root[max(x, y)] = min(x, y)
+        links = [(c, find(c)) for c in list(root)]
+        links = [(c, r) for c, r in links if c != r]
+        a, b = zip(*links) if links else ((), ())
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     return work
 
 
+def within(radius: int) -> Near:
+    """Nodes of which at most ``radius`` of 64 bits differ."""
+    def near(table, a, b) -> np.ndarray:
+        x, y = (np.array(nodes, np.int64).astype(np.uint64) for nodes, _ in (a, b))
+        return _near(x, y, radius)
+
+    return near
+
+
 def linked_components(members: DataFrame, radius: int) -> DataFrame:
     """``(node, component)`` of every node with a link: nodes of one bucket are
     linked when at most ``radius`` of their 64 bits differ."""
-    spark = members.sparkSession
     order = ["table", "key", "node"]
     walked = cut(members.select(*order).repartitionByRange(*order).sortWithinPartitions(*order)
                  .mapInArrow(_walk(radius), "kind int, table int, a long, b long"), "walked")
     links = walked.filter("kind = 0").select("a", "b")
     first = connected_components(links)
     open_rows = walked.filter("kind = 1").select("table", F.col("a").alias("key"), F.col("b").alias("node"))
-    return joined_buckets(open_rows, first, radius)
+    return joined_buckets(open_rows, first, within(radius))
 
 
-def joined_buckets(open_rows: DataFrame, first: DataFrame, radius: int = 0,
-                   verify: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+def joined_buckets(open_rows: DataFrame, first: DataFrame, near: Near,
+                   payload: DataFrame | None = None) -> DataFrame:
     """Link what the buckets of ``open_rows(table, key, node)`` still have in
-    different components of ``first(node, component)``: nodes in ``radius``, or
-    the pairs (a, b) that ``verify`` returns of those it is given."""
+    different components of ``first(node, component)``. ``near`` gets a table and
+    two lists of nodes with their payloads, if ``payload(node, payload)`` is
+    given, and says which pairs are linked (it may leave out a pair that meets
+    in an earlier table). Pairs exist inside a task only: it reports one
+    link for two components."""
     spark = open_rows.sparkSession
     first = cut(first, "first_components")
     rows = cut(open_rows.distinct().join(first, "node", "left")
@@ -173,23 +200,22 @@ def joined_buckets(open_rows: DataFrame, first: DataFrame, radius: int = 0,
     left = cut(rows.join(mixed, ["table", "key"], "left_semi"), "mixed_rows")
     if left.isEmpty():
         return first
+    left = left.join(payload, "node") if payload is not None else left.withColumn(
+        "payload", F.lit(None).cast("binary"))
     order = ["table", "key", "component", "node"]
-    kind = "table int, key long, id long, lo long, hi long, nodes array<long>, comps array<long>"
-    parts = cut(left.select(*order).repartitionByRange(*order).sortWithinPartitions(*order)
-                .mapInArrow(_stretches, kind), "stretches")
+    kind = ("table int, key long, id long, lo long, hi long, nodes array<long>, comps array<long>, "
+            "payload array<binary>")
+    with arrow_batches(spark, 2 * STRETCH):
+        parts = cut(left.select(*order, "payload").repartitionByRange(*order).sortWithinPartitions(*order)
+                    .mapInArrow(_stretches, kind), "stretches")
     a, b = parts.alias("a"), parts.alias("b")
     pairs = a.join(b, (F.col("a.table") == F.col("b.table")) & (F.col("a.key") == F.col("b.key"))
                    & (F.struct("a.lo", "a.id") <= F.struct("b.lo", "b.id"))
                    & ~((F.col("a.lo") == F.col("b.hi")) & (F.col("a.hi") == F.col("b.lo"))))
-    pairs = pairs.select("a.nodes", "a.comps", F.col("b.nodes").alias("m"), F.col("b.comps").alias("n"))
-    with arrow_batches(spark, 64):
-        work = _across(radius) if verify is None else _cross_pairs
-        more = cut(pairs.mapInArrow(work, "a long, b long").distinct(), "more_links")
-    if verify is not None:
-        known = left.select("node", "component").distinct()
-        more = (verify(more).join(known.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a")
-                .join(known.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b")
-                .select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+    pairs = pairs.select("a.table", "a.nodes", "a.comps", "a.payload", F.col("b.nodes").alias("m"), F.col("b.comps").alias("n"),
+                         F.col("b.payload").alias("p"))
+    with arrow_batches(spark, 16):
+        more = cut(pairs.mapInArrow(_across(near), "a long, b long").distinct(), "more_links")
     merged = connected_components(more)
     top = merged.select(F.col("node").alias("component"), F.col("component").alias("top"))
     # Nodes without a first component are their own.

@@ -96,7 +96,7 @@ def running_total(df: DataFrame, group: str, order: list[str], value: Column, na
         "_part", "_value", "_start")
 
 
-def with_small_side(small: DataFrame, max_rows: int = 2_000_000) -> DataFrame:
+def with_small_side(small: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
     """``small`` marked for broadcast when a count proves it has at most
     ``max_rows`` rows (of a few numbers each); otherwise as it is, so that the
     join shuffles."""

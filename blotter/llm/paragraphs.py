@@ -176,7 +176,7 @@ def paragraph_words(docs: DataFrame) -> DataFrame:
         digest = xxhash.xxh64_intdigest
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
-                out: dict[int, str] = {}
+                out: dict[int, bytes] = {}
                 for text in batch.column(0).slice(at, 256).to_pylist():
                     for line in (text or "").encode().lower().split(b"\n"):
                         if len(line) < 2 * PARAGRAPH - 1:
@@ -198,6 +198,7 @@ def shingle_set(words: bytes) -> set[tuple[bytes, ...]]:
 
 
 def _similar(similarity: float):
+    """Candidate pairs (a, b, words of a, words of b) -> the similar ones."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b, x, y = (batch.column(i).to_pylist() for i in range(4))
@@ -216,6 +217,43 @@ def _similar(similarity: float):
     return work
 
 
+def jaccard_near(similarity: float, columns: int = 1 << 13):
+    """Which of two lists of paragraphs are similar: the sizes of all shingle
+    intersections are one matrix product, taken over ``columns`` shingles at a
+    time so that it stays small however long the paragraphs are. A payload is
+    a paragraph's band keys, then its words; a pair is looked at in the first
+    band that it shares."""
+    def near(table, a, b) -> np.ndarray:
+        keys = [np.frombuffer(b"".join(p[:8 * BANDS] for p in side), ">i8").reshape(-1, BANDS) for _, side in (a, b)]
+        todo = np.ones((len(keys[0]), len(keys[1])), bool)
+        for band in range(table):
+            todo &= keys[0][:, None, band] != keys[1][None, :, band]
+        if not todo.any():
+            return todo
+        numbers: dict[tuple[bytes, ...], int] = {}
+        sides = []
+        for _, payload in (a, b):
+            sets = [shingle_set(p[8 * BANDS:]) for p in payload]
+            ids = np.array([numbers.setdefault(x, len(numbers)) for s in sets for x in s], np.int64)
+            sizes = np.array([len(s) for s in sets])
+            owner = np.repeat(np.arange(len(sets)), sizes)
+            order = np.argsort(ids, kind="stable")
+            sides.append((ids[order], owner[order], sizes))
+        (ia, oa, na), (ib, ob, nb) = sides
+        both = np.zeros((len(na), len(nb)), np.float32)
+        for lo in range(0, len(numbers), columns):
+            dense = []
+            for ids, owner, sizes in sides:
+                s, e = np.searchsorted(ids, [lo, lo + columns])
+                m = np.zeros((len(sizes), min(columns, len(numbers) - lo)), np.float32)
+                m[owner[s:e], ids[s:e] - lo] = 1
+                dense.append(m)
+            both += dense[0] @ dense[1].T
+        return todo & (both >= similarity * (na[:, None] + nb[None, :] - both) - 1e-6)
+
+    return near
+
+
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     similarity: float = SIMILARITY, min_span: int = SPAN, across: bool = True) -> DataFrame:
     """One row per repeated span: ``doc_id, row, first_word, n_words,
@@ -241,16 +279,24 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.max(F.size("bands") > 0).alias("paragraph")).filter("n > 1 OR paragraph"), "classes")
 
     # Candidates: every class with the smallest class of each of its bands.
-    members = units.filter(F.size("bands") > 0).select(
-        F.col("digest").alias("node"), F.posexplode("bands").alias("table", "key"))
+    paragraphs = units.filter(F.size("bands") > 0).select("digest", "bands")
+    members = paragraphs.select(F.col("digest").alias("node"), F.posexplode("bands").alias("table", "key"))
     heads = cut(members.groupBy("table", "key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
                 .filter("lo < hi").select("table", "key", "lo"), "heads")
-    meeting = cut(members.join(with_small_side(heads), ["table", "key"]).select("table", "key", "node", "lo")
+    meeting = cut(members.join(heads, ["table", "key"]).select("table", "key", "node", "lo")
                   .distinct(), "meeting")
-    verify = _verifier(base, meeting.select("node").distinct(), similarity)
-    links = verify(meeting.filter("node <> lo").select(F.col("lo").alias("a"), F.col("node").alias("b")).distinct())
-    first = connected_components(links)
-    clusters = joined_buckets(meeting.select("table", "key", "node"), first, verify=verify)
+    words = _words_of(base, _band_keys(meeting))
+    pairs = meeting.filter("node <> lo").select(F.col("lo").alias("a"), F.col("node").alias("b")).distinct()
+    x = words.select(F.col("digest").alias("a"), F.col("words").alias("x"))
+    y = words.select(F.col("digest").alias("b"), F.col("words").alias("y"))
+    with arrow_batches(spark, 2000):
+        links = cut(pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y")
+                    .mapInArrow(_similar(similarity), "a long, b long"), "similar")
+    # Then what a bucket still holds in different components, all against all.
+    clusters = joined_buckets(meeting.select("table", "key", "node"), connected_components(links),
+                              jaccard_near(similarity),
+                              words.select(F.col("digest").alias("node"),
+                                           F.concat("keys", "words").alias("payload")))
 
     known = classes.join(clusters.withColumnRenamed("node", "digest"), "digest", "left").filter(
         "n > 1 OR component IS NOT NULL").withColumn("component", F.coalesce("component", "digest"))
@@ -260,7 +306,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if across:
         keepers = keepers.filter("lo < hi")
     known = cut(known.join(keepers, "component").select("digest", "component", "keep"), "repeated_keepers")
-    repeated = units.drop("bands").join(with_small_side(known), "digest").withColumn(
+    repeated = units.drop("bands").join(known, "digest").withColumn(
         "kept", F.col("unit") == F.col("keep"))
 
     # Merge touching units of a document.
@@ -276,20 +322,18 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                         "component_id", "n_units", "kept").filter(F.col("n_words") >= min_span)
 
 
-def _verifier(base: DataFrame, wanted: DataFrame, similarity: float):
-    """A function from candidate pairs (a, b) of digests to the pairs whose
-    paragraphs are similar. Only words of wanted paragraphs are fetched."""
-    spark = base.sparkSession
-    wanted = cut(wanted.select(F.col("node").alias("digest")), "wanted")
-    with arrow_batches(spark, 1000):
-        words = cut(paragraph_words(base.select("text")).join(with_small_side(wanted), "digest")
-                    .groupBy("digest").agg(F.first("words").alias("words")), "paragraph_words")
+def _band_keys(meeting: DataFrame) -> DataFrame:
+    """``digest, keys``: the band keys of each node in order, eight bytes each.
+    A band in which a node meets no other gets a value of its own."""
+    bands = [F.max(F.when(F.col("table") == k, F.col("key"))).alias(f"k{k}") for k in range(BANDS)]
+    rows = meeting.groupBy(F.col("node").alias("digest")).agg(*bands)
+    keys = [F.unhex(F.lpad(F.hex(F.coalesce(f"k{k}", F.xxhash64("digest", F.lit(k)))), 16, "0")) for k in range(BANDS)]
+    return rows.select("digest", F.concat(*keys).alias("keys"))
 
-    def verify(pairs: DataFrame) -> DataFrame:
-        x = words.select(F.col("digest").alias("a"), F.col("words").alias("x"))
-        y = words.select(F.col("digest").alias("b"), F.col("words").alias("y"))
-        with arrow_batches(spark, 2000):
-            return cut(pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y")
-                       .mapInArrow(_similar(similarity), "a long, b long"), "similar")
 
-    return verify
+def _words_of(base: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``digest, words, keys`` of the paragraphs of ``wanted(digest, keys)``."""
+    wanted = cut(wanted, "wanted")
+    with arrow_batches(base.sparkSession, 1000):
+        return cut(paragraph_words(base.select("text")).join(with_small_side(wanted), "digest")
+                   .dropDuplicates(["digest"]), "paragraph_words")

@@ -113,3 +113,46 @@ def test_query_finds_every_document_that_shares_51_words(spark, sf_small):
     some = set().union(*[s for s in short.values() if len(s) > 1])
     got = {r.doc_id for r in Q.op1_substring_dedup(spark, sf_small).collect()}
     assert truth <= got <= some
+
+
+def test_matrix_jaccard_equals_sets():
+    from blotter.llm.paragraphs import jaccard_near
+    r = random.Random(4)
+    paragraphs = []
+    for i in range(30):
+        w = words(r.randint(1, 90), i % 4)
+        for _ in range(r.randint(0, 3)):
+            w[r.randrange(len(w))] = "x"
+        paragraphs.append(" ".join(w).encode())
+    a, b = paragraphs[:13], paragraphs[13:]
+    keys = [[r.randrange(4) for _ in range(BANDS)] for _ in paragraphs]
+    payload = [np.array(k, ">i8").tobytes() + p for k, p in zip(keys, paragraphs)]
+    sets = [[shingle_set(p) for p in side] for side in (a, b)]
+    for columns in (7, 1 << 13):
+        for table in (0, 2):
+            got = jaccard_near(0.8, columns)(table, ([], payload[:13]), ([], payload[13:]))
+            assert got.tolist() == [[len(x & y) >= 0.8 * len(x | y) and all(
+                keys[i][t] != keys[13 + j][t] for t in range(table)) for j, y in enumerate(sets[1])]
+                for i, x in enumerate(sets[0])]
+
+
+def test_large_buckets_against_all_pairs(spark, monkeypatch):
+    """Many edited copies: stretches are short, so the later pass does the work."""
+    import blotter.llm.buckets as module
+    monkeypatch.setattr(module, "STRETCH", 8)
+    monkeypatch.setattr(module, "STRETCH_BYTES", 4000)
+    r = random.Random(9)
+    rows, sets = [], []
+    for i in range(90):
+        w = words(110, i % 3)
+        for _ in range(r.randint(0, 4)):
+            w[r.randrange(5, 105)] = f"edit{r.randrange(10 ** 6)}"
+        rows.append((i, " ".join(w), "", ""))
+        sets.append(shingle_set(" ".join(w).encode()))
+    from fixtures import components
+    root = components(90, [(a, b) for a in range(90) for b in range(a) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])])
+    got = [x for x in substring_dedup(frame(spark, rows)).collect() if x.n_words == 110]
+    # One whole paragraph is kept per component; components of one are not reported whole.
+    sizes = {g: root.count(g) for g in set(root)}
+    assert sum(x.kept for x in got) == sum(n > 1 for n in sizes.values())
+    assert {x.doc_id for x in got} == {i for i in range(90) if sizes[root[i]] > 1}
