@@ -1,17 +1,16 @@
 """Substring dedup by paragraph MinHash banding.
 
-Units. A paragraph is a line of at least ``PARAGRAPH`` words. As a repeated
-passage need not start or end with a line, every text is also cut into short
-passages at content-defined places: a word is a border if the hash of it and
+Units. A paragraph is a line of at least ``SHINGLE`` words, and also the words
+of several lines up to a blank one, as a paragraph may be wrapped (a line of
+fewer words has no shingle of its own). As a repeated passage need not start
+or end with a line, every text is also cut into short passages at content-defined places: a word is a border if the hash of it and
 its follower is the smallest of RADIUS words to both sides, so equal passages
 have equal borders wherever they stand.
 
 Linking. Units with equal words are one class. Paragraph classes get MinHash
 signatures over five-word shingles, cut into bands; classes that share a band
 are candidates, and every candidate is verified by the exact Jaccard
-similarity of its shingle sets. (Shorter units change too many shingles with
-one word to be similar without being equal.) Components of the links are the
-clusters; the first unit of a cluster stays, the others are removals, and
+similarity of its shingle sets. Components of the links are the clusters; the first unit of a cluster stays, the others are removals, and
 neighbouring units of a document are merged to spans.
 """
 
@@ -29,7 +28,7 @@ from .buckets import joined_buckets
 from .common import arrow_batches, cut, with_small_side
 from .graph import connected_components
 
-SHINGLE, SIMILARITY, PARAGRAPH, RADIUS = 5, 0.8, 50, 4
+SHINGLE, SIMILARITY, RADIUS = 5, 0.8, 4
 #: Shortest merged span that is reported, in words.
 SPAN = 20
 #: Bytes of text handled at once inside a task.
@@ -55,17 +54,32 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def paragraphs(text: bytes, words: list[bytes]) -> Iterator[tuple[int, int]]:
+    """Appends the words of a lower-cased text to ``words`` and gives the place
+    of each paragraph there."""
+    begin, lines = len(words), 0
+    for line in [*text.split(b"\n"), b""]:
+        at = len(words)
+        words += line.split()
+        if len(words) > at:
+            lines += 1
+            if len(words) - at >= SHINGLE:
+                yield at, len(words)
+        else:
+            if lines > 1 and at - begin >= SHINGLE:
+                yield begin, at
+            begin, lines = at, 0
+
+
 class Units:
     """The units of a group of texts (lower-cased bytes)."""
 
     def __init__(self, texts: list[bytes]):
         words: list[bytes] = []
-        line_ends: list[int] = []
+        places: list[tuple[int, int]] = []
         text_ends: list[int] = []
         for text in texts:
-            for line in text.lower().split(b"\n"):
-                words += line.split()
-                line_ends.append(len(words))
+            places += paragraphs(text.lower(), words)
             text_ends.append(len(words))
         self.words = words
         n = len(words)
@@ -92,15 +106,13 @@ class Units:
             if len(at) > 1:
                 same = owner[at[1:]] == owner[at[:-1]]
                 a, b = at[:-1][same], at[1:][same]
-        # Paragraphs.
-        ends = np.array(line_ends, np.int64)
-        lines = np.concatenate([[0], ends[:-1]])
-        long = ends - lines >= PARAGRAPH
-        c, d = lines[long], ends[long]
-        self.lines, self.line_ends = c, d
-
-        self.start, self.end = np.concatenate([a, c]), np.concatenate([b, d])
-        self.is_paragraph = np.concatenate([np.zeros(len(a), bool), np.ones(len(c), bool)])
+        c, d = np.array(sorted(places), np.int64).reshape(-1, 2).T
+
+        # In the order of the text, so that the first unit of a cluster stands
+        # first in it too; a passage that is a paragraph is one unit.
+        start, end = np.concatenate([c, a]), np.concatenate([d, b])
+        _, once = np.unique(start * (n + 1) + end, return_index=True)
+        self.start, self.end, self.is_paragraph = start[once], end[once], once < len(c)
         self.owner = owner[self.start] if n else np.empty(0, np.int64)
         self.first_word = self.start - (first[self.start] if n else 0)
         lo, hi = begin[self.start].tolist(), (begin[self.end] - 1).tolist()
@@ -110,7 +122,7 @@ class Units:
 
     @staticmethod
     def _signatures(hashes: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """(paragraphs, BANDS) keys."""
+        """(paragraphs, BANDS) keys; paragraphs may overlap."""
         if len(start) == 0:
             return np.empty((0, BANDS), np.int64)
         n = len(hashes) - SHINGLE + 1
@@ -118,17 +130,15 @@ class Units:
         for k in range(SHINGLE):
             shingle += hashes[k:k + n] * _C[k]
         shingle = _mix(shingle)
-        stop = end - SHINGLE + 1  # shingles of a line start before this
-        edges = np.stack([start, np.minimum(stop, n - 1)], 1).ravel()
+        edges = np.stack([start, end - SHINGLE + 1], 1).ravel()  # places where shingles start
+        top = np.array([2 ** 64 - 1], np.uint64)  # the last place may be n
         keys = np.empty((len(start), BANDS), np.uint64)
         for band in range(BANDS):
             key = np.full(len(start), band + 1, np.uint64)
             for r in range(ROWS):
                 k = band * ROWS + r
-                values = _mix(shingle * _A[k] + _B[k])
+                values = np.concatenate([_mix(shingle * _A[k] + _B[k]), top])
                 least = np.minimum.reduceat(values, edges)[::2]
-                if stop[-1] == n:  # the last shingle of all belongs to the last line
-                    least[-1] = min(least[-1], values[n - 1])
                 key = _mix(key * _C[0] + least)
             keys[:, band] = key
         return keys.astype(np.int64)
@@ -178,14 +188,11 @@ def paragraph_words(docs: DataFrame) -> DataFrame:
             for at in range(0, batch.num_rows, 256):
                 out: dict[int, bytes] = {}
                 for text in batch.column(0).slice(at, 256).to_pylist():
-                    for line in (text or "").encode().lower().split(b"\n"):
-                        if len(line) < 2 * PARAGRAPH - 1:
-                            continue
-                        words = line.split()
-                        if len(words) >= PARAGRAPH:
-                            joined = b" ".join(words)
-                            key = digest(joined, 1)
-                            out[key - (1 << 64) if key >> 63 else key] = joined
+                    words: list[bytes] = []
+                    for s, e in list(paragraphs((text or "").encode().lower(), words)):
+                        joined = b" ".join(words[s:e])
+                        key = digest(joined, 1)
+                        out[key - (1 << 64) if key >> 63 else key] = joined
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(list(out), pa.int64()), pa.array(list(out.values()), pa.binary())], ["digest", "words"])
 

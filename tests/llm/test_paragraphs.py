@@ -156,3 +156,26 @@ def test_large_buckets_against_all_pairs(spark, monkeypatch):
     sizes = {g: root.count(g) for g in set(root)}
     assert sum(x.kept for x in got) == sum(n > 1 for n in sizes.values())
     assert {x.doc_id for x in got} == {i for i in range(90) if sizes[root[i]] > 1}
+
+
+def test_short_lines_are_linked_when_equal_or_similar(spark):
+    """Fewer than 50 words: thirty equal ones, forty with one word inserted."""
+    line, other = words(30, 1), words(48, 2)
+    rows = [(i, f"{text(60, 10 + i)}\n{' '.join(w)}\n{text(60, 20 + i)}", "", "") for i, w in enumerate(
+        [line, line, ["x", *other[1:]], other[:47] + ["y"]])]
+    got = spans(substring_dedup(frame(spark, rows)).collect())
+    assert [g for g in got if g[0] < 2] == [(0, 60, 30, True), (1, 60, 30, False)]
+    assert [g for g in got if g[0] >= 2 and g[2] == 48] == [(2, 60, 48, True), (3, 60, 48, False)]
+
+
+def test_wrapped_lines_are_one_paragraph(spark):
+    base = words(90, 1)
+    near = base[:44] + ["changed"] + base[45:]
+
+    def wrapped(w, width):
+        return "\n".join(" ".join(w[k:k + width]) for k in range(0, len(w), width))
+
+    rows = [(1, wrapped(base, 4) + "\n \n" + wrapped(words(40, 2), 4), "", ""),
+            (2, wrapped(words(40, 3), 4) + "\n\n" + wrapped(near, 3), "", "")]
+    got = spans(substring_dedup(frame(spark, rows)).collect())
+    assert [g for g in got if g[2] >= 90] == [(1, 0, 90, True), (2, 40, 90, False)]
