@@ -71,6 +71,7 @@ def _walk(radius: int):
 
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         first = True  # the run at hand is the first of this task
+        flushed = None  # bucket of the last run that was not held to its end
         for batch in batches:
             t, k, v = (batch.column(i).to_numpy() for i in range(3))
             if held:
@@ -82,7 +83,8 @@ def _walk(radius: int):
             # Runs of two are many: compare them in one step.
             inner = np.ones(len(sizes), bool)
             inner[-1] = False
-            inner[0] &= not first
+            more = first or flushed == (t[0], k[0])  # the first run began earlier
+            inner[0] &= not more
             two = edges[:-1][inner & (sizes == 2)]
             if len(two):
                 close = np.bitwise_count(v[two].astype(np.uint64) ^ v[two + 1].astype(np.uint64)) <= radius
@@ -95,7 +97,8 @@ def _walk(radius: int):
                         held = [(t[s:e], k[s:e], v[s:e])]
                     else:
                         yield from finish(t[s], k[s], v[s:e], True)
-                elif i == 0 and first:
+                        flushed = t[s], k[s]
+                elif i == 0 and more:
                     yield from finish(t[s], k[s], v[s:e], True)
                 else:
                     yield from finish(t[s], k[s], v[s:e], False)

@@ -76,6 +76,20 @@ def test_buckets_longer_than_a_stretch(spark, monkeypatch):
         assert {got.get(s, s) for s in group} == {min(group)}
 
 
+def test_bucket_goes_on_after_a_batch_that_was_flushed(monkeypatch):
+    """The rest of a bucket too long to hold stays open, whatever its length."""
+    import pyarrow as pa
+
+    import blotter.llm.buckets as module
+    monkeypatch.setattr(module, "HOLD", 8)
+    for rest in (1, 2, 5):
+        rows = [(0, 1, 100)] + [(0, 5, 1000 * i) for i in range(8 + rest)] + [(0, 6, 7)]
+        batches = [pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(
+            zip(*part), (pa.int32(), pa.int64(), pa.int64()))], ["table", "key", "node"]) for part in (rows[:9], rows[9:])]
+        out = [tuple(r.values()) for b in module._walk(RADIUS)(iter(batches)) for r in b.to_pylist()]
+        assert {b for kind, _, a, b in out if kind == 1 and a == 5} == {1000 * i for i in range(8 + rest)}
+
+
 def test_components_of_long_chain_star_and_noise(spark):
     pairs = [(i, i + 1) for i in range(1, 300)] + [(1000, 1000 + i) for i in range(1, 300)] + [(5000, 4000), (7, 7), (None, 1)]
     got = {r.node: r.component for r in connected_components(
