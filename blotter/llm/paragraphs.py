@@ -3,9 +3,12 @@
 Units. A paragraph is a line of at least ``SHINGLE`` words, and also the words
 of several lines up to a blank one, as a paragraph may be wrapped (a line of
 fewer words has no shingle of its own). As a repeated passage need not start
-or end with a line, every text is also cut into short passages at content-defined places: a word is a border if the hash of it and
-its follower is the smallest of RADIUS words to both sides, so equal passages
-have equal borders wherever they stand.
+or end with a line, passages of SPAN words are units as well: of any SPACING
+neighbouring ones, the one with the smallest hash (winnowing). So every repeat
+of SPAN + SPACING - 1 = 35 words, wherever it stands, holds an equal unit that
+is long enough to be reported, and its span lacks at most SPACING - 1 words of
+the repeat on a side. Where a text begins or ends, windows of fewer passages
+count too, so repeats there reach to its first or last word.
 
 Linking. Units with equal words are one class. Paragraph classes get MinHash
 signatures over five-word shingles, cut into bands; classes that share a band
@@ -28,9 +31,9 @@ from .buckets import joined_buckets
 from .common import arrow_batches, cut, with_small_side
 from .graph import connected_components
 
-SHINGLE, SIMILARITY, RADIUS = 5, 0.8, 4
-#: Shortest merged span that is reported, in words.
-SPAN = 20
+SHINGLE, SIMILARITY = 5, 0.8
+#: Shortest merged span that is reported, in words; passages per choice of one.
+SPAN, SPACING = 20, 16
 #: Bytes of text handled at once inside a task.
 PART = 1 << 21
 
@@ -47,6 +50,7 @@ _rng = np.random.default_rng(20)
 _A = _rng.integers(1, 2 ** 63, ROWS * BANDS, dtype=np.uint64) | np.uint64(1)
 _B = _rng.integers(0, 2 ** 63, ROWS * BANDS, dtype=np.uint64)
 _C = _rng.integers(1, 2 ** 63, SHINGLE, dtype=np.uint64) | np.uint64(1)
+_BASE = 0x9E3779B97F4A7C15
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -71,6 +75,34 @@ def paragraphs(text: bytes, words: list[bytes]) -> Iterator[tuple[int, int]]:
             begin, lines = at, 0
 
 
+def _over(x: np.ndarray, width: int, best: np.ufunc) -> np.ndarray:
+    """``best`` of every ``width`` neighbours; a power of two."""
+    step = 1
+    while step < width:
+        x = best(x[:-step], x[step:])
+        step *= 2
+    return x
+
+
+def winnow(hashes: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Starts of the chosen passages, for the hash of each word and the end of
+    its text. Equal hashes are all chosen."""
+    n = len(hashes) - SPAN + 1
+    if n <= 0:
+        return np.empty(0, np.int64)
+    # Polynomial of SPAN words from running sums: the base is odd, so it can be divided by.
+    powers = np.cumprod(np.full(n, pow(_BASE, -1, 2 ** 64), np.uint64))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(
+        hashes * np.cumprod(np.full(len(hashes), _BASE, np.uint64)), dtype=np.uint64)])
+    g = _mix(_mix((sums[SPAN:] - sums[:n]) * powers))
+    top = np.uint64(2 ** 64 - 1)
+    inside = np.arange(n) + SPAN <= last[:n]
+    g[~inside] = top
+    pad = np.full(SPACING - 1, top)
+    least = _over(np.concatenate([pad, g, pad]), SPACING, np.minimum)
+    return np.flatnonzero(inside & (g == _over(least, SPACING, np.maximum)))
+
+
 class Units:
     """The units of a group of texts (lower-cased bytes)."""
 
@@ -93,19 +125,8 @@ class Units:
         owner = np.repeat(np.arange(len(texts)), counts)
         first, last = starts[owner], (starts + counts)[owner]
 
-        # Content-defined borders, from words of the same text only.
-        a = b = np.empty(0, np.int64)
-        if n > 2 * RADIUS + 2:
-            g = _mix(hashes[:-1] * _C[0] + hashes[1:] * _C[1])
-            windows = np.lib.stride_tricks.sliding_window_view(g, 2 * RADIUS + 1)
-            at = np.arange(RADIUS, RADIUS + len(windows))
-            mid = g[at]
-            small = (mid < windows[:, :RADIUS].min(1)) & (mid <= windows[:, RADIUS + 1:].min(1))
-            at = at[small]
-            at = at[(at - RADIUS >= first[at]) & (at + RADIUS + 1 < last[at])]
-            if len(at) > 1:
-                same = owner[at[1:]] == owner[at[:-1]]
-                a, b = at[:-1][same], at[1:][same]
+        a = winnow(hashes, last)
+        b = a + SPAN
         c, d = np.array(sorted(places), np.int64).reshape(-1, 2).T
 
         # In the order of the text, so that the first unit of a cluster stands

@@ -179,3 +179,25 @@ def test_wrapped_lines_are_one_paragraph(spark):
             (2, wrapped(words(40, 3), 4) + "\n\n" + wrapped(near, 3), "", "")]
     got = spans(substring_dedup(frame(spark, rows)).collect())
     assert [g for g in got if g[2] >= 90] == [(1, 0, 90, True), (2, 40, 90, False)]
+
+
+def test_every_repeat_of_35_words_holds_an_equal_passage():
+    """Inside differing lines, also with a period; no chance is left to borders."""
+    for k in range(300):
+        shared = words(35, k) if k % 3 else (words(1 + k % 5, k) * 35)[:35]
+        texts = [" ".join(words(40 + k % 7, 1000 * j + k) + shared + words(50, 5000 * j + k + 1)).encode() for j in (1, 2)]
+        u = Units(texts)
+        at = (40 + k % 7 <= u.first_word) & (u.first_word + u.end - u.start <= 75 + k % 7) & ~u.is_paragraph
+        assert (u.end - u.start)[at].min() >= 20
+        assert set(u.digest[at & (u.owner == 0)]) & set(u.digest[at & (u.owner == 1)])
+
+
+def test_passages_are_those_of_the_definition():
+    from blotter.llm.paragraphs import SPACING, SPAN
+    t = " ".join(words(400, 3) + words(3, 4) * 20)
+    u = Units([b"some other words", t.encode(), text(25, 5).encode()])
+    starts = u.first_word[(u.owner == 1) & ~u.is_paragraph]
+    gaps = np.diff(starts)
+    assert starts[0] == 0 and starts[-1] == 460 - SPAN and gaps.min() >= 1 and gaps.max() <= SPACING
+    assert ((u.end - u.start)[~u.is_paragraph] == SPAN).all() and (u.owner[~u.is_paragraph] > 0).all()
+    assert len(starts) < 440 / 4
