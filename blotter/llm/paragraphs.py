@@ -13,8 +13,8 @@ count too, so repeats there reach to its first or last word.
 Linking. Units with equal words are one class. Paragraph classes get MinHash
 signatures over five-word shingles, cut into bands; classes that share a band
 are candidates, and every candidate is verified by the exact Jaccard
-similarity of its shingle sets. Components of the links are the clusters; the first unit of a cluster stays, the others are removals, and
-neighbouring units of a document are merged to spans.
+similarity of its shingle sets. Components of the links are the clusters; the first unit of a cluster stays, the others are removals (but for
+those that share words with the first one), and neighbouring units of a document are merged to spans.
 """
 
 from __future__ import annotations
@@ -283,15 +283,17 @@ def jaccard_near(similarity: float, columns: int = 1 << 13):
 
 
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    similarity: float = SIMILARITY, min_span: int = SPAN, across: bool = True) -> DataFrame:
+                    similarity: float = SIMILARITY, min_span: int = SPAN, across: bool = True,
+                    own_words: int | None = None) -> DataFrame:
     """One row per repeated span: ``doc_id, row, first_word, n_words,
     component_id, n_units, kept``.
 
     ``first_word`` and ``n_words`` count words of the text; ``component_id`` is
     the smallest cluster in the span; ``kept`` spans are the first of their
     clusters, the others are removals. With ``across``, only clusters with
-    units in two documents count; without, a document's repeats of its own do
-    as well. Documents without a repeated span of
+    units in two documents count, and with ``own_words`` also those of
+    paragraphs of so many words in one document; without, all of a
+    document's repeats of its own do as well. Documents without a repeated span of
     ``min_span`` words give no row, so null, empty and short texts have none;
     repeated rows repeat all of their spans; ids may be null; texts of any
     length are read whole. An empty table gives no rows, and other columns are
@@ -302,8 +304,9 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                        F.col(text_col).alias("text"))
     with arrow_batches(spark, 1000):
         units = cut(find_units(base).withColumn("unit", F.monotonically_increasing_id()), "units")
+    place = F.struct("unit", "row", "first_word", "n_words")
     classes = cut(units.groupBy("digest").agg(
-        F.count("*").alias("n"), F.min("unit").alias("first"), F.min("row").alias("lo"), F.max("row").alias("hi"),
+        F.count("*").alias("n"), F.min(place).alias("first"), F.max("row").alias("hi"),
         F.max(F.size("bands") > 0).alias("paragraph")).filter("n > 1 OR paragraph"), "classes")
 
     # Candidates: every class with the smallest class of each of its bands.
@@ -328,14 +331,26 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     known = classes.join(clusters.withColumnRenamed("node", "digest"), "digest", "left").filter(
         "n > 1 OR component IS NOT NULL").withColumn("component", F.coalesce("component", "digest"))
-    known = cut(known.select("digest", "component", "first", "lo", "hi"), "repeated")
-    keepers = known.groupBy("component").agg(F.min("first").alias("keep"), F.min("lo").alias("lo"),
-                                             F.max("hi").alias("hi"))
+    own = F.lit(False) if own_words is None else F.col("paragraph") & (F.col("first.n_words") >= own_words)
+    known = cut(known.select("digest", "component", "first", "hi", own.alias("own")), "repeated")
+    keepers = known.groupBy("component").agg(F.min("first").alias("keep"), F.max("hi").alias("hi"),
+                                             F.max("own").alias("own")).withColumn("wide", F.expr("keep.row < hi"))
     if across:
-        keepers = keepers.filter("lo < hi")
-    known = cut(known.join(keepers, "component").select("digest", "component", "keep"), "repeated_keepers")
-    repeated = units.drop("bands").join(known, "digest").withColumn(
-        "kept", F.col("unit") == F.col("keep"))
+        keepers = keepers.filter("wide OR own")
+    known = cut(known.join(keepers.drop("hi", "own"), "component").select("digest", "component", "keep", "wide"),
+                "repeated_keepers")
+    # A paragraph and its longest line may be similar: what shares words with
+    # the first unit is no second copy of it.
+    copies = F.expr("unit = keep.unit OR NOT (row = keep.row AND first_word < keep.first_word + keep.n_words"
+                    " AND first_word + n_words > keep.first_word)")
+    kept = F.expr("unit = keep.unit")
+    places = units.drop("bands")
+    repeated = places.join(known.filter("wide"), "digest").filter(copies).withColumn("kept", kept)
+    if own_words is not None or not across:
+        alone = cut(places.join(known.filter("NOT wide"), "digest").filter(copies).withColumn("kept", kept),
+                    "one_document")
+        removed = alone.filter("NOT kept").select("component").distinct()
+        repeated = repeated.unionByName(alone.join(removed, "component", "left_semi"))
 
     # Merge touching units of a document.
     end = F.col("first_word") + F.col("n_words")

@@ -22,7 +22,7 @@ from .simhash import simhash_dedup
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring_dedup(read(spark, sf_dir, "documents")).select(
+    return substring_dedup(read(spark, sf_dir, "documents"), own_words=50).select(
         "doc_id", "first_word", "n_words", "component_id", "n_units", "kept")
 
 

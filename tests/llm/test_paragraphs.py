@@ -201,3 +201,20 @@ def test_passages_are_those_of_the_definition():
     assert starts[0] == 0 and starts[-1] == 460 - SPAN and gaps.min() >= 1 and gaps.max() <= SPACING
     assert ((u.end - u.start)[~u.is_paragraph] == SPAN).all() and (u.owner[~u.is_paragraph] > 0).all()
     assert len(starts) < 440 / 4
+
+
+def test_query_reports_paragraphs_repeated_in_one_document(spark, tmp_path):
+    p, edited = text(200, 5), words(200, 5)
+    edited[100] = "changed"
+    rows = [(1, "\n".join([p, text(30, 7), p, p, " ".join(edited)]), "", ""), (2, text(80, 6), "", "")]
+    frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = spans(Q.op1_substring_dedup(spark, str(tmp_path)).collect())
+    assert got == [(1, 0, 200, True), (1, 230, 600, False)]
+
+
+def test_longest_line_of_a_kept_paragraph_is_kept_with_it(spark):
+    """The paragraph of both lines and the long line alone are similar."""
+    both = text(6, 1) + "\n" + text(200, 2)
+    rows = [(1, both, "", ""), (2, text(50, 3) + "\n\n" + both, "", ""), (3, text(5, 4) + "\n" + text(150, 5), "", "")]
+    got = spans(substring_dedup(frame(spark, rows), own_words=50).collect())
+    assert got == [(1, 0, 206, True), (2, 50, 206, False)]
