@@ -125,12 +125,9 @@ def load_raw(store: TableStore, batch: DataFrame, change_cols: list[str] | None
 
 def _touched_rows(store: TableStore, schema: str, name: str, increment: DataFrame) -> DataFrame:
     """Rows of a live table in the partitions that ``increment`` falls into: a
-    partition filter, so no other file is read. With other columns than the
-    table's, all rows (the table is then rewritten)."""
+    partition filter, so no other file is read."""
     table = store.read_live(schema, name)
-    if store.same_schema(schema, name, increment.schema):
-        table = table.filter(F.col(PART).isin(store.touched(increment, schema, name)))
-    return table.drop(PART)
+    return table.filter(F.col(PART).isin(store.touched(increment, schema, name))).drop(PART)
 
 
 def merge_counts(store: TableStore) -> dict:

@@ -22,7 +22,6 @@ BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # Always read bucketed tables bucket by bucket, so a rewrite of a bucketed
     # table keeps one bucket per task (no reshuffle before the bucketed write).
     "spark.sql.sources.bucketing.autoBucketedScan.enabled": "false",

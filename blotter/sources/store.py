@@ -10,13 +10,21 @@ write itself measures with an ``Observation``, so checking a table's size
 Tables that grow with every load (raw rows, fact, bridges) are not rewritten
 as a whole: they are *live* tables, plain Spark tables partitioned by ranges of
 the report number and bucketed on it. A MERGE reads and replaces only the
-partitions its increment falls into (Spark's dynamic partition overwrite).
+partitions its increment falls into (Spark's dynamic partition overwrite, an
+option stored with the table: the session's setting is neither read nor
+changed, so loads in parallel threads and in any session behave alike).
 Their common bucketing lets fact x bridge joins read co-partitioned inputs. A
 live table counts as existing once its metadata is written; a load that was
 interrupted before is simply run again, since merging the same rows twice
 changes nothing. It is registered in the session catalog as an external table
 (re-registered from the metadata by any later session).
 
+A change of a live table's columns writes no old file. New columns are added to
+the catalog entry (``ALTER TABLE ... ADD COLUMNS``) and read as nulls from older
+files; for a dropped or widened column a second entry with the new columns is
+made over the same files before the metadata names it, so there is no moment
+without the table.
+
 File-system calls go through Hadoop's ``FileSystem`` so ``root`` may be any
 shared store the cluster can write (HDFS, object stores, a shared mount).
 """
@@ -31,11 +39,12 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from blotter.operators.joins import staged
-
 META_FILE = "_meta.json"
 #: Partition column of live tables: report number div the partition width.
 PART = "dr_part"
+#: Stored with every live table, so an overwrite replaces the partitions it
+#: writes whatever the session's own setting is.
+OVERWRITE_OPTION = {"partitionOverwriteMode": "dynamic"}
 
 
 class TableStore:
@@ -61,8 +70,11 @@ class TableStore:
                            f"LOCATION '{self.root}/_catalog'")
             self._db_ready = True
 
-    def _catalog_name(self, schema: str, name: str) -> str:
-        return f"{self.database}.{schema}__{name}"
+    def _catalog_name(self, schema: str, name: str, entry: int | None = None) -> str:
+        """The catalog entry that the metadata names (or number ``entry``)."""
+        if entry is None:
+            entry = int((self.meta(schema, name) or {}).get("entry") or 0)
+        return f"{self.database}.{schema}__{name}" + (f"__{entry}" if entry else "")
 
     def _register(self, qualified: str, path: str, meta: dict) -> None:
         if self.spark.catalog.tableExists(qualified):
@@ -71,8 +83,9 @@ class TableStore:
         schema = T.StructType.fromJson(json.loads(meta["schema"]))
         cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
         keys = ", ".join(f"`{k}`" for k in meta["bucket_by"])
+        options = ", ".join(f"{k} '{v}'" for k, v in OVERWRITE_OPTION.items())
         self.spark.sql(f"CREATE TABLE IF NOT EXISTS {qualified} ({cols}, `{PART}` bigint) USING parquet "
-                       f"PARTITIONED BY (`{PART}`) CLUSTERED BY ({keys}) INTO {meta['buckets']} BUCKETS "
+                       f"OPTIONS ({options}) PARTITIONED BY (`{PART}`) CLUSTERED BY ({keys}) INTO {meta['buckets']} BUCKETS "
                        f"LOCATION '{path}'")
         self.spark.catalog.recoverPartitions(qualified)
 
@@ -209,7 +222,9 @@ class TableStore:
             return None
         qualified = self._catalog_name(schema, name)
         self._register(qualified, self._live_path(schema, name), m)
-        return self.spark.table(qualified)
+        # The columns that the metadata names: an entry may already have more.
+        names = T.StructType.fromJson(json.loads(m["schema"])).names
+        return self.spark.table(qualified).select(*names, PART)
 
     def live_buckets(self, schema: str, name: str) -> int:
         return int((self.meta(schema, name) or {}).get("buckets") or self.buckets)
@@ -226,23 +241,50 @@ class TableStore:
         part = self.part_of(schema, name, key).alias(PART)
         return sorted(r[0] for r in df.select(part).distinct().collect())
 
-    def same_schema(self, schema: str, name: str, wanted: T.StructType) -> bool:
-        kinds = lambda s: [(f.name, f.dataType) for f in s.fields]
-        return kinds(T.StructType.fromJson(json.loads(self.meta(schema, name)["schema"]))) == kinds(wanted)
+    def _evolve(self, schema: str, name: str, wanted: T.StructType) -> int:
+        """Give a live table the columns of ``wanted`` without touching a file;
+        returns the number of the catalog entry that has them.
+
+        Only new columns: they are added to the entry. Otherwise (a column
+        gone or widened) a new entry over the same files is made; readers move
+        to it with the next metadata. A column that comes back after it was
+        dropped is refused, since older files would show its old values."""
+        meta = self.meta(schema, name)
+        path, entry = self._live_path(schema, name), int(meta.get("entry") or 0)
+        old = T.StructType.fromJson(json.loads(meta["schema"]))
+        kinds = {f.name: f.dataType for f in old.fields}
+        new = [f for f in wanted.fields if f.name not in kinds]
+        self._register(self._catalog_name(schema, name), path, meta)
+        if not new and len(wanted) == len(old) and all(kinds[f.name] == f.dataType for f in wanted.fields):
+            return entry
+        back = sorted({f.name for f in new} & set(meta.get("dropped") or []))
+        if back:
+            raise ValueError(f"columns {back} were dropped from {schema}.{name} and cannot come back; use another name")
+        stays = {f.name: f.dataType for f in wanted.fields if f.name in kinds}
+        if stays == kinds:
+            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
+            qualified = self._catalog_name(schema, name)
+            have = set(self.spark.table(qualified).columns)
+            if not {f.name for f in new} <= have:   # a load that was interrupted here is run again
+                self.spark.sql(f"ALTER TABLE {qualified} ADD COLUMNS ({cols})")
+            return entry
+        qualified = self._catalog_name(schema, name, entry + 1)
+        self.spark.sql(f"DROP TABLE IF EXISTS {qualified}")
+        self._register(qualified, path, {**meta, "schema": wanted.json()})
+        return entry + 1
 
     def write_live(self, df: DataFrame, schema: str, name: str, bucket_by: list[str], watermark,
                    prepartitioned: bool = False, validate=None, metrics: dict | None = None,
                    drop: tuple[str, ...] = ()) -> DataFrame:
         """First write: create the table from ``df``. Later: replace exactly the
         partitions that ``df`` has rows for (so ``df`` must hold all rows of
-        those); the files of every other partition stay as they are. A ``df``
-        with other columns replaces the whole table.
+        those); the files of every other partition stay as they are, also when
+        ``df`` has other columns than the table (see ``_evolve``).
 
         ``metrics`` are observed in the writing stage. ``validate`` gets the
         written table before its metadata makes a first write visible."""
         old = self.meta(schema, name)
         path = self._live_path(schema, name)
-        qualified = self._catalog_name(schema, name)
         buckets = int(old["buckets"]) if old else self.buckets
         width = int(old["part_width"]) if old else self.part_width
         exprs = [F.count(F.lit(1)).alias("rows")]
@@ -254,31 +296,26 @@ class TableStore:
         out = out.sortWithinPartitions(PART, *bucket_by).observe(obs, *exprs).drop(*drop)
         self._ensure_database()
         stored = df.drop(*drop).schema
-        if old is None or not self.same_schema(schema, name, stored):
-            if old is not None:  # the new layout may be made from the old files
-                out = staged(out, "schema_change")[0].repartition(buckets, *bucket_by)
-                out = out.sortWithinPartitions(PART, *bucket_by)
-            (out.write.mode("overwrite").format("parquet").option("path", path).partitionBy(PART)
-             .bucketBy(buckets, *bucket_by).sortBy(*bucket_by).saveAsTable(qualified))
+        if old is None:
+            entry, qualified = 0, self._catalog_name(schema, name, 0)
+            (out.write.mode("overwrite").format("parquet").option("path", path).options(**OVERWRITE_OPTION)
+             .partitionBy(PART).bucketBy(buckets, *bucket_by).sortBy(*bucket_by).saveAsTable(qualified))
         else:
-            self._register(qualified, path, old)
-            columns = self.spark.table(qualified).columns
-            conf = "spark.sql.sources.partitionOverwriteMode"
-            before = self.spark.conf.get(conf)
-            self.spark.conf.set(conf, "dynamic")
-            try:
-                out.select(*columns).write.insertInto(qualified, overwrite=True)
-            finally:
-                self.spark.conf.set(conf, before)
+            entry = self._evolve(schema, name, stored)
+            qualified = self._catalog_name(schema, name, entry)
+            out.select(*self.spark.table(qualified).columns).write.insertInto(qualified, overwrite=True)
             self.spark.catalog.refreshTable(qualified)
         measured = obs.get
         if validate is not None:
             validate(self.spark.table(qualified))
+        gone = set((old or {}).get("dropped") or [])
+        if old:
+            gone |= set(T.StructType.fromJson(json.loads(old["schema"])).names) - set(stored.names)
         self._write_meta(path, {"watermark": watermark, "written_rows": int(measured["rows"]),
                                 "metrics": {k: measured.get(f"m__{k}") for k in (metrics or {})},
                                 "schema": stored.json(), "previous_schema": old["schema"] if old else None,
-                                "bucket_by": bucket_by, "buckets": buckets,
-                                "part_width": width})
+                                "bucket_by": bucket_by, "buckets": buckets, "part_width": width,
+                                "entry": entry, "dropped": sorted(gone)})
         return self.read(schema, name)
 
     def _expire(self, schema: str, name: str) -> None:

@@ -1,5 +1,8 @@
 import os
+import threading
+import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from blotter.session import scratch_path
@@ -35,7 +38,6 @@ def test_bucketed_table_survives_a_new_catalog_entry(spark):
 
 
 def test_first_load_with_duplicate_keys_is_never_published(spark):
-    import pytest
     from blotter.operators.merge import DuplicateKeyError
     from blotter.plans import pipeline as P
     from blotter.schemas import RAW_SCHEMA
@@ -94,14 +96,90 @@ def test_live_table_keeps_the_layout_of_its_first_write(spark):
     assert len(_files(again, "f")) <= 6
 
 
-def test_live_table_with_other_columns_is_rewritten(spark):
+def _one_part(store, df):
+    """Write ``df`` (rows of partition 1 only) and check that no other file moved."""
+    before = _files(store, "f")
+    store.write_live(df, "s", "f", ["dr_no"], 2)
+    after = _files(store, "f")
+    others = {p for p in before if "dr_part=1/" not in p}
+    assert others and all(after.get(p) == before[p] for p in others)
+    return store.read("s", "f")
+
+
+def test_a_new_column_writes_no_old_file(spark):
+    from blotter.checks.monitors import schema_changes_since_last_run
     store = TableStore(spark, scratch_path(spark, "store-columns"), buckets=2, part_width=100)
-    df = spark.range(300).select(F.col("id").alias("dr_no"))
+    df = spark.range(300).select(F.col("id").alias("dr_no"), F.lit(1).alias("n"))
     store.write_live(df, "s", "f", ["dr_no"], 1)
-    store.write_live(store.read("s", "f").withColumn("new", F.lit("x")), "s", "f", ["dr_no"], 2)
-    assert store.read("s", "f").filter("new = 'x'").count() == 300
-    from blotter.checks.monitors import schema_changes_since_last_run
+    got = _one_part(store, df.filter("dr_no BETWEEN 100 AND 199").withColumn("new", F.lit("x")))
+    assert got.columns == ["dr_no", "n", "new"] and got.count() == 300
+    assert got.filter("new = 'x'").count() == 100 and got.filter("new IS NULL").count() == 200
     assert [(r.column, r.change) for r in schema_changes_since_last_run(store, "s", "f").collect()] == [("new", "added")]
+    again = TableStore(spark, store.root)
+    spark.sql(f"DROP TABLE {again._catalog_name('s', 'f')}")     # as in a fresh session
+    assert again.read("s", "f").filter("new = 'x'").count() == 100
+
+
+def test_a_widened_or_dropped_column_writes_no_old_file(spark):
+    store = TableStore(spark, scratch_path(spark, "store-widen"), buckets=2, part_width=100)
+    df = spark.range(300).select(F.col("id").alias("dr_no"), F.lit(1).alias("n"), F.lit("o").alias("old"))
+    store.write_live(df, "s", "f", ["dr_no"], 1)
+    part = df.filter("dr_no BETWEEN 100 AND 199")
+    got = _one_part(store, part.select("dr_no", F.lit(1 << 40).alias("n")))
+    assert got.dtypes == [("dr_no", "bigint"), ("n", "bigint")]
+    assert got.filter("n = 1").count() == 200 and got.filter(f"n = {1 << 40}").count() == 100
+    with pytest.raises(ValueError, match="dropped"):
+        store.write_live(part.select("dr_no", F.lit(2).cast("long").alias("n"), F.lit("o").alias("old")),
+                         "s", "f", ["dr_no"], 3)
+
+
+def test_parallel_loads_in_a_session_with_its_own_settings(spark, monkeypatch):
+    """Three tables loaded side by side, a slow insert, a thread that flips the
+    session's overwrite mode: every table keeps its other partitions and the
+    session is not changed."""
+    from concurrent.futures import ThreadPoolExecutor
+    from pyspark.sql import DataFrameWriter
+    conf = "spark.sql.sources.partitionOverwriteMode"
+    assert spark.conf.get(conf).lower() == "static"
+    store = TableStore(spark, scratch_path(spark, "store-threads"), buckets=2, part_width=100)
+    df = spark.range(800).select(F.col("id").alias("dr_no"), F.lit(0).alias("v"))
+    names = ["a", "b", "c"]
+    for n in names:
+        store.write_live(df, "s", n, ["dr_no"], 0)
+    insert = DataFrameWriter.insertInto
+
+    def slow(self, *args, **kw):
+        time.sleep(0.2)
+        return insert(self, *args, **kw)
+    monkeypatch.setattr(DataFrameWriter, "insertInto", slow)
+    stop = threading.Event()
+
+    def flip():
+        while not stop.is_set():
+            for mode in ("dynamic", "static"):
+                spark.conf.set(conf, mode)
+                time.sleep(0.01)
+    flipper = threading.Thread(target=flip)
+    flipper.start()
+    try:
+        for round_ in range(1, 4):
+            def load(n):
+                part = store.read_live("s", n).filter("dr_part = 3").drop("dr_part")
+                return store.write_live(part.withColumn("v", F.lit(round_)), "s", n, ["dr_no"], round_)
+            with ThreadPoolExecutor(3) as pool:
+                list(pool.map(load, names))
+            for n in names:
+                got = store.read("s", n)
+                assert got.count() == 800 and got.filter(f"v = {round_}").count() == 100
+    finally:
+        stop.set()
+        flipper.join()
+        spark.conf.unset(conf)
+    monkeypatch.undo()
+    spark.conf.set(conf, "static")
+    store.write_live(store.read_live("s", "a").filter("dr_part = 3").drop("dr_part"), "s", "a", ["dr_no"], 9)
+    assert spark.conf.get(conf).lower() == "static"
+    spark.conf.unset(conf)
 
 
 def test_row_counts_are_those_of_the_written_rows(spark):
