@@ -101,3 +101,15 @@ def with_small_side(small: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
     ``max_rows`` rows (of a few numbers each); otherwise as it is, so that the
     join shuffles."""
     return F.broadcast(small) if small.count() <= max_rows else small
+
+
+def bounded_side(small: DataFrame, max_bytes: int = 32 * 1024 * 1024) -> DataFrame:
+    """``small`` marked for broadcast when its measured size (bytes of its
+    texts and digests, 16 a column and row besides) is at most ``max_bytes``;
+    otherwise as it is, so that the join shuffles. ``small`` is read for that:
+    pass a written table."""
+    lengths = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in small.schema.fields
+               if f.dataType.typeName() in ("string", "binary")]
+    width = sum(lengths, F.lit(16 * (len(small.columns) + 1)))
+    used = small.agg(F.sum(width)).first()[0] or 0
+    return F.broadcast(small) if used <= max_bytes else small
