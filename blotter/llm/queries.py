@@ -12,6 +12,7 @@ from .common import read
 from .embedding import embedding_dedup
 from .exact_dedup import exact_dedup
 from .filter_audit import COUNTS, audit_filters, filter_cells
+from .fingerprints import fingerprint_edits
 from .html import extract_main_text
 from .licenses import scan_licenses
 from .lm_score import lm_score
@@ -76,6 +77,10 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit_filters(cells).select("part", "filter_order", "step", *COUNTS)
 
 
+def op12_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_edits(read(spark, sf_dir, "documents"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's proof, held against its row without line feeds where
     the unsigned crc32 of its id is even."""
@@ -94,7 +99,7 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [op1_substring_dedup, op2_html_extraction, op3_simhash_dedup, op4_exact_dedup, op5_embedding_dedup,
              op6_license_scan, op7_quality_classifier, op8_packing, op9_source_mix, op10_lm_score,
-             op11_filter_audit, op13_merkle_manifest]
+             op11_filter_audit, op12_document_fingerprints, op13_merkle_manifest]
     return {f.__name__: f for f in found}
 
 
