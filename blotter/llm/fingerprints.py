@@ -8,12 +8,17 @@ from a hash of the word and the sample's number alone. With t = floor(ln w / r
 sum(min) / sum(max) of their weights, the generalised Jaccard similarity, so
 the share of equal samples estimates it.
 
+r, c and b come from two hashes: r from two numbers of 21 bits, b from 22 bits,
+c from two numbers of 32 bits.
+
 Only DataFrame functions run here. A document's text is shuffled once; words,
 counts, variates and minima of both its versions are computed where it then is.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,49 +29,79 @@ from .common import WORD, cut
 #: Samples of a fingerprint: the likeness has a standard error of at most
 #: 1 / (2 sqrt(64)) = 0.0625.
 SAMPLES = 64
+#: Samples that one row of terms is taken for at a time, so that the generated
+#: code of a step stays small.
+BLOCK = 8
 #: Values ln a are kept as fixed-point numbers of 31 bits above the 32 bits that
 #: name the pair, so the smallest pair is the minimum of one long.
 _OFFSET, _SCALE, _LOW = 1024.0, float(1 << 20), (1 << 32) - 1
 
 
-def _unit(bits: Column) -> Column:
-    """A number in (0, 1) out of 32 bits."""
-    return (bits + F.lit(0.5)) / F.lit(float(1 << 32))
-
-
-def _high(h: Column) -> Column:
-    return _unit(F.shiftrightunsigned(h, 32))
+def _unit(bits: Column, n: int) -> Column:
+    """A number in (0, 1) out of ``n`` bits."""
+    return (bits + F.lit(0.5)) * F.lit(0.5 ** n)
 
 
-def _low(h: Column) -> Column:
-    return _unit(h.bitwiseAND(F.lit(_LOW)))
+def _cut_bits(h: Column, *widths: int) -> list[Column]:
+    """Uniform numbers out of neighbouring bits of a 64-bit hash."""
+    out, at = [], 0
+    for n in widths:
+        out.append(_unit(F.shiftrightunsigned(h, at).bitwiseAND(F.lit((1 << n) - 1)), n))
+        at += n
+    return out
 
 
-def sampled(term: Column, weight: Column, sample: int) -> Column:
-    """Value and name of one term (a 64-bit hash) in one sample, packed into a
-    long; null without a positive weight."""
-    draw = [F.xxhash64(term, F.lit(3 * sample + k).cast("long")) for k in range(3)]
-    r = -F.ln(_high(draw[0]) * _low(draw[0]))
-    c = -F.ln(_high(draw[1]) * _low(draw[1]))
-    b = _high(draw[2])
-    t = F.floor(F.ln(weight) / r + b)
+def sampled(term: Column, log_weight: Column, sample: Column) -> Column:
+    """Value and name of one term (a 64-bit hash) in one sample (a long), packed
+    into a long."""
+    u1, u2, b = _cut_bits(F.xxhash64(term, sample * 2), 21, 21, 22)
+    u3, u4 = _cut_bits(F.xxhash64(term, sample * 2 + 1), 32, 32)
+    r, c = -F.ln(u1 * u2), -F.ln(u3 * u4)
+    t = F.floor(log_weight / r + b)
     value = F.ln(c) - r * (t - b + F.lit(1.0))
-    fixed = F.floor((value + F.lit(_OFFSET)) * F.lit(_SCALE))
-    name = F.xxhash64(term, t.cast("long")).bitwiseAND(F.lit(_LOW))
-    return F.when(weight > 0, F.shiftleft(fixed, 32).bitwiseOR(name))
+    fixed = ((value + F.lit(_OFFSET)) * F.lit(_SCALE)).cast("long")
+    name = F.xxhash64(term, t).bitwiseAND(F.lit(_LOW))
+    return F.shiftleft(fixed, 32).bitwiseOR(name)
 
 
 def signatures(terms: DataFrame, key: str, weights: dict[str, str], samples: int = SAMPLES) -> DataFrame:
     """``terms(key, term, <weight columns>)``, one row per key and term hash,
     to ``key`` and, for each ``weights`` item (weight column -> result column),
     an array of ``samples`` names of 32 bits (null for a bag without a term of
-    positive weight). Bags of one row share their variates."""
-    picks = [F.min(sampled(F.col("term"), F.col(w), i)).alias(f"_{w}_{i}")
-             for i in range(samples) for w in weights]
-    best = terms.groupBy(key).agg(*picks)
-    names = [F.when(F.col(f"_{w}_0").isNotNull(), F.array(*[
-        F.col(f"_{w}_{i}").bitwiseAND(F.lit(_LOW)) for i in range(samples)])).alias(out) for w, out in weights.items()]
-    return best.select(key, *names)
+    positive weight). A term with one weight in all bags of its row is sampled
+    once for all of them.
+
+    Per key, kind of term (in all bags, or in one) and block of samples a hash
+    aggregate keeps the block's minima, so a bag of any size is a fixed number
+    of longs."""
+    bags = list(weights)
+    whole = (1 << len(bags)) - 1
+    first = F.col(bags[0])
+    alike = reduce(lambda x, y: x & y, [first.eqNullSafe(F.col(w)) for w in bags])
+    one = lambda kind, w: F.struct(F.lit(kind).alias("kind"), F.ln(w.cast("double")).alias("log_weight"))
+    parts = F.when(alike, F.array(one(whole, first))).otherwise(F.array(*[
+        one(1 << i, F.col(w)) for i, w in enumerate(bags)]))
+    blocks = F.sequence(F.lit(0).cast("long"), F.lit((samples - 1) // BLOCK).cast("long"))
+    rows = (terms.select(key, "term", F.inline(parts)).filter("log_weight IS NOT NULL")
+            .select("*", F.explode(blocks).alias("block")))
+    best = rows.groupBy(key, "kind", "block").agg(*[
+        F.min(sampled(F.col("term"), F.col("log_weight"), F.col("block") * BLOCK + i)).alias(f"_{i}") for i in range(BLOCK)])
+    found = (best.select(key, F.struct("kind", "block", F.array(*[f"_{i}" for i in range(BLOCK)]).alias("best")).alias("b"))
+             .groupBy(key).agg(F.array_sort(F.collect_list("b")).alias("found")))
+
+    def of(kind: int) -> Column:
+        own = F.filter("found", lambda b: b["kind"] == kind)
+        minima = F.slice(F.flatten(F.transform(own, lambda b: b["best"])), 1, samples)
+        return F.when(F.size(own) > 0, minima)
+
+    kinds = found.select(key, of(whole).alias("common"), *[of(1 << i).alias(f"_{i}") for i in range(len(bags))])
+
+    def name(i: int) -> Column:
+        common, own = F.col("common"), F.col(f"_{i}")
+        both = F.zip_with(common, own, lambda x, y: F.least(x, y))
+        return F.transform(F.coalesce(both, common, own), lambda x: x.bitwiseAND(F.lit(_LOW)))
+
+    return kinds.select(key, *[name(i).alias(out) for i, out in enumerate(weights.values())])
 
 
 def likeness(a: Column, b: Column) -> Column:

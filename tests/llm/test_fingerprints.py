@@ -24,16 +24,19 @@ def long(v: int) -> bytes:
 def signature(bag: dict[str, int], samples: int) -> str:
     if not bag:
         return ""
-    unit = lambda v: (v + 0.5) / 2 ** 32
+    def cut(h, *widths):
+        for n in widths:
+            yield ((h & (1 << n) - 1) + 0.5) / 2 ** n
+            h >>= n
+
     out = []
     for i in range(samples):
         best = []
         for word, weight in bag.items():
             term = xx(word.encode())
-            d = [xx(long(3 * i + k), xx(long(term))) for k in range(3)]
-            r = -math.log(unit(d[0] >> 32) * unit(d[0] & MASK))
-            c = -math.log(unit(d[1] >> 32) * unit(d[1] & MASK))
-            b = unit(d[2] >> 32)
+            u1, u2, b = cut(xx(long(2 * i), xx(long(term))), 21, 21, 22)
+            u3, u4 = cut(xx(long(2 * i + 1), xx(long(term))), 32, 32)
+            r, c = -math.log(u1 * u2), -math.log(u3 * u4)
             t = math.floor(math.log(weight) / r + b)
             value = math.log(c) - r * (t - b + 1)
             best.append((math.floor((value + 1024) * 2 ** 20), xx(long(t), xx(long(term))) & MASK))
