@@ -24,22 +24,21 @@ def long(v: int) -> bytes:
 def signature(bag: dict[str, int], samples: int) -> str:
     if not bag:
         return ""
-    def cut(h, *widths):
-        for n in widths:
-            yield ((h & (1 << n) - 1) + 0.5) / 2 ** n
-            h >>= n
-
+    bits = lambda h, at, n: (h >> at & (1 << n) - 1) + 0.5
+    ln2 = 0.6931471805599453
     out = []
     for i in range(samples):
         best = []
         for word, weight in bag.items():
             term = xx(word.encode())
-            u1, u2, b = cut(xx(long(2 * i), xx(long(term))), 21, 21, 22)
-            u3, u4 = cut(xx(long(2 * i + 1), xx(long(term))), 32, 32)
-            r, c = -math.log(u1 * u2), -math.log(u3 * u4)
+            h = xx(long(i), xx(long(term)))
+            g = xx(long(h))
+            r = 42 * ln2 - math.log(bits(h, 0, 21) * bits(h, 21, 21))
+            c = 64 * ln2 - math.log(bits(g, 0, 32) * bits(g, 32, 32))
+            b = bits(h, 42, 22) * 0.5 ** 22
             t = math.floor(math.log(weight) / r + b)
             value = math.log(c) - r * (t - b + 1)
-            best.append((math.floor((value + 1024) * 2 ** 20), xx(long(t), xx(long(term))) & MASK))
+            best.append((math.floor(value * 2 ** 20), xx(long(t), xx(long(term))) & MASK))
         out.append(f"{min(best)[1]:08x}")
     return "".join(out)
 
@@ -88,7 +87,7 @@ def test_empty_table(spark):
 def test_equal_texts_and_a_very_long_one(spark):
     rows = [(k, "one two two three", "", "") for k in range(50)] + [(99, text(60_000, 2), "", "")]
     got = fingerprint_edits(frame(spark, rows)).collect()
-    assert len({r.fingerprint for r in got if r.doc_id < 99}) == 1 and {len(r.fingerprint) for r in got} == {8 * 64}
+    assert len({r.fingerprint for r in got if r.doc_id < 99}) == 1 and {len(r.fingerprint) for r in got} == {8 * 48}
     assert [r.near_next for r in got if 0 < r.doc_id < 50] == [1.0] * 49
 
 
