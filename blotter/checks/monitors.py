@@ -88,9 +88,13 @@ def z_score_anomalies(series: DataFrame, bucket: str = "bucket", value: str = "v
 
 def daily_volume(df: DataFrame, ts_col: str) -> DataFrame:
     """Rows per day; days without rows inside the observed span count 0."""
-    counts = (df.select(F.to_date(F.col(ts_col)).alias("bucket"))
-              .filter(F.col("bucket").isNotNull())
-              .groupBy("bucket").agg(F.count(F.lit(1)).alias("value")))
+    return every_day(df.select(F.to_date(F.col(ts_col)).alias("bucket"))
+                     .filter(F.col("bucket").isNotNull())
+                     .groupBy("bucket").agg(F.count(F.lit(1)).alias("value")))
+
+
+def every_day(counts: DataFrame) -> DataFrame:
+    """``counts(bucket, value)`` with 0 for the days between that have none."""
     # The span comes from the counts within the plan; their exchange is reused.
     days = (counts.agg(F.min("bucket").alias("lo"), F.max("bucket").alias("hi")).filter("lo IS NOT NULL")
             .select(F.explode(F.expr("sequence(lo, hi, INTERVAL 1 DAY)")).alias("bucket")))
@@ -149,13 +153,24 @@ def column_metrics(df: DataFrame, col: str, ts_col: str) -> DataFrame:
         F.min(c).alias("min"), F.max(c).alias("max"), F.avg(c).alias("average"),
         F.stddev_samp(c).alias("standard_deviation"),
         F.sum((c == 0).cast("long")).cast("double").alias("zero_count"))
-    metrics = ["null_count", "null_percent", "min", "max", "average", "standard_deviation", "zero_count"]
+    return per_metric(per_day)
+
+
+METRICS = ["null_count", "null_percent", "min", "max", "average", "standard_deviation", "zero_count"]
+
+
+def per_metric(per_day: DataFrame) -> DataFrame:
+    """``(bucket, metric, value)`` out of one column per metric."""
     return per_day.select("bucket", F.explode(F.array(*[
-        F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in metrics])).alias("m")
+        F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in METRICS])).alias("m")
     ).select("bucket", "m.metric", "m.value")
 
 
 def column_anomalies(df: DataFrame, col: str, ts_col: str, train: int = TRAIN_BUCKETS,
                      z: float = Z_THRESHOLD) -> DataFrame:
-    series = column_metrics(df, col, ts_col).withColumn("value", F.round("value", 6))
+    return metric_anomalies(column_metrics(df, col, ts_col), train, z)
+
+
+def metric_anomalies(metrics: DataFrame, train: int = TRAIN_BUCKETS, z: float = Z_THRESHOLD) -> DataFrame:
+    series = metrics.withColumn("value", F.round("value", 6))
     return z_score_anomalies(series, "bucket", "value", by=["metric"], train=train, z=z)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from blotter.checks import monitors as M
 from blotter.checks import rules as C
+from blotter.checks import states as S
 
 # The checks declared on the mart (table -> columns).
 ID_TABLES = ["dim_area", "dim_status", "dim_premise", "dim_weapon", "dim_victim", "dim_date",
@@ -80,15 +81,19 @@ def freshness_gate(raw: DataFrame, now) -> DataFrame:
 def monitors(star, area_report: DataFrame | None) -> DataFrame:
     """The monitors declared on the mart: ``(monitor, table, column, bucket,
     value, z_score, is_anomaly)``. Findings are recorded; they do not fail a
-    run."""
+    run. What grows with the data (fact, incidents) is read from stored states
+    that a run advances by the partitions its load has replaced."""
     t = star.table
+    days = S.incident_findings(S.incident_days(star.store)).withColumnRenamed("column", "of")
 
     def rows(found: DataFrame, monitor: str, table: str, column) -> DataFrame:
         return found.select(F.lit(monitor).alias("monitor"), F.lit(table).alias("table"), column.alias("column"),
                             F.col("bucket").cast("string").alias("bucket"), F.col("value").cast("double").alias("value"),
                             "z_score", "is_anomaly")
 
-    parts = [rows(M.freshness_anomalies(t("fct_incidents"), "dlu"), "freshness", "fct_incidents", F.lit("dlu")),
+    parts = [rows(days.filter("monitor = 'volume'"), "volume", "raw_incidents", F.col("of")),
+             rows(days.filter("monitor = 'column'"), "column", "raw_incidents", F.col("of")),
+             rows(M.freshness_anomalies(S.fact_stamps(star.store), "dlu"), "freshness", "fct_incidents", F.lit("dlu")),
              rows(M.column_anomalies(t("dim_victim"), "age", "source_dlu"), "column", "dim_victim",
                   F.concat(F.lit("age:"), F.col("metric")))]
     if area_report is not None:

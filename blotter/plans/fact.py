@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from blotter.operators.incremental import since_watermark, ts_literal
 from blotter.operators.joins import bounded_broadcast
-from blotter.plans.bridges import late_keys
 from blotter.plans.dims import location_key
 from blotter.plans.staging import LOAD_SEQ
 
@@ -35,7 +34,8 @@ def lookup(df: DataFrame, dim: DataFrame, pairs: list[tuple[str, str]], id_as: s
 
 
 def fct_incidents(stg: DataFrame, dims: dict[str, DataFrame], descent: DataFrame, load_ts,
-                  rows: dict[str, int] | None = None, watermark=None, upto=None) -> DataFrame:
+                  rows: dict[str, int] | None = None, watermark=None, upto=None,
+                  late: DataFrame | None = None, fresh: DataFrame | None = None) -> DataFrame:
     """Fact rows for staged incidents newer than ``watermark`` (all when None).
 
     Every dimension here is bounded (calendar, minutes, codes, victim groups)
@@ -44,17 +44,22 @@ def fct_incidents(stg: DataFrame, dims: dict[str, DataFrame], descent: DataFrame
     from the same staged rows before the fact, so the hash always names an
     existing current version and no fact-sized join is needed for it.
     ``doe``/``dlu`` are ``load_ts``; the merge keeps an existing ``doe``.
-    A premise that gets its text after ``watermark`` brings back the older rows
-    that name it.
+    ``late`` are the premises that the dimension's merges have inserted since
+    ``watermark`` (a premise that got its text; ``None``: there are none): they
+    bring back the older rows that name them, and only then older rows are
+    read. ``fresh`` are the rows of the loads after ``watermark``, where they
+    are staged already.
     """
     rows = rows or {}
-    src = since_watermark(stg, LOAD_SEQ, watermark)
-    if upto is not None:
-        src = src.filter(F.col(LOAD_SEQ) <= upto)
-    if watermark is not None:
-        late = late_keys(stg, "premis_cd", watermark, "premis_desc")
-        if late is not None:
-            src = src.unionByName(stg.filter(F.col(LOAD_SEQ) <= watermark).join(late, "premis_cd", "left_semi"))
+    src = fresh
+    if src is None:
+        src = since_watermark(stg, LOAD_SEQ, watermark)
+        if upto is not None:
+            src = src.filter(F.col(LOAD_SEQ) <= upto)
+    if watermark is not None and late is not None:
+        again = bounded_broadcast(late.select(F.col("code").alias("__late")), rows.get("dim_premise"))
+        old = stg.filter(F.col(LOAD_SEQ) <= watermark).join(again, F.col("premis_cd") == F.col("__late"), "left_semi")
+        src = src.unionByName(old)
     f = src.select("dr_no", "date_occ", "date_rptd", "hour_occ", "minute_occ", "vict_age",
                    "vict_sex", "vict_descent", "weapon_used_cd", "status", "area", "premis_cd",
                    location_key().alias("location_dim_id"))

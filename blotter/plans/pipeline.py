@@ -21,15 +21,16 @@ from blotter.checks.suite import (freshness_gate, mart_checks, monitors, raise_o
 from blotter.operators.merge import (assert_unique_keys, broadcast_merge, merge_upsert,
                                      sync_columns)
 from blotter.plans import reports as R
+from blotter.plans.deltas import ReportDeltas
 from blotter.plans.bridges import bridge_crime_code, bridge_mocode
-from blotter.operators.incremental import since_watermark
-from blotter.operators.snapshot import snapshot_check
+from blotter.operators.joins import staged
 from blotter.plans.dims import (CODE_DIMS, DATE_END, DATE_START, LOCATION_CHECK_COLS, code_dim,
-                                code_labels, from_labels, dim_date, dim_location, dim_mocode, dim_time, dim_victim,
+                                code_labels, from_labels, dim_date, dim_mocode, dim_time, dim_victim,
                                 location_incoming, newer_only)
 from blotter.plans.fact import FACT_COLUMNS, fct_incidents
-from blotter.plans.staging import LOAD_SEQ, stg_incidents
+from blotter.plans.staging import FIRST_LOAD, LOAD_SEQ, stg_incidents
 from blotter.sources.seeds import load_seed
+from blotter.sources.snapshots import advance_snapshot
 from blotter.sources.store import PART, TableStore
 
 RAW, CORE, REPORTING, INCREMENTS = "raw", "mart_core", "mart_reporting", "increments"
@@ -44,6 +45,10 @@ CO_KEY = ["dr_no"]
 CORE_TABLES = ["dim_date", "dim_time", "dim_mocode", "dim_area", "dim_status", "dim_premise",
                "dim_weapon", "dim_crime_code", "dim_victim", "dim_location",
                "bridge_crime_code", "bridge_mocode", "fct_incidents"]
+# Fact and bridges: merge keys and the columns a merge updates.
+LIVE_MODELS = {"bridge_crime_code": (["dr_no", "crime_code_dim_id"], ["dlu"]),
+               "bridge_mocode": (["dr_no", "mocode_dim_id"], ["dlu"]),
+               "fct_incidents": (["dr_no"], [c for c in FACT_COLUMNS if c not in ("dr_no", "doe")])}
 REPORTS = ["area_monthly_summary", "crime_code_seasonality", "location_density",
            "victim_demographics", "weapon_distribution"]
 
@@ -61,7 +66,7 @@ class Star:
         df = self.store.read(schema, name)
         if df is None:
             raise KeyError(f"table {schema}.{name} has not been built")
-        return df
+        return df.drop(FIRST_LOAD)
 
     def stg(self) -> DataFrame:
         return stg_incidents(self.table(RAW_TABLE))
@@ -110,7 +115,8 @@ def load_raw(store: TableStore, batch: DataFrame, change_cols: list[str] | None
         return store.read(RAW, RAW_TABLE)
     if change_cols is None:
         change_cols = [c for c in batch.columns if c not in RAW_KEY + ["dl_upd", LOAD_SEQ]]
-    current = _touched_rows(store, RAW, RAW_TABLE, landed)
+    parts = store.touched(landed, RAW, RAW_TABLE)
+    current = _touched_rows(store, RAW, RAW_TABLE, parts)
     merged = merge_upsert(sync_columns(current, landed), landed, RAW_KEY, change_cols=change_cols,
                           source_rows=n, insert_partitioning=(store.live_buckets(RAW, RAW_TABLE), RAW_KEY),
                           with_action=True)
@@ -120,14 +126,34 @@ def load_raw(store: TableStore, batch: DataFrame, change_cols: list[str] | None
     # in the same pass as the write.
     actions = {a: F.sum((F.col("_action") == a).cast("long")) for a in MERGE_ACTIONS}
     return store.write_live(merged, RAW, RAW_TABLE, RAW_KEY, number, prepartitioned=True,
-                            metrics=actions, drop=("_action",))
+                            metrics=actions, drop=("_action",), parts=parts)
+
+
+def _touched_rows(store: TableStore, schema: str, name: str, parts: list[int]) -> DataFrame:
+    """Rows of a live table in some partitions: a partition filter, so no other
+    file is read."""
+    return store.read_live(schema, name).filter(F.col(PART).isin(parts)).drop(PART)
+
 
+def loads_after(store: TableStore, watermark: int, upto: int) -> DataFrame:
+    """Staged rows of the loads after ``watermark`` up to ``upto``: typed once
+    and written, from the partitions that those loads have touched."""
+    parts = store.parts_since(RAW, RAW_TABLE, watermark)
+    raw = store.read(RAW, RAW_TABLE) if parts is None else _touched_rows(store, RAW, RAW_TABLE, parts)
+    fresh = raw.filter((F.col(LOAD_SEQ) > watermark) & (F.col(LOAD_SEQ) <= upto))
+    return staged(stg_incidents(fresh), "loads")[0]
 
-def _touched_rows(store: TableStore, schema: str, name: str, increment: DataFrame) -> DataFrame:
-    """Rows of a live table in the partitions that ``increment`` falls into: a
-    partition filter, so no other file is read."""
-    table = store.read_live(schema, name)
-    return table.filter(F.col(PART).isin(store.touched(increment, schema, name))).drop(PART)
+
+def late_keys(store: TableStore, name: str, watermark) -> DataFrame | None:
+    """Codes that the merges of dimension ``name`` have inserted since load
+    ``watermark``: the change set that its merges leave in the dimension itself
+    (the load of each row's insert), so it outlives a run that failed between a
+    dimension and its consumers. The last insert is known from the write: where
+    there is none, no job runs and the result is ``None``."""
+    last = ((store.meta(CORE, name) or {}).get("metrics") or {}).get(FIRST_LOAD)
+    if watermark is None or last is None or int(last) <= watermark:
+        return None
+    return store.read(CORE, name).filter((F.col(FIRST_LOAD) > watermark) & F.col("code").isNotNull()).select("code")
 
 
 def merge_counts(store: TableStore) -> dict:
@@ -137,35 +163,40 @@ def merge_counts(store: TableStore) -> dict:
 
 
 def _merge_model(store: TableStore, name: str, increment: DataFrame, keys: list[str],
-                 update_cols: list[str] | None, watermark) -> DataFrame:
+                 update_cols: list[str] | None, watermark, inserted: bool = False) -> DataFrame:
     """A dimension. First run: write the increment. Later runs: stage it (its
-    row count picks the merge plan), merge, write the next version."""
+    row count picks the merge plan), merge, write the next version. With
+    ``inserted`` each row keeps the load that inserted it (see ``late_keys``)."""
+    metrics = None
+    if inserted:
+        increment = increment.withColumn(FIRST_LOAD, F.lit(watermark).cast("long"))
+        metrics = {FIRST_LOAD: F.max(FIRST_LOAD)}
     current = store.read(CORE, name)
     if current is None:
-        return store.write(increment, CORE, name, watermark=watermark)
+        return store.write(increment, CORE, name, watermark=watermark, metrics=metrics)
     inc = store.write(increment, INCREMENTS, name)
     merged = merge_upsert(sync_columns(current, inc), inc, keys, update_cols=update_cols,
                           check_unique=False, source_rows=store.rows(INCREMENTS, name))
-    return store.write(merged, CORE, name, watermark=watermark)
+    return store.write(merged, CORE, name, watermark=watermark, metrics=metrics)
 
 
-def _merge_live(store: TableStore, name: str, increment: DataFrame, keys: list[str],
+def _merge_live(store: TableStore, name: str, inc: DataFrame, keys: list[str],
                 update_cols: list[str], watermark) -> DataFrame:
     """Fact and bridges: as above, but only the partitions that the staged
     increment falls into are read and replaced, and the bucket layout is kept
     without a reshuffle where the merge keeps it."""
     if store.meta(CORE, name) is None:
-        return store.write_live(increment, CORE, name, CO_KEY, watermark)
-    inc = store.write(increment, INCREMENTS, name)
+        return store.write_live(inc, CORE, name, CO_KEY, watermark)
     n = store.rows(INCREMENTS, name)
-    current = _touched_rows(store, CORE, name, inc)
+    parts = store.touched(inc, CORE, name)
+    current = _touched_rows(store, CORE, name, parts)
     merged = merge_upsert(sync_columns(current, inc), inc, keys, update_cols=update_cols,
                           check_unique=False, source_rows=n,
                           insert_partitioning=(store.live_buckets(CORE, name), CO_KEY))
     # Each task holds whole buckets when the merge streamed the bucketed
     # target (broadcast plan) or joined it on exactly the bucket columns.
     aligned = broadcast_merge(n, inc.schema) or list(keys) == CO_KEY
-    return store.write_live(merged, CORE, name, CO_KEY, watermark, prepartitioned=aligned)
+    return store.write_live(merged, CORE, name, CO_KEY, watermark, prepartitioned=aligned, parts=parts)
 
 
 def _run_wave(jobs: dict, done, parallel: int) -> None:
@@ -200,11 +231,22 @@ def run_models(spark: SparkSession, store: TableStore, load_ts: str,
         star.rows[name] = store.rows(CORE, name)
         return df
 
+    # Rows of new loads are staged once per watermark that a model stands at
+    # (one, unless an earlier run failed in between).
+    incremental = [n for n, spec in CODE_DIMS.items() if spec.incremental] + [
+        "dim_victim", "dim_location", *LIVE_MODELS]
+    marks = {n: store.watermark(CORE, n) for n in incremental}
+    windows = {w: loads_after(store, w, upto) for w in set(marks.values()) if w is not None}
+
+    def fresh(name: str) -> DataFrame:
+        return windows.get(marks[name], stg)
+
     # The code dimensions share one scan of the loads they have not seen (those
     # that are rebuilt in every run only share it on the first).
-    seen = min((store.watermark(CORE, n) or 0 for n, s in CODE_DIMS.items() if s.incremental))
+    known = [marks[n] for n, spec in CODE_DIMS.items() if spec.incremental]
+    seen = None if None in known else min(known)
     shared = [s for s in CODE_DIMS.values() if s.incremental or not seen]
-    labels = store.write(code_labels(since_watermark(stg, LOAD_SEQ, seen), shared), INCREMENTS, "code_labels")
+    labels = store.write(code_labels(windows.get(seen, stg), shared), INCREMENTS, "code_labels")
 
     def code_model(name: str) -> DataFrame:
         spec = CODE_DIMS[name]
@@ -215,10 +257,10 @@ def run_models(spark: SparkSession, store: TableStore, load_ts: str,
         current = store.read(CORE, name)
         if current is not None:
             inc = newer_only(inc, current, ["source_dlu", spec.label_as])
-        return _merge_model(store, name, inc, [spec.unique_key], list(spec.update_cols), upto)
+        return _merge_model(store, name, inc, [spec.unique_key], list(spec.update_cols), upto, inserted=True)
 
     def victim_model() -> DataFrame:
-        inc = dim_victim(stg, descent, load_ts, store.watermark(CORE, "dim_victim"), LOAD_SEQ)
+        inc = dim_victim(fresh("dim_victim"), descent, load_ts)
         current = store.read(CORE, "dim_victim")
         if current is not None:
             inc = newer_only(inc, current, ["source_dlu"])
@@ -226,14 +268,8 @@ def run_models(spark: SparkSession, store: TableStore, load_ts: str,
                             ["age", "sex", "descent", "source_dlu", "dlu"], upto)
 
     def location_model() -> DataFrame:
-        current = store.read(CORE, "dim_location")
-        if current is None:
-            return store.write(dim_location(stg, load_ts), CORE, "dim_location", watermark=upto)
-        wm = store.watermark(CORE, "dim_location")
-        inc = store.write(location_incoming(stg, load_ts, wm, LOAD_SEQ), INCREMENTS, "dim_location")
-        snap = snapshot_check(current, inc, "id", LOCATION_CHECK_COLS, load_ts,
-                              incoming_rows=store.rows(INCREMENTS, "dim_location"))
-        return store.write(snap, CORE, "dim_location", watermark=upto)
+        return advance_snapshot(store, CORE, "dim_location", location_incoming(fresh("dim_location"), load_ts),
+                                ["id"], LOCATION_CHECK_COLS, load_ts, upto)
 
     # Wave 1: every dimension (independent of each other). Generated and seed
     # tables are full refreshes, code dimensions merge the loads they have not
@@ -250,33 +286,43 @@ def run_models(spark: SparkSession, store: TableStore, load_ts: str,
         wave1[name] = (lambda n: (lambda: code_model(n)))(name)
     _run_wave(wave1, done, parallel)
 
-    # Wave 2: bridges and fact over rows with wm < load_seq <= upto; the merge
-    # keeps an existing doe (first seen) and refreshes dlu.
-    def crime_bridge() -> DataFrame:
-        inc = bridge_crime_code(stg, dims["dim_crime_code"], load_ts,
-                                store.watermark(CORE, "bridge_crime_code"),
-                                star.rows["dim_crime_code"], upto)
-        return _merge_live(store, "bridge_crime_code", inc, ["dr_no", "crime_code_dim_id"], ["dlu"], upto)
-
-    def mo_bridge() -> DataFrame:
-        inc = bridge_mocode(stg, dims["dim_mocode"], load_ts, store.watermark(CORE, "bridge_mocode"),
-                            star.rows["dim_mocode"], upto)
-        return _merge_live(store, "bridge_mocode", inc, ["dr_no", "mocode_dim_id"], ["dlu"], upto)
-
-    def fact() -> DataFrame:
-        inc = fct_incidents(stg, dims, descent, load_ts, star.rows,
-                            store.watermark(CORE, "fct_incidents"), upto)
-        return _merge_live(store, "fct_incidents", inc, ["dr_no"],
-                           [c for c in FACT_COLUMNS if c not in ("dr_no", "doe")], upto)
-
-    _run_wave({"bridge_crime_code": crime_bridge, "bridge_mocode": mo_bridge,
-               "fct_incidents": fact}, done, parallel)
-    if with_reports:
+    # Wave 2: bridges and fact over rows with wm < load_seq <= upto and the
+    # older rows that new codes and premises bring back; the merge keeps an
+    # existing doe (first seen) and refreshes dlu.
+    increments = {
+        "bridge_crime_code": lambda: bridge_crime_code(
+            stg, dims["dim_crime_code"], load_ts, marks["bridge_crime_code"], star.rows["dim_crime_code"], upto,
+            late=late_keys(store, "dim_crime_code", marks["bridge_crime_code"]), fresh=windows.get(marks["bridge_crime_code"])),
+        "bridge_mocode": lambda: bridge_mocode(
+            stg, dims["dim_mocode"], load_ts, marks["bridge_mocode"], star.rows["dim_mocode"], upto,
+            fresh=windows.get(marks["bridge_mocode"])),
+        "fct_incidents": lambda: fct_incidents(
+            stg, dims, descent, load_ts, star.rows, marks["fct_incidents"], upto,
+            late=late_keys(store, "dim_premise", marks["fct_incidents"]), fresh=windows.get(marks["fct_incidents"])),
+    }
+    staged_inc: dict[str, DataFrame] = {}
+
+    def stage_increment(name: str) -> DataFrame:
+        inc = increments[name]()
+        return inc if marks[name] is None else store.write(inc, INCREMENTS, name)
+
+    def merge_live(name: str) -> DataFrame:
+        keys, updated = LIVE_MODELS[name]
+        return _merge_live(store, name, staged_inc[name], keys, updated, upto)
+
+    _run_wave({n: (lambda n=n: stage_increment(n)) for n in LIVE_MODELS}, staged_inc.__setitem__, parallel)
+    deltas = ReportDeltas(store, star, marks, staged_inc, date_range) if with_reports else None
+    if deltas:
+        deltas.before_merge(parallel)
+    _run_wave({n: (lambda n=n: merge_live(n)) for n in LIVE_MODELS}, done, parallel)
+    if deltas:
+        # Wave 3: the reports, from the counts that the load has changed.
+        deltas.after_merge(upto, parallel)
+
         def report_done(name: str, _df: DataFrame) -> None:
             star.rows[name] = store.rows(REPORTING, name)
 
-        # Wave 3: the reports (full refresh), written in their order.
-        _run_wave({name: (lambda n: (lambda: store.write(star.report(n), REPORTING, n)))(name)
+        _run_wave({name: (lambda n: (lambda: store.write(deltas.report(n), REPORTING, n)))(name)
                    for name in REPORTS}, report_done, parallel)
     return star
 

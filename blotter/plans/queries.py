@@ -9,24 +9,30 @@ from __future__ import annotations
 
 import datetime as dt
 import threading
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blotter.checks import monitors as M
 from blotter.checks import rules as C
+from blotter.checks import states as S
 from blotter.functions.share import grid_bucket, share_of_group
 from blotter.operators.dedupe import latest_by
+from blotter.operators.history import feed_history, feed_seen
 from blotter.operators.incremental import high_watermark, ts_literal
 from blotter.operators.joins import staged
 from blotter.operators.merge import carry_first_seen, merge_upsert, sync_columns
 from blotter.operators.snapshot import snapshot_check
+from blotter.operators.position import with_position
 from blotter.plans import pipeline as P
+from blotter.plans import reports as R
 from blotter.plans.dims import CODE_DIMS, code_dim, dim_date
 from blotter.plans.staging import LOAD_SEQ, stg_incidents
 from blotter.session import conform_session, scratch_path
 from blotter.sources.fixture import BATCH_STAMPS, incident_fixture, read_table
-from blotter.sources.landing import read_incidents_csv, with_load_ts, write_landing_csv
+from blotter.sources.landing import read_incidents_csv, split_landed, with_load_ts, write_landing_csv
+from blotter.sources.snapshots import advance_snapshot
 from blotter.sources.store import TableStore
 
 # The load stamp of the one-shot build used by the queries.
@@ -141,6 +147,53 @@ def q_fct_incidents_same_stamp(spark, sf_dir):
         return _STARS[k].table("fct_incidents")
 
 
+def moved_feed(spark: SparkSession, sf_dir: str) -> list[tuple[str, DataFrame]]:
+    """Three batches in which reports move: batch 2 re-sends every tenth
+    batch-1 report with another area, time, victim age and place and without
+    its weapon; batch 3 moves every second of those again."""
+    fx = incident_fixture(spark, sf_dir)
+    s1, s2, s3 = (ts_literal(s) for s in BATCH_STAMPS)
+    n = F.col("dr_no").cast("long")
+    none = F.lit(None).cast("string")
+    moved = fx.filter((F.col("dl_upd") == s1) & (n % 10 == 0)).withColumns({
+        "area": F.lit("98"), "area_name": F.lit("MOVED"), "date_occ": F.lit("03/05/2024 12:00:00 AM"),
+        "time_occ": F.lit("2315"), "weapon_used_cd": none, "weapon_desc": none, "vict_age": F.lit("33"),
+        "location": F.lit("MOVED"), "lat": F.lit("34.5000"), "lon": F.lit("-118.5000"), "dl_upd": s2})
+    again = moved.filter(n % 20 == 0).withColumns({
+        "area": F.lit("99"), "area_name": F.lit("MOVED AGAIN"), "weapon_used_cd": F.lit("200"),
+        "weapon_desc": F.lit("WEAPON 200 V9"), "dl_upd": s3})
+    return list(zip(BATCH_STAMPS, [fx.filter(F.col("dl_upd") == s1),
+                                   fx.filter(F.col("dl_upd") == s2).unionByName(moved),
+                                   fx.filter(F.col("dl_upd") == s3).unionByName(again)]))
+
+
+def moved_star(spark: SparkSession, sf_dir: str) -> P.Star:
+    """The mart and its reports advanced by three runs over the moved feed:
+    the first counts all facts, the others only what their load changes."""
+    conform_session(spark)
+    k = _key(spark, sf_dir, "moved")
+    with _LOCK:
+        if k not in _STARS:
+            store = TableStore(spark, scratch_path(spark, "star-moved"))
+            star = None
+            for stamp, batch in moved_feed(spark, sf_dir):
+                P.load_raw(store, batch)
+                star = P.run_models(spark, store, stamp, with_reports=True)
+                S.incident_days(store)
+            _STARS[k] = star
+        return _STARS[k]
+
+
+def _report_by_deltas(name):
+    """A report as the third of three runs wrote it."""
+    return lambda spark, sf_dir: moved_star(spark, sf_dir).table(name)
+
+
+def _report_positions(name):
+    """A report with the place of each row in the report's order."""
+    return lambda spark, sf_dir: with_position(full_star(spark, sf_dir).report(name), R.report_order(name))
+
+
 def q_raw_merge_upsert(spark, sf_dir):
     return batch_star(spark, sf_dir).table(P.RAW_TABLE).drop(LOAD_SEQ)
 
@@ -207,6 +260,52 @@ def q_snapshot_status_history(spark, sf_dir):
     return snap
 
 
+def _whole_feed(spark, sf_dir, *cols) -> DataFrame:
+    """The change feed as one frame, each row with the stamp of its load."""
+    parts = [batch.select(*cols, ts_literal(stamp).alias("stamp")) for stamp, batch in change_feed(spark, sf_dir)]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def q_status_history_one_pass(spark, sf_dir):
+    """Status history per report over the whole change feed at once."""
+    feed = _whole_feed(spark, sf_dir, F.col("dr_no").cast("long").alias("dr_no"), "status")
+    return feed_history(feed, ["dr_no"], ["status"], "stamp")
+
+
+def q_snapshot_status_table(spark, sf_dir):
+    """The same history kept as a snapshot table over the three loads: each
+    replaces the ranges of its keys only."""
+    conform_session(spark)
+    store = TableStore(spark, scratch_path(spark, "snapshot-status"))
+    for number, (stamp, batch) in enumerate(change_feed(spark, sf_dir), 1):
+        incoming = batch.select(F.col("dr_no").cast("long").alias("dr_no"), "status")
+        advance_snapshot(store, "s", "status", incoming, ["dr_no"], ["status"], stamp, number)
+    return store.read("s", "status")
+
+
+def q_first_seen_one_pass(spark, sf_dir):
+    return feed_seen(_whole_feed(spark, sf_dir, "dr_no"), ["dr_no"], "stamp")
+
+
+def q_landing_quarantine(spark, sf_dir):
+    """Landing files with seeded bad rows, split into good and rejected ones."""
+    n = F.col("dr_no").cast("long")
+    bad = {"date_occ": (61, "13/45/2024 12:00:00 AM"), "time_occ": (67, "2561"), "lat": (79, "n/a"), "area": (83, "x1")}
+    fx = incident_fixture(spark, sf_dir).drop("dl_upd").withColumns(
+        {c: F.when(n % every == 0, F.lit(text)).otherwise(F.col(c)) for c, (every, text) in bad.items()})
+    line = F.concat_ws(",", *[F.coalesce(F.col(c), F.lit("")) for c in fx.columns])
+    line = (F.when(n % 71 == 0, F.concat(line, F.lit(",one field more")))
+            .when(n % 73 == 0, F.substring_index(line, ",", 9)).otherwise(line))
+    path = scratch_path(spark, "landing-bad")
+    # One text column whose name is the header line, written as it is.
+    fx.select(line.alias(",".join(fx.columns))).write.option("header", True).option("sep", "\x01").csv(path)
+    good, rejected = split_landed(read_incidents_csv(spark, path, keep_bad=True))
+    none = F.lit(None).cast("string")
+    return good.select("dr_no", "date_occ", "area", "lat", none.alias("reasons")).unionByName(
+        rejected.select("dr_no", none.alias("date_occ"), none.alias("area"), none.alias("lat"),
+                        F.array_join("reasons", "; ").alias("reasons")))
+
+
 def q_orders_share_by_priority(spark, sf_dir):
     o = read_table(spark, sf_dir, "orders").select(
         F.year("o_orderdate").alias("order_year"), F.month("o_orderdate").alias("order_month"),
@@ -254,12 +353,18 @@ def queries() -> dict:
         "since_watermark_weapons": q_since_watermark_weapons,
         "first_seen_carry": q_first_seen_carry,
         "snapshot_status_history": q_snapshot_status_history,
+        "status_history_one_pass": q_status_history_one_pass,
+        "first_seen_one_pass": q_first_seen_one_pass,
+        "snapshot_status_table": q_snapshot_status_table,
+        "landing_quarantine": q_landing_quarantine,
         "orders_share_by_priority": q_orders_share_by_priority,
         "customer_latest_order": q_customer_latest_order,
         "location_grid_counts": q_location_grid_counts,
     }
     for r in P.REPORTS:
         q[r] = _report(r)
+        q[f"{r}_by_deltas"] = _report_by_deltas(r)
+        q[f"{r}_positions"] = _report_positions(r)
     q.update(CHECK_QUERIES)
     return q
 
@@ -350,6 +455,12 @@ def q_column_anomalies_victim_age(spark, sf_dir):
     return M.column_anomalies(full_star(spark, sf_dir).table("dim_victim"), "age", "source_dlu")
 
 
+def q_incident_anomalies_from_states(spark, sf_dir):
+    """Volume and victim-age monitors per day of occurrence, from states kept
+    over three loads in which reports also move to another day."""
+    return S.incident_findings(S.incident_days(moved_star(spark, sf_dir).store))
+
+
 # -- checks over seeded defects: the right answer is not "no failures" ---------
 
 SEEDED_REGEX = {"mocodes": REGEX_CHECKS["mocodes"], "lat": REGEX_CHECKS["lat"]}
@@ -397,6 +508,7 @@ def q_freshness_anomalies_gap(spark, sf_dir):
 
 
 CHECK_QUERIES = {
+    "incident_anomalies_from_states": q_incident_anomalies_from_states,
     "check_seeded_orphans": q_check_seeded_orphans,
     "check_seeded_patterns": q_check_seeded_patterns,
     "volume_anomalies_spike": q_volume_anomalies_spike,

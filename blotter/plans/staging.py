@@ -10,6 +10,10 @@ from blotter.functions.calendar import hhmm_parts, parse_incident_date
 # Number of the load that last wrote a raw row (see pipeline.load_raw).
 LOAD_SEQ = "load_seq"
 
+# Number of the load whose merge inserted a dimension row (not part of the
+# dimension's own columns, see pipeline.late_keys).
+FIRST_LOAD = "first_load"
+
 # Victim sex recode; anything else becomes null.
 SEX_LABELS = {"M": "Male", "F": "Female", "X": "Unknown"}
 

@@ -42,6 +42,8 @@ from pyspark.sql import types as T
 META_FILE = "_meta.json"
 #: Partition column of live tables: report number div the partition width.
 PART = "dr_part"
+#: How many writes a live table remembers the partitions of.
+WRITES = 64
 #: Stored with every live table, so an overwrite replaces the partitions it
 #: writes whatever the session's own setting is.
 OVERWRITE_OPTION = {"partitionOverwriteMode": "dynamic"}
@@ -49,14 +51,16 @@ OVERWRITE_OPTION = {"partitionOverwriteMode": "dynamic"}
 
 class TableStore:
     def __init__(self, spark: SparkSession, root: str, keep_versions: int = 2,
-                 buckets: int | None = None, part_width: int = 50_000_000):
-        """``buckets`` and ``part_width`` (report numbers per partition) size
+                 buckets: int | None = None, part_width: int = 50_000_000, hash_parts: int = 16):
+        """``hash_parts`` is the number of key ranges of a snapshot table, sized
+        so that a range's open versions fill a few files. ``buckets`` and ``part_width`` (report numbers per partition) size
         the live tables; a table keeps the values of its first write, so a
         store opened later with others still reads and writes one layout."""
         self.spark = spark
         self.root = root.rstrip("/")
         self.keep_versions = keep_versions
         self.part_width = part_width
+        self.hash_parts = hash_parts
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self._jvm = spark.sparkContext._jvm
         self._conf = spark.sparkContext._jsc.hadoopConfiguration()
@@ -83,9 +87,10 @@ class TableStore:
         schema = T.StructType.fromJson(json.loads(meta["schema"]))
         cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
         keys = ", ".join(f"`{k}`" for k in meta["bucket_by"])
+        clustered = f"CLUSTERED BY ({keys}) INTO {meta['buckets']} BUCKETS " if keys else ""
         options = ", ".join(f"{k} '{v}'" for k, v in OVERWRITE_OPTION.items())
         self.spark.sql(f"CREATE TABLE IF NOT EXISTS {qualified} ({cols}, `{PART}` bigint) USING parquet "
-                       f"OPTIONS ({options}) PARTITIONED BY (`{PART}`) CLUSTERED BY ({keys}) INTO {meta['buckets']} BUCKETS "
+                       f"OPTIONS ({options}) PARTITIONED BY (`{PART}`) {clustered}"
                        f"LOCATION '{path}'")
         self.spark.catalog.recoverPartitions(qualified)
 
@@ -174,7 +179,7 @@ class TableStore:
     # -- read / write ----------------------------------------------------
     def read(self, schema: str, name: str) -> DataFrame | None:
         m = self.meta(schema, name)
-        if m and m.get("bucket_by"):
+        if m and "bucket_by" in m:
             return self.read_live(schema, name).drop(PART)
         vs = self.versions(schema, name)
         if not vs:
@@ -187,10 +192,10 @@ class TableStore:
 
     def write(self, df: DataFrame, schema: str, name: str,
               watermark_col: str | None = None, watermark=None,
-              sort_within: list[str] | None = None) -> DataFrame:
+              sort_within: list[str] | None = None, metrics: dict | None = None) -> DataFrame:
         """Write ``df`` as the next version and return a frame reading it back.
 
-        Row count (and ``max(watermark_col)``) are observed in the writing
+        Row count, ``max(watermark_col)`` and ``metrics`` are observed in the writing
         stage itself, where a task's numbers count once however often it runs.
         ``watermark`` overrides the observed one (pass the previous watermark
         when an increment was empty). ``sort_within`` sorts inside each task's
@@ -202,6 +207,7 @@ class TableStore:
         exprs = [F.count(F.lit(1)).alias("rows")]
         if watermark_col:
             exprs.append(F.max(watermark_col).alias("wm"))
+        exprs += [c.alias(f"m__{k}") for k, c in (metrics or {}).items()]
         obs = Observation(f"w_{schema}_{name}_{nxt}_{uuid.uuid4().hex[:8]}")
         out = df.sortWithinPartitions(*sort_within) if sort_within else df
         out.observe(obs, *exprs).write.mode("errorifexists").parquet(path)
@@ -210,6 +216,7 @@ class TableStore:
         if watermark_col and measured.get("wm") is not None and watermark is not None:
             wm = max(str(watermark), str(measured["wm"]))
         self._write_meta(path, {"rows": int(measured["rows"]), "watermark": wm,
+                                "metrics": {k: measured.get(f"m__{k}") for k in (metrics or {})},
                                 "schema": df.schema.json(), "version": nxt})
         self._expire(schema, name)
         return self.read(schema, name)
@@ -275,14 +282,18 @@ class TableStore:
 
     def write_live(self, df: DataFrame, schema: str, name: str, bucket_by: list[str], watermark,
                    prepartitioned: bool = False, validate=None, metrics: dict | None = None,
-                   drop: tuple[str, ...] = ()) -> DataFrame:
+                   drop: tuple[str, ...] = (), parts: list[int] | None = None,
+                   part: Column | None = None) -> DataFrame:
         """First write: create the table from ``df``. Later: replace exactly the
         partitions that ``df`` has rows for (so ``df`` must hold all rows of
         those); the files of every other partition stay as they are, also when
         ``df`` has other columns than the table (see ``_evolve``).
 
         ``metrics`` are observed in the writing stage. ``validate`` gets the
-        written table before its metadata makes a first write visible."""
+        written table before its metadata makes a first write visible. ``parts``
+        (the partitions written) are remembered for ``parts_since``. ``part``
+        gives another partition number than the range of the report number; a
+        table without ``bucket_by`` is dealt out by partition."""
         old = self.meta(schema, name)
         path = self._live_path(schema, name)
         buckets = int(old["buckets"]) if old else self.buckets
@@ -290,16 +301,19 @@ class TableStore:
         exprs = [F.count(F.lit(1)).alias("rows")]
         exprs += [c.alias(f"m__{k}") for k, c in (metrics or {}).items()]
         obs = Observation(f"w_{schema}_{name}_{uuid.uuid4().hex[:8]}")
-        out = df.withColumn(PART, self.part_of(schema, name, bucket_by[0]))
+        out = df.withColumn(PART, self.part_of(schema, name, bucket_by[0]) if part is None else part.cast("long"))
         if not prepartitioned:
-            out = out.repartition(buckets, *bucket_by)
+            out = out.repartition(buckets, *(bucket_by or [PART]))
         out = out.sortWithinPartitions(PART, *bucket_by).observe(obs, *exprs).drop(*drop)
         self._ensure_database()
         stored = df.drop(*drop).schema
         if old is None:
             entry, qualified = 0, self._catalog_name(schema, name, 0)
-            (out.write.mode("overwrite").format("parquet").option("path", path).options(**OVERWRITE_OPTION)
-             .partitionBy(PART).bucketBy(buckets, *bucket_by).sortBy(*bucket_by).saveAsTable(qualified))
+            writer = (out.write.mode("overwrite").format("parquet").option("path", path)
+                      .options(**OVERWRITE_OPTION).partitionBy(PART))
+            if bucket_by:
+                writer = writer.bucketBy(buckets, *bucket_by).sortBy(*bucket_by)
+            writer.saveAsTable(qualified)
         else:
             entry = self._evolve(schema, name, stored)
             qualified = self._catalog_name(schema, name, entry)
@@ -311,13 +325,26 @@ class TableStore:
         gone = set((old or {}).get("dropped") or [])
         if old:
             gone |= set(T.StructType.fromJson(json.loads(old["schema"])).names) - set(stored.names)
-        self._write_meta(path, {"watermark": watermark, "written_rows": int(measured["rows"]),
+        # A dimension is asked for its size: the count is in the files' footers.
+        size = {} if bucket_by else {"rows": self.spark.table(qualified).count()}
+        self._write_meta(path, {**size, "watermark": watermark, "written_rows": int(measured["rows"]),
                                 "metrics": {k: measured.get(f"m__{k}") for k in (metrics or {})},
                                 "schema": stored.json(), "previous_schema": old["schema"] if old else None,
                                 "bucket_by": bucket_by, "buckets": buckets, "part_width": width,
-                                "entry": entry, "dropped": sorted(gone)})
+                                "hash_parts": int((old or {}).get("hash_parts") or self.hash_parts),
+                                "entry": entry, "dropped": sorted(gone),
+                                "writes": [*((old or {}).get("writes") or []), [watermark, parts]][-WRITES:]})
         return self.read(schema, name)
 
+    def parts_since(self, schema: str, name: str, watermark) -> list[int] | None:
+        """Partitions that writes after ``watermark`` have replaced, ``None``
+        when that is not known any more (then any may have changed)."""
+        writes = (self.meta(schema, name) or {}).get("writes") or []
+        if not any(w == watermark for w, _ in writes):
+            return None
+        later = [p for w, p in writes if w > watermark]
+        return None if any(p is None for p in later) else sorted({x for p in later for x in p})
+
     def _expire(self, schema: str, name: str) -> None:
         vs = self.versions(schema, name)
         for v in vs[:-self.keep_versions] if self.keep_versions else []:

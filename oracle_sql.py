@@ -183,6 +183,82 @@ RAW_FINAL = (f"raw_final AS (SELECT * REPLACE (CASE WHEN {RESENT} THEN 'AR' ELSE
              "dl_upd AS first_stamp FROM raw)")
 
 
+REPORT_ORDER = {
+    "area_monthly_summary": ["area_code", "area_name", "year", "month"],
+    "crime_code_seasonality": ["crime_code", "month_number"],
+    "location_density": ["lat_bucket", "lon_bucket", "crime_code", "year", "month_number", "time_of_day"],
+    "victim_demographics": ["victim_age", "victim_sex", "victim_descent"],
+    "weapon_distribution": ["area_name", "part_of_day", "weapon_type"],
+}
+
+# The moved feed after its three batches: every tenth batch-1 report has moved
+# once, every twentieth twice.
+_MOVED = f"(dl_upd = {S1} AND CAST(dr_no AS BIGINT) % 10 = 0)"
+_AGAIN = f"(dl_upd = {S1} AND CAST(dr_no AS BIGINT) % 20 = 0)"
+
+
+def _moved(column: str, once: str, twice: str | None = None) -> str:
+    return f"CASE WHEN {_AGAIN} THEN {twice or once} WHEN {_MOVED} THEN {once} ELSE {column} END AS {column}"
+
+
+RAW_MOVED = RAW + f""",
+raw_moved AS (SELECT * REPLACE (
+  {_moved("area", "'98'", "'99'")}, {_moved("area_name", "'MOVED'", "'MOVED AGAIN'")},
+  {_moved("date_occ", "'03/05/2024 12:00:00 AM'")}, {_moved("time_occ", "'2315'")},
+  {_moved("weapon_used_cd", "NULL", "'200'")}, {_moved("weapon_desc", "NULL", "'WEAPON 200 V9'")},
+  {_moved("vict_age", "'33'")}, {_moved("location", "'MOVED'")}, {_moved("lat", "'34.5000'")},
+  {_moved("lon", "'-118.5000'")}, {_moved("dl_upd", S2, S3)}) FROM raw)"""
+
+
+def report_sql(raw: str, name: str, load_ts: str) -> dict[str, str]:
+    """The five reports over the raw rows ``name`` that the CTEs ``raw`` define."""
+    q: dict[str, str] = {}
+    ctes = (raw, f"stg AS ({STG_SELECT.format(src=name, extra='')})", SEEDS, DIMS)
+    base, base_codes = with_(*ctes), with_(*ctes, CODES)
+    in_range = f"s.date_occ >= {DATE_LO} AND s.date_occ < {DATE_HI}"
+    q["area_monthly_summary"] = base + f"""
+SELECT s.area AS area_code, a.name AS area_name,
+  CASE WHEN {in_range} THEN CAST(year(s.date_occ) AS INTEGER) END AS year,
+  CASE WHEN {in_range} THEN CAST(month(s.date_occ) AS INTEGER) END AS month,
+  count(*) AS crime_count, {load_ts} AS dlu
+FROM stg s LEFT JOIN dim_area a ON s.area = a.code GROUP BY 1, 2, 3, 4"""
+    q["crime_code_seasonality"] = base_codes + share_sql(
+        f"""SELECT c.code AS crime_code, dc.description AS crime_description,
+                   upper(strftime(s.date_occ, '%b')) AS month,
+                   CAST(month(s.date_occ) AS INTEGER) AS month_number, count(*) AS crime_count
+            FROM stg s JOIN codes c ON s.dr_no = c.dr_no JOIN dim_crime_code dc ON c.code = dc.code
+            WHERE {in_range} GROUP BY 1, 2, 3, 4""",
+        "crime_count", "total_by_crime", "month_percentage", "crime_code",
+        "crime_code, crime_description, month, month_number")
+    q["location_density"] = base_codes + share_sql(
+        f"""SELECT {bucket('s.lat')} AS lat_bucket, {bucket('s.lon')} AS lon_bucket,
+                   c.code AS crime_code, dc.description AS crime_description,
+                   upper(strftime(s.date_occ, '%b')) AS month,
+                   CAST(year(s.date_occ) AS INTEGER) AS year,
+                   CAST(month(s.date_occ) AS INTEGER) AS month_number,
+                   {PART_OF_DAY.format(h='s.hour_occ')} AS time_of_day, count(*) AS crime_count
+            FROM stg s JOIN codes c ON s.dr_no = c.dr_no JOIN dim_crime_code dc ON c.code = dc.code
+            WHERE {in_range} GROUP BY 1, 2, 3, 4, 5, 6, 7, 8""",
+        "crime_count", "total_crimes_in_grid", "crime_density_percentage", "lat_bucket, lon_bucket",
+        "lat_bucket, lon_bucket, crime_code, crime_description, month, year, month_number, time_of_day")
+    q["victim_demographics"] = base + share_sql(
+        """SELECT s.vict_age AS victim_age, s.vict_sex AS victim_sex,
+                  d.descent_description AS victim_descent, count(*) AS incident_count
+           FROM stg s LEFT JOIN descent d ON s.vict_descent = d.descent_code
+           WHERE s.vict_descent IS NULL OR d.descent_code IS NOT NULL GROUP BY 1, 2, 3""",
+        "incident_count", "total_by_age_sex", "descent_percentage", "victim_age, victim_sex",
+        "victim_age, victim_sex, victim_descent")
+    q["weapon_distribution"] = base + share_sql(
+        f"""SELECT a.name AS area_name, {PART_OF_DAY.format(h='s.hour_occ')} AS part_of_day,
+                   w.description AS weapon_type, count(*) AS weapon_count
+            FROM stg s JOIN dim_area a ON s.area = a.code JOIN dim_weapon w ON s.weapon_used_cd = w.code
+            GROUP BY 1, 2, 3""",
+        "weapon_count", "total_crimes", "weapon_type_percentage", "area_name, part_of_day",
+        "area_name, part_of_day, weapon_type")
+
+    return q
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     base = with_(*BASE)
@@ -248,6 +324,19 @@ FROM (SELECT CAST(dr_no AS BIGINT) AS dr_no, status, stamp,
              row_number() OVER (PARTITION BY dr_no ORDER BY stamp) AS rn
       FROM feed)
 WHERE rn = 1 OR status IS DISTINCT FROM prev"""
+    q["status_history_one_pass"] = q["snapshot_status_history"]
+    q["snapshot_status_table"] = q["snapshot_status_history"]
+    q["first_seen_one_pass"] = q["first_seen_carry"]
+    q["landing_quarantine"] = with_(RAW) + """
+SELECT dr_no, CASE WHEN reasons IS NULL THEN date_occ END AS date_occ, CASE WHEN reasons IS NULL THEN area END AS area,
+       CASE WHEN reasons IS NULL THEN lat END AS lat, reasons
+FROM (SELECT *, CASE WHEN CAST(dr_no AS BIGINT) % 71 = 0 OR CAST(dr_no AS BIGINT) % 73 = 0 THEN 'malformed record'
+                     ELSE nullif(concat_ws('; ',
+                       CASE WHEN CAST(dr_no AS BIGINT) % 61 = 0 THEN 'date_occ: not a date' END,
+                       CASE WHEN CAST(dr_no AS BIGINT) % 67 = 0 THEN 'time_occ: not a time of day' END,
+                       CASE WHEN CAST(dr_no AS BIGINT) % 83 = 0 THEN 'area: not an integer' END,
+                       CASE WHEN CAST(dr_no AS BIGINT) % 79 = 0 THEN 'lat: not a number' END), '') END AS reasons
+      FROM raw)"""
     q["orders_share_by_priority"] = share_sql(
         """SELECT CAST(year(o_orderdate) AS INTEGER) AS order_year,
                   CAST(month(o_orderdate) AS INTEGER) AS order_month, o_orderpriority,
@@ -265,46 +354,11 @@ SELECT {bucket('lat')} AS lat_bucket, {bucket('lon')} AS lon_bucket, count(*) AS
 FROM stg GROUP BY 1, 2"""
 
     # Reports, from staged rows and code joins (no surrogate ids).
-    in_range = f"s.date_occ >= {DATE_LO} AND s.date_occ < {DATE_HI}"
-    q["area_monthly_summary"] = base + f"""
-SELECT s.area AS area_code, a.name AS area_name,
-  CASE WHEN {in_range} THEN CAST(year(s.date_occ) AS INTEGER) END AS year,
-  CASE WHEN {in_range} THEN CAST(month(s.date_occ) AS INTEGER) END AS month,
-  count(*) AS crime_count, {RUN_TS} AS dlu
-FROM stg s LEFT JOIN dim_area a ON s.area = a.code GROUP BY 1, 2, 3, 4"""
-    q["crime_code_seasonality"] = with_(*BASE, CODES) + share_sql(
-        f"""SELECT c.code AS crime_code, dc.description AS crime_description,
-                   upper(strftime(s.date_occ, '%b')) AS month,
-                   CAST(month(s.date_occ) AS INTEGER) AS month_number, count(*) AS crime_count
-            FROM stg s JOIN codes c ON s.dr_no = c.dr_no JOIN dim_crime_code dc ON c.code = dc.code
-            WHERE {in_range} GROUP BY 1, 2, 3, 4""",
-        "crime_count", "total_by_crime", "month_percentage", "crime_code",
-        "crime_code, crime_description, month, month_number")
-    q["location_density"] = with_(*BASE, CODES) + share_sql(
-        f"""SELECT {bucket('s.lat')} AS lat_bucket, {bucket('s.lon')} AS lon_bucket,
-                   c.code AS crime_code, dc.description AS crime_description,
-                   upper(strftime(s.date_occ, '%b')) AS month,
-                   CAST(year(s.date_occ) AS INTEGER) AS year,
-                   CAST(month(s.date_occ) AS INTEGER) AS month_number,
-                   {PART_OF_DAY.format(h='s.hour_occ')} AS time_of_day, count(*) AS crime_count
-            FROM stg s JOIN codes c ON s.dr_no = c.dr_no JOIN dim_crime_code dc ON c.code = dc.code
-            WHERE {in_range} GROUP BY 1, 2, 3, 4, 5, 6, 7, 8""",
-        "crime_count", "total_crimes_in_grid", "crime_density_percentage", "lat_bucket, lon_bucket",
-        "lat_bucket, lon_bucket, crime_code, crime_description, month, year, month_number, time_of_day")
-    q["victim_demographics"] = base + share_sql(
-        """SELECT s.vict_age AS victim_age, s.vict_sex AS victim_sex,
-                  d.descent_description AS victim_descent, count(*) AS incident_count
-           FROM stg s LEFT JOIN descent d ON s.vict_descent = d.descent_code
-           WHERE s.vict_descent IS NULL OR d.descent_code IS NOT NULL GROUP BY 1, 2, 3""",
-        "incident_count", "total_by_age_sex", "descent_percentage", "victim_age, victim_sex",
-        "victim_age, victim_sex, victim_descent")
-    q["weapon_distribution"] = base + share_sql(
-        f"""SELECT a.name AS area_name, {PART_OF_DAY.format(h='s.hour_occ')} AS part_of_day,
-                   w.description AS weapon_type, count(*) AS weapon_count
-            FROM stg s JOIN dim_area a ON s.area = a.code JOIN dim_weapon w ON s.weapon_used_cd = w.code
-            GROUP BY 1, 2, 3""",
-        "weapon_count", "total_crimes", "weapon_type_percentage", "area_name, part_of_day",
-        "area_name, part_of_day, weapon_type")
+    q.update(report_sql(RAW, "raw", RUN_TS))
+    for name, order in REPORT_ORDER.items():
+        columns = ", ".join(f"{c} NULLS LAST" for c in order)
+        q[f"{name}_positions"] = f"SELECT *, row_number() OVER (ORDER BY {columns}) - 1 AS position FROM ({q[name]})"
+    q.update({f"{name}_by_deltas": sql for name, sql in report_sql(RAW_MOVED, "raw_moved", S3).items()})
 
     counts = [
         ("dim_date", f"SELECT count(*) FROM generate_series({DATE_LO}, {DATE_HI} - 1, INTERVAL 1 DAY)"),
@@ -462,4 +516,15 @@ SELECT CAST(ts AS DATE) AS bucket, max(gap) AS value FROM (
   SELECT ts, (epoch_us(ts) - epoch_us(lag(ts) OVER (ORDER BY ts))) / 1e6 AS gap
   FROM (SELECT DISTINCT dl_upd AS ts FROM raw_final WHERE dl_upd IS NOT NULL))
 WHERE gap IS NOT NULL GROUP BY 1""")[len("WITH "):])
+    stg_moved = f"stg AS ({STG_SELECT.format(src='raw_moved', extra='')})"
+    found = ("SELECT {what}, bucket, CAST(value AS DOUBLE) AS value, z_score, coalesce(is_anomaly, false) AS is_anomaly "
+             "FROM ({z})")
+    volume = z_sql("""
+SELECT CAST(g.d AS DATE) AS bucket, CAST(coalesce(c.n, 0) AS BIGINT) AS value
+FROM generate_series((SELECT min(date_occ) FROM stg), (SELECT max(date_occ) FROM stg), INTERVAL 1 DAY) AS g(d)
+LEFT JOIN (SELECT date_occ AS b, count(*) AS n FROM stg GROUP BY 1) c ON c.b = CAST(g.d AS DATE)""")
+    ages = z_sql(per_metric("stg", "vict_age", "date_occ"), "bucket, metric, value", "PARTITION BY metric")
+    q["incident_anomalies_from_states"] = (
+        with_(RAW_MOVED, stg_moved) + found.format(what="'volume' AS monitor, CAST(NULL AS VARCHAR) AS \"column\"", z=volume)
+        + "\nUNION ALL\n" + found.format(what="'column' AS monitor, 'vict_age:' || metric AS \"column\"", z=ages))
     return q
