@@ -152,7 +152,7 @@ def column_metrics(df: DataFrame, col: str, ts_col: str) -> DataFrame:
         (F.sum(c.isNull().cast("long")) * 100.0 / F.count(F.lit(1))).cast("double").alias("null_percent"),
         F.min(c).alias("min"), F.max(c).alias("max"), F.avg(c).alias("average"),
         F.stddev_samp(c).alias("standard_deviation"),
-        F.sum((c == 0).cast("long")).cast("double").alias("zero_count"))
+        F.sum(F.coalesce((c == 0).cast("long"), F.lit(0))).cast("double").alias("zero_count"))
     return per_metric(per_day)
 
 

@@ -65,7 +65,7 @@ def metric_series(states: DataFrame, column: str) -> DataFrame:
         F.col("lo").alias("min"), F.col("hi").alias("max"),
         F.when(known > 0, F.col("total") / known).alias("average"),
         F.when(known > 1, F.sqrt(spread / (known - 1))).alias("standard_deviation"),
-        F.col("zeros").cast("double").alias("zero_count"))
+        F.coalesce("zeros", F.lit(0)).cast("double").alias("zero_count"))
     return M.per_metric(per_day)
 
 

@@ -37,3 +37,20 @@ def with_position(df: DataFrame, order: list[Column], name: str = "position",
     local = F.col("__row").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))
     return (placed.withColumn("__part", part).join(F.broadcast(starts), "__part")
             .withColumn(name, F.col("__start") + local).drop("__part", "__start", "__row"))
+
+
+def with_running_sums(df: DataFrame, order: list[Column], sums: dict[str, str], name: str = "position",
+                      block_bits: int = 16) -> DataFrame:
+    """``df`` with its global position by ``order`` and, for each ``sums`` item
+    (result column -> summed column), the sum over all rows before it.
+
+    Sums run inside blocks of 2^``block_bits`` neighbours; only the blocks'
+    totals pass one task."""
+    placed = with_position(df, order, name).withColumn("__block", F.shiftright(name, block_bits))
+    inside = Window.partitionBy("__block").orderBy(name).rowsBetween(Window.unboundedPreceding, -1)
+    across = Window.orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
+    totals = placed.groupBy("__block").agg(*[F.sum(c).alias(f"__{k}") for k, c in sums.items()]).select(
+        "__block", *[F.coalesce(F.sum(f"__{k}").over(across), F.lit(0)).alias(f"__{k}") for k in sums])
+    return placed.join(totals, "__block").select(
+        *df.columns, name, *[(F.coalesce(F.sum(c).over(inside), F.lit(0)) + F.col(f"__{k}")).alias(k)
+                             for k, c in sums.items()])
