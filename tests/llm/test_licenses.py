@@ -3,7 +3,7 @@ import re
 from itertools import combinations
 
 from blotter.llm import queries as Q
-from blotter.llm.licenses import TEMPLATES, Template, align, increasing, scan, scan_licenses
+from blotter.llm.licenses import TELLING, TEMPLATES, Template, align, increasing, scan, scan_licenses
 from fixtures import awkward, frame, text, words
 
 READY = [Template(k, t, 0.8) for k, ts in TEMPLATES.items() for t in ts]
@@ -41,8 +41,9 @@ def test_every_template_is_found_whole_and_changed():
             assert [(g[0], g[1]) for g in got] == [(name, 1.0)], (name, got)
             w = t.split()
             if len(w) > 30:  # a tenth of the words replaced
-                # Version numbers stay: they tell some templates apart.
-                plain = [i for i, x in enumerate(w) if not re.search(r"\d", x)]
+                # Words and numbers stay that tell licenses of one wording apart.
+                plain = [i for i, x in enumerate(w) if not re.search(r"\d", x)
+                         and TELLING.isdisjoint(re.findall(r"\w+", x.lower()))]
                 for i in r.sample(plain, len(w) // 10):
                     w[i] = "zzz"
                 got = found(text(50, 1) + "\n" + "\n".join(w))
@@ -62,6 +63,29 @@ def test_key_words_cannot_miss_a_match():
         assert sum(t.words.count(w) for w in t.keys) > missing
 
 
+def test_licenses_of_one_family_are_told_apart():
+    for notice, name in [
+            ("This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.", "CC-BY-NC-4.0"),
+            ("Creative Commons Attribution-NonCommercial 4.0 International", "CC-BY-NC-4.0"), ("Licensed under CC BY-ND 4.0", "CC-BY-ND-4.0"),
+            ("Licensed under CC BY 3.0", "CC-BY-3.0"), ("Released under the BSD License.", "BSD"),
+            ("Released under the BSD 3-Clause License.", "BSD-3-Clause"), ("Released under the X11 License.", None),
+            ("This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+             "General Public License as published by the Free Software Foundation; either version 3 of the License, or "
+             "(at your option) any later version.", "LGPL-3.0"),
+            ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero "
+             "General Public License as published by the Free Software Foundation, either version 3 of the License, or "
+             "(at your option) any later version.", "AGPL-3.0"),
+            ("This work is licensed under the GNU Lesser General Public License, version 2.1.", "LGPL-2.1"),
+            ("SPDX-License-Identifier: Apache-2.0", "Apache-2.0"), ("# SPDX-License-Identifier: MIT OR Apache-2.0\nx", "MIT OR Apache-2.0")]:
+        got = [g[0] for g in found(f"{text(20, 1)}\n{notice}\n{text(20, 2)}")]
+        assert got == ([name] if name else []), (notice, got)
+
+
+def test_bsd_texts_by_their_clauses():
+    two, three = TEMPLATES["BSD-2-Clause"][1], TEMPLATES["BSD-3-Clause"][1]
+    assert [g[0] for g in found(two)] == ["BSD-2-Clause"] and [g[0] for g in found(three)] == ["BSD-3-Clause"]
+
+
 def test_plain_texts_have_none():
     assert found(text(3000, 5)) == []
     assert found("The license of the driver was under the seat of this version of the car, by the public road.") == []
