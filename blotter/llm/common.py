@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -15,34 +16,30 @@ WHITE = " \t\n\x0b\x0c\r"
 #: The same as a Java pattern for one word.
 WORD = r"[^\x20\x09-\x0D]+"
 
-#: Scratch tables of the scope at hand, see ``scratch_scope``.
-_scope: list[str] | None = None
 
-
-def cut(df: DataFrame, name: str) -> DataFrame:
+def cut(df: DataFrame, name: str, into: list[str] | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     The written table is the new start of the lineage: a lost executor costs
     only tasks that run after it, and ids made before it never change. Tables
-    stay as long as the shared folder keeps them, or until ``drop_tables``.
+    stay as long as the shared folder keeps them; the path of one that is to go
+    earlier is added to ``into``, for ``drop_tables``.
     """
     spark = df.sparkSession
     path = scratch_path(spark, "llm", name)
     df.write.parquet(path)
-    if _scope is not None:
-        _scope.append(path)
+    if into is not None:
+        into.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-@contextmanager
-def scratch_scope() -> Iterator[list[str]]:
-    """Collects the paths of the tables that ``cut`` writes inside."""
-    global _scope
-    outer, _scope = _scope, []
-    try:
-        yield _scope
-    finally:
-        _scope = outer
+def release_shuffles(spark: SparkSession) -> None:
+    """Let go of the shuffle files of finished jobs. Spark deletes them when the
+    driver's JVM collects the plans that made them, which a driver with little
+    to do puts off for long; between steps that shuffle a good part of the
+    corpus each, waiting for that doubles the disk needed."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def drop_tables(spark: SparkSession, paths: list[str]) -> None:

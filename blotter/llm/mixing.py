@@ -11,10 +11,12 @@ hashed order; when they are used up, the next pass starts again.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, running_total, with_small_side, word_count
+from blotter.operators.position import with_position, with_running_sums
+
+from .common import bounded_side, cut, running_total, word_count
 
 #: Words in a block.
 BLOCK = 256
@@ -24,7 +26,8 @@ RUN = 1 << 14
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5,
                    most: int = 2) -> DataFrame:
-    """``source, source_size, target`` from ``sizes(source, source_size)``.
+    """``source, source_size, target, source_at`` (place by code point) from
+    ``sizes(source, source_size)``.
 
     The mix has ``share`` times all words. Sources by code point (null last)
     weigh ``weights`` in turn; none gets more than ``most`` times its size, and
@@ -34,19 +37,20 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share
     stays below its room are capped, the others share the rest by weight. The
     frame has one row per source.
     """
-    rank = F.row_number().over(Window.orderBy(F.col("source").isNull(), "source"))
     w = F.array(*[F.lit(float(x)) for x in weights])
-    rows = sizes.withColumn("weight", F.element_at(w, (F.pmod(rank - 1, F.lit(len(weights))) + 1).cast("int"))) \
+    placed = with_position(sizes.select("source", "source_size"), [F.col("source").isNull(), F.col("source")], "source_at")
+    rows = placed.withColumn("weight", F.element_at(w, (F.col("source_at") % len(weights) + 1).cast("int"))) \
         .withColumn("cap", F.col("source_size") * F.lit(float(most)))
     rows = cut(rows.withColumn("room", F.col("cap") / F.col("weight")), "weights")
-    total = (rows.agg(F.sum("source_size")).first()[0] or 0) * share
-    by_room = Window.orderBy("room", F.col("source").isNull(), "source")
-    capped = F.coalesce(F.sum("cap").over(by_room.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
-    others = F.sum("weight").over(by_room.rowsBetween(Window.currentRow, Window.unboundedFollowing))
-    levels = rows.select("room", ((F.lit(float(total)) - capped) / others).alias("level")).filter("level < room")
+    words, all_weights = rows.agg(F.sum("source_size"), F.sum("weight")).first()
+    total = (words or 0) * share
+    by_room = with_running_sums(rows.select("room", "source_at", "cap", "weight"), [F.col("room"), F.col("source_at")],
+                                {"capped": "cap", "passed": "weight"})
+    level = (F.lit(float(total)) - F.col("capped")) / (F.lit(all_weights) - F.col("passed"))
+    levels = by_room.select("room", level.alias("level")).filter("level < room")
     level = levels.agg(F.min(F.struct("room", "level"))["level"]).first()[0]
     target = F.col("cap") if level is None else F.least("cap", F.col("weight") * F.lit(float(level)))
-    return rows.select("source", "source_size", target.alias("target"))
+    return rows.select("source", "source_size", target.alias("target"), "source_at")
 
 
 def _reversed_bits(x, bits: int):
@@ -87,18 +91,16 @@ def mix_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # Whole passes over a source, then the words of a last, partial pass.
     target, size = F.floor("target").cast("long"), F.col("source_size")
     last = F.col("last")
-    by_source = Window.orderBy(F.col("source").isNull(), "source")
     plan = (targets.withColumn("passes", F.when(size > 0, F.expr("floor(target) div source_size")).otherwise(F.lit(0)))
             .withColumn("last", F.when(size > 0, target - F.col("passes") * size).otherwise(F.lit(0)))
             .withColumn("blocks", F.ceil(size / F.lit(block)).cast("long"))
             .withColumn("quota", F.col("passes") * F.col("blocks") + F.ceil(last / F.lit(block)).cast("long"))
-            .withColumn("source_no", F.row_number().over(by_source).cast("int")))
-    before = Window.orderBy("source_no").rowsBetween(Window.unboundedPreceding, -1)
-    plan = cut(plan.withColumn("start", F.coalesce(F.sum("quota").over(before), F.lit(0))), "plan")
+            .withColumn("source_no", (F.col("source_at") + 1).cast("int")).drop("source_at"))
+    plan = cut(with_running_sums(plan, [F.col("source_no")], {"start": "quota"}).drop("position"), "plan")
     slots_in_all = plan.agg(F.sum("quota")).first()[0] or 0
     bits = max(1, (slots_in_all - 1).bit_length()) if slots_in_all else 1
 
-    small = with_small_side(plan.select("source", "source_no", "source_size", "target"), 100_000)
+    small = bounded_side(plan.select("source", "source_no", "source_size", "target"))
     same = F.col("r.source").eqNullSafe(F.col("p.source"))
     known = rows.alias("r").join(small.alias("p"), same).select(
         "row", "doc_id", "r.source", "size", "source_size", "target", "source_no", "text_hash")
@@ -124,7 +126,9 @@ def mix_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ranked = running_total(slots, "source_no", ["order"], F.lit(1).cast("long"), "rank")
     taken = ranked.select("source_no", "slot", "passes", "last", F.expr("rank div blocks").alias("pass"),
                           F.expr("rank % blocks").alias("block"))
-    pieces = taken.join(parts, ["source_no", "block"])
+    # Both sides grow with the documents: a merge join, whatever Spark's own
+    # estimate says.
+    pieces = taken.join(parts.hint("merge"), ["source_no", "block"])
     end = F.when(F.col("pass") == F.col("passes"), F.least("to_word", last - F.col("at"))).otherwise(F.col("to_word"))
     pieces = pieces.select("slot", "source_no", "pass", "row", "from_word", end.alias("to_word")).filter(
         "to_word > from_word")
@@ -136,5 +140,5 @@ def mix_sources(docs: DataFrame, **options) -> DataFrame:
     mix of ``mix_blocks`` takes of it, repeats counted."""
     rows, pieces = mix_blocks(docs, **options)
     taken = pieces.groupBy("row").agg(F.sum(F.col("to_word") - F.col("from_word")).alias("taken"))
-    return rows.join(taken, "row", "left").select(
+    return rows.join(taken.hint("merge"), "row", "left").select(
         "row", "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
