@@ -117,4 +117,5 @@ def incident_findings(states: DataFrame) -> DataFrame:
                         F.col("value").cast("double").alias("value"), "z_score", "is_anomaly")
     for p in parts:
         out = out.unionByName(p)
-    return out
+    # A score that rounds to zero has no sign.
+    return out.withColumn("z_score", F.when(F.col("z_score") == 0, 0.0).otherwise(F.col("z_score")))

@@ -116,7 +116,7 @@ def load_raw(store: TableStore, batch: DataFrame, change_cols: list[str] | None
     if change_cols is None:
         change_cols = [c for c in batch.columns if c not in RAW_KEY + ["dl_upd", LOAD_SEQ]]
     parts = store.touched(landed, RAW, RAW_TABLE)
-    current = _touched_rows(store, RAW, RAW_TABLE, parts)
+    current = _rows_in(store, RAW, RAW_TABLE, parts)
     merged = merge_upsert(sync_columns(current, landed), landed, RAW_KEY, change_cols=change_cols,
                           source_rows=n, insert_partitioning=(store.live_buckets(RAW, RAW_TABLE), RAW_KEY),
                           with_action=True)
@@ -129,17 +129,22 @@ def load_raw(store: TableStore, batch: DataFrame, change_cols: list[str] | None
                             metrics=actions, drop=("_action",), parts=parts)
 
 
-def _touched_rows(store: TableStore, schema: str, name: str, parts: list[int]) -> DataFrame:
+def _rows_in(store: TableStore, schema: str, name: str, parts: list[int]) -> DataFrame:
     """Rows of a live table in some partitions: a partition filter, so no other
     file is read."""
     return store.read_live(schema, name).filter(F.col(PART).isin(parts)).drop(PART)
 
 
+def _touched_rows(store: TableStore, schema: str, name: str, increment: DataFrame) -> DataFrame:
+    """Rows of a live table in the partitions that ``increment`` falls into."""
+    return _rows_in(store, schema, name, store.touched(increment, schema, name))
+
+
 def loads_after(store: TableStore, watermark: int, upto: int) -> DataFrame:
     """Staged rows of the loads after ``watermark`` up to ``upto``: typed once
     and written, from the partitions that those loads have touched."""
     parts = store.parts_since(RAW, RAW_TABLE, watermark)
-    raw = store.read(RAW, RAW_TABLE) if parts is None else _touched_rows(store, RAW, RAW_TABLE, parts)
+    raw = store.read(RAW, RAW_TABLE) if parts is None else _rows_in(store, RAW, RAW_TABLE, parts)
     fresh = raw.filter((F.col(LOAD_SEQ) > watermark) & (F.col(LOAD_SEQ) <= upto))
     return staged(stg_incidents(fresh), "loads")[0]
 
@@ -189,7 +194,7 @@ def _merge_live(store: TableStore, name: str, inc: DataFrame, keys: list[str],
         return store.write_live(inc, CORE, name, CO_KEY, watermark)
     n = store.rows(INCREMENTS, name)
     parts = store.touched(inc, CORE, name)
-    current = _touched_rows(store, CORE, name, parts)
+    current = _rows_in(store, CORE, name, parts)
     merged = merge_upsert(sync_columns(current, inc), inc, keys, update_cols=update_cols,
                           check_unique=False, source_rows=n,
                           insert_partitioning=(store.live_buckets(CORE, name), CO_KEY))

@@ -517,7 +517,8 @@ SELECT CAST(ts AS DATE) AS bucket, max(gap) AS value FROM (
   FROM (SELECT DISTINCT dl_upd AS ts FROM raw_final WHERE dl_upd IS NOT NULL))
 WHERE gap IS NOT NULL GROUP BY 1""")[len("WITH "):])
     stg_moved = f"stg AS ({STG_SELECT.format(src='raw_moved', extra='')})"
-    found = ("SELECT {what}, bucket, CAST(value AS DOUBLE) AS value, z_score, coalesce(is_anomaly, false) AS is_anomaly "
+    found = ("SELECT {what}, bucket, CAST(value AS DOUBLE) AS value, "
+             "CASE WHEN z_score = 0 THEN 0.0 ELSE z_score END AS z_score, coalesce(is_anomaly, false) AS is_anomaly "
              "FROM ({z})")
     volume = z_sql("""
 SELECT CAST(g.d AS DATE) AS bucket, CAST(coalesce(c.n, 0) AS BIGINT) AS value
