@@ -176,7 +176,9 @@ def within(radius: int) -> Near:
 
 def linked_components(members: DataFrame, radius: int) -> DataFrame:
     """``(node, component)`` of every node with a link: nodes of one bucket are
-    linked when at most ``radius`` of their 64 bits differ."""
+    linked when at most ``radius`` of their 64 bits differ. Nodes are distinct
+    fingerprints and not null; repeated rows add nothing; without rows there is
+    no link and no row."""
     order = ["table", "key", "node"]
     walked = cut(members.select(*order).repartitionByRange(*order).sortWithinPartitions(*order)
                  .mapInArrow(_walk(radius), "kind int, table int, a long, b long"), "walked")
@@ -193,7 +195,9 @@ def joined_buckets(open_rows: DataFrame, first: DataFrame, near: Near,
     two lists of nodes with their payloads, if ``payload(node, payload)`` is
     given, and says which pairs are linked (it may leave out a pair that meets
     in an earlier table). Pairs exist inside a task only: it reports one
-    link for two components."""
+    link for two components. Repeated rows count once, nulls are not allowed; a
+    bucket of any size is compared stretch by stretch; without rows, or without
+    a bucket that spans components, the result is ``first``."""
     spark = open_rows.sparkSession
     first = cut(first, "first_components")
     rows = cut(open_rows.distinct().join(first, "node", "left")

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .buckets import joined_buckets
-from .common import arrow_batches, cut, with_small_side
+from .common import arrow_batches, cut, drop_tables, release_shuffles, with_small_side
 from .graph import connected_components
 
 SHINGLE, SIMILARITY = 5, 0.8
@@ -187,8 +187,13 @@ def find_units(docs: DataFrame) -> DataFrame:
             for at, group in _groups(texts):
                 u = Units(group)
                 take = pa.array(u.owner + at)
-                keys = u.bands.ravel()
-                none = ~u.is_paragraph
+                # Copies of a paragraph share its bands: one of a group is enough.
+                lines = np.flatnonzero(u.is_paragraph)
+                once = np.zeros(len(lines), bool)
+                once[np.unique(u.digest[lines], return_index=True)[1]] = True
+                none = np.ones(len(u.digest), bool)
+                none[lines[once]] = False
+                keys = u.bands[once].ravel()
                 counts = np.where(none, 0, BANDS)
                 bands = pa.ListArray.from_arrays(
                     pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), pa.array(keys))
@@ -304,50 +309,58 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                        F.col(text_col).alias("text"))
     with arrow_batches(spark, 1000):
         units = cut(find_units(base).withColumn("unit", F.monotonically_increasing_id()), "units")
-    place = F.struct("unit", "row", "first_word", "n_words")
-    classes = cut(units.groupBy("digest").agg(
-        F.count("*").alias("n"), F.min(place).alias("first"), F.max("row").alias("hi"),
-        F.max(F.size("bands") > 0).alias("paragraph")).filter("n > 1 OR paragraph"), "classes")
-
-    # Candidates: every class with the smallest class of each of its bands.
-    paragraphs = units.filter(F.size("bands") > 0).select("digest", "bands")
-    members = paragraphs.select(F.col("digest").alias("node"), F.posexplode("bands").alias("table", "key"))
-    heads = cut(members.groupBy("table", "key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
-                .filter("lo < hi").select("table", "key", "lo"), "heads")
-    meeting = cut(members.join(heads, ["table", "key"]).select("table", "key", "node", "lo")
-                  .distinct(), "meeting")
-    words = _words_of(base, _band_keys(meeting))
+    # Nearly all passages occur once: only digests are counted here, and places
+    # are brought together once it is known which classes are needed.
+    repeats = cut(units.groupBy("digest").count().filter("count > 1").select("digest"), "repeats")
+    release_shuffles(spark)
+
+    # Candidates: every class with the smallest class of each of its bands. Both
+    # uses of a band's classes read one exchange.
+    done: list[str] = []
+    members = units.filter(F.size("bands") > 0).select(
+        F.col("digest").alias("node"), F.posexplode("bands").alias("table", "key")).repartition("table", "key")
+    heads = members.groupBy("table", "key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")) \
+        .filter("lo < hi").select("table", "key", "lo")
+    meeting = cut(members.join(heads, ["table", "key"]).select("table", "key", "node", "lo").distinct(), "meeting", done)
+    release_shuffles(spark)
+    words = _words_of(base, _band_keys(meeting), done)
+    release_shuffles(spark)
     pairs = meeting.filter("node <> lo").select(F.col("lo").alias("a"), F.col("node").alias("b")).distinct()
     x = words.select(F.col("digest").alias("a"), F.col("words").alias("x"))
     y = words.select(F.col("digest").alias("b"), F.col("words").alias("y"))
     with arrow_batches(spark, 2000):
         links = cut(pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y")
-                    .mapInArrow(_similar(similarity), "a long, b long"), "similar")
+                    .mapInArrow(_similar(similarity), "a long, b long"), "similar", done)
+    release_shuffles(spark)
     # Then what a bucket still holds in different components, all against all.
-    clusters = joined_buckets(meeting.select("table", "key", "node"), connected_components(links),
-                              jaccard_near(similarity),
-                              words.select(F.col("digest").alias("node"),
-                                           F.concat("keys", "words").alias("payload")))
-
-    known = classes.join(clusters.withColumnRenamed("node", "digest"), "digest", "left").filter(
-        "n > 1 OR component IS NOT NULL").withColumn("component", F.coalesce("component", "digest"))
-    own = F.lit(False) if own_words is None else F.col("paragraph") & (F.col("first.n_words") >= own_words)
-    known = cut(known.select("digest", "component", "first", "hi", own.alias("own")), "repeated")
-    keepers = known.groupBy("component").agg(F.min("first").alias("keep"), F.max("hi").alias("hi"),
-                                             F.max("own").alias("own")).withColumn("wide", F.expr("keep.row < hi"))
+    clusters = cut(joined_buckets(meeting.select("table", "key", "node"), connected_components(links),
+                                  jaccard_near(similarity),
+                                  words.select(F.col("digest").alias("node"),
+                                               F.concat("keys", "words").alias("payload"))), "clusters")
+    drop_tables(spark, done)
+    release_shuffles(spark)
+
+    wanted = cut(repeats.join(clusters.withColumnRenamed("node", "digest"), "digest", "full_outer")
+                 .withColumn("component", F.coalesce("component", "digest")), "wanted_classes")
+    own = F.lit(False) if own_words is None else (F.size("bands") > 0) & (F.col("n_words") >= own_words)
+    places = cut(units.select("unit", "row", "doc_id", "digest", "first_word", "n_words", own.alias("own"))
+                 .join(wanted, "digest").drop("digest"), "places")
+    keepers = places.groupBy("component").agg(
+        F.min(F.struct("unit", "row", "first_word", "n_words")).alias("keep"), F.max("row").alias("hi"),
+        F.max("own").alias("own")).withColumn("wide", F.expr("keep.row < hi"))
     if across:
         keepers = keepers.filter("wide OR own")
-    known = cut(known.join(keepers.drop("hi", "own"), "component").select("digest", "component", "keep", "wide"),
-                "repeated_keepers")
+    keepers = cut(keepers.select("component", "keep", "wide"), "keepers")
+    release_shuffles(spark)
     # A paragraph and its longest line may be similar: what shares words with
     # the first unit is no second copy of it.
     copies = F.expr("unit = keep.unit OR NOT (row = keep.row AND first_word < keep.first_word + keep.n_words"
                     " AND first_word + n_words > keep.first_word)")
     kept = F.expr("unit = keep.unit")
-    places = units.drop("bands")
-    repeated = places.join(known.filter("wide"), "digest").filter(copies).withColumn("kept", kept)
+    places = places.drop("own")
+    repeated = places.join(keepers.filter("wide"), "component").filter(copies).withColumn("kept", kept)
     if own_words is not None or not across:
-        alone = cut(places.join(known.filter("NOT wide"), "digest").filter(copies).withColumn("kept", kept),
+        alone = cut(places.join(keepers.filter("NOT wide"), "component").filter(copies).withColumn("kept", kept),
                     "one_document")
         removed = alone.filter("NOT kept").select("component").distinct()
         repeated = repeated.unionByName(alone.join(removed, "component", "left_semi"))
@@ -374,9 +387,9 @@ def _band_keys(meeting: DataFrame) -> DataFrame:
     return rows.select("digest", F.concat(*keys).alias("keys"))
 
 
-def _words_of(base: DataFrame, wanted: DataFrame) -> DataFrame:
+def _words_of(base: DataFrame, wanted: DataFrame, done: list[str]) -> DataFrame:
     """``digest, words, keys`` of the paragraphs of ``wanted(digest, keys)``."""
-    wanted = cut(wanted, "wanted")
+    wanted = cut(wanted, "wanted", done)
     with arrow_batches(base.sparkSession, 1000):
         return cut(paragraph_words(base.select("text")).join(with_small_side(wanted), "digest")
-                   .dropDuplicates(["digest"]), "paragraph_words")
+                   .dropDuplicates(["digest"]), "paragraph_words", done)

@@ -214,7 +214,12 @@ def held_out(doc_id) -> F.Column:
 def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 max_per_class: int = 1000, max_bytes: int = 20_000) -> Network:
     """Train on at most ``max_per_class`` labelled rows of each class, chosen by
-    a hash of their ids among texts of at most ``max_bytes`` bytes."""
+    a hash of their ids among texts of at most ``max_bytes`` bytes. Labels
+    without an id are left out, of several labels of an id the lower counts;
+    rows that repeat an id are rows of their own; null texts count as empty;
+    longer texts are scored like all others but not trained on. Without rows of
+    both classes, as in an empty table, the network answers the share of label
+    1. Other columns are not read."""
     spark = docs.sparkSession
     rows = (labels.filter("quality IN (0, 1) AND doc_id IS NOT NULL")
             .select("doc_id", F.col("quality").cast("int").alias("quality"))

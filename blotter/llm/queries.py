@@ -19,13 +19,15 @@ from .lm_score import lm_score
 from .merkle import build_manifest, folded_root, leaf_digest, prove
 from .mixing import mix_sources
 from .packing import pack
-from .paragraphs import substring_dedup
+from .paragraphs import SHINGLE, substring_dedup
 from .quality import fit_quality, held_out, score_quality
 from .simhash import simhash_dedup
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring_dedup(read(spark, sf_dir, "documents"), own_words=50).select(
+    """Every repeated span of five or more words, also inside one document;
+    ``n_words`` is its length."""
+    return substring_dedup(read(spark, sf_dir, "documents"), min_span=SHINGLE, across=False).select(
         "doc_id", "first_word", "n_words", "component_id", "n_units", "kept")
 
 

@@ -1,6 +1,13 @@
 """Stages of the corpus pipeline. Each takes (spark, docs, sf_dir), calls one
 operator on all of ``docs`` and applies its decisions. All but the last return
-the columns of ``docs``."""
+the columns of ``docs``.
+
+For every stage: a null text counts as empty; ids may be null or repeat, since
+decisions come back by a key of id, text and source; equal rows stand for each
+other, as many stay as the operator keeps; texts of any length are used whole
+(keys hold a digest); ties go as the operator says; columns that the operators
+use inside may exist in ``docs`` under any name; an empty table gives an empty
+result with the same columns."""
 
 from __future__ import annotations
 
@@ -48,13 +55,15 @@ def _one_of_each(docs: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier rejects go."""
+    """Documents that the classifier rejects go. Null and empty texts are scored
+    like any other text; equal texts have equal scores."""
     net = fit_quality(docs, read(spark, sf_dir, "labels"))
     return docs.filter(quality_score(net, F.col("text")) >= THRESHOLD)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts, the longest, then the one with the smallest id stays."""
+    """Of equal texts, the longest, then the one with the smallest id stays (null
+    ids last, then the smallest digest). All texts without words are equal."""
     key = _fresh(docs, "_key")
     keyed = docs.withColumn(key, _key())
     found = cut(exact_dedup(keyed, id_col=key).select(F.col("doc_id").alias(key), "keep_id"), "exact_decisions")
@@ -63,7 +72,9 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of linked documents, the one with the smallest id stays."""
+    """Of linked documents, the one with the smallest id stays (null ids last,
+    then the smallest digest). Texts without words have fingerprint zero and
+    link with each other."""
     key = _fresh(docs, "_key")
     keyed = docs.withColumn(key, _key())
     found = cut(simhash_dedup(keyed, id_col=key).select(F.col("doc_id").alias(key), "component_id"),
@@ -75,7 +86,8 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row for each pass in which the mix takes words of a document: the
     whole document, or its first words where a source's target ends inside.
-    Documents that are not taken go."""
+    Documents that are not taken go, those without words among them; a null
+    source is a source of its own."""
     key = _fresh(docs, "_key")
     keyed = docs.withColumn(key, _key())
     rows, pieces = mix_blocks(keyed, id_col=key)
@@ -96,7 +108,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token-budget batches of sequences."""
+    """Token-budget batches of sequences. Documents without words have none."""
     return pack(docs)
 
 
