@@ -157,7 +157,11 @@ def main_text(page: str | None) -> str:
     zoned = any(inside and not gone for _, _, inside, gone in found)
     stops = [sum(w.strip(".,;:!?\"'()").lower() in STOP_WORDS for w in t.split()) / (t.count(" ") + 1)
              for t, *_ in found]
-    any_stops = any(s > 0 and not b[3] for s, b in zip(stops, found))
+    # Stop words decide only where the page's long plain blocks are mostly in a
+    # language with listed ones; a few hits in a footer do not count.
+    plain = [(len(t), s) for (t, link, _, gone), s in zip(found, stops)
+             if not gone and link <= LINK_SHARE and len(t) >= LONG]
+    covered = 2 * sum(n for n, s in plain if s >= STOP_SHARE) >= sum(n for n, _ in plain)
 
     # Pass one: what a block's own features decide.
     labels: list[int | None] = []
@@ -167,9 +171,8 @@ def main_text(page: str | None) -> str:
         elif link > LINK_SHARE:
             labels.append(UNSURE if zoned else BAD)
         elif len(text) >= LONG:
-            # Inside a marked article nothing but linked lists is left out;
-            # a page in a language without listed stop words has none at all.
-            labels.append(GOOD if zoned or stop >= STOP_SHARE or not any_stops else BAD)
+            # Inside a marked article nothing but linked lists is left out.
+            labels.append(GOOD if zoned or stop >= STOP_SHARE or not covered else BAD)
         else:
             labels.append(UNSURE)
     run: list[int] = []

@@ -101,3 +101,18 @@ def test_query_against_a_plain_reading_of_the_test_pages(spark, sf_small):
                 for x in re.split(r"</?(?:p|h1|article)>", inside)]
         assert r.text == "\n".join(x for x in want if x)
         assert r.n_chars == len(r.text)
+
+
+def test_a_language_without_listed_words_is_not_lost_to_a_footer():
+    body = "<p>Съешь же ещё этих мягких французских булок, да выпей чаю, и ещё раз то же самое до конца абзаца.</p>"
+    page = f"<body><div>{body * 4}</div><div>All rights reserved in the whole of the world.</div></body>"
+    assert main_text(page).count("Съешь") == 4
+    page = f"<body><div>{body * 4}</div><div>{'The rights to this text are with the owner of the site. ' * 2}</div></body>"
+    assert main_text(page).count("Съешь") == 4
+
+
+def test_stop_words_decide_on_a_page_of_prose_without_an_article_tag():
+    prose = "<p>It was the best of the times and it was the worst of the times, as they said in that year of the war.</p>"
+    spam = "<p>" + "Cheap watches buy now replica rolex discount offer today only click order fast shipping worldwide " * 2 + "</p>"
+    got = main_text(f"<body><div>{prose * 5}{spam}</div></body>")
+    assert got.count("best of the times") == 5 and "replica" not in got
