@@ -30,14 +30,19 @@ def fits_broadcast(rows: int, schema: T.StructType, max_rows: int = DEFAULT_BROA
     return rows <= max_rows and rows * row_width(schema) <= max_bytes
 
 
-def staged(df: DataFrame, name: str = "staged") -> tuple[DataFrame, int]:
+def written(df: DataFrame, name: str = "written") -> DataFrame:
     """Write ``df`` to the shared scratch folder once; return the frame read
-    back and its row count. Plans that need a source's size and read it several
-    times work on the staged copy, so the source itself runs once. The count
-    comes from the written files' footers."""
+    back."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def staged(df: DataFrame, name: str = "staged") -> tuple[DataFrame, int]:
+    """``written`` and its row count. Plans that need a source's size and read
+    it several times work on the staged copy, so the source itself runs once.
+    The count comes from the written files' footers."""
+    back = written(df, name)
     return back, back.count()
 
 

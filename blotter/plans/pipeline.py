@@ -23,7 +23,7 @@ from blotter.operators.merge import (assert_unique_keys, broadcast_merge, merge_
 from blotter.plans import reports as R
 from blotter.plans.deltas import ReportDeltas
 from blotter.plans.bridges import bridge_crime_code, bridge_mocode
-from blotter.operators.joins import staged
+from blotter.operators.joins import written
 from blotter.plans.dims import (CODE_DIMS, DATE_END, DATE_START, LOCATION_CHECK_COLS, code_dim,
                                 code_labels, from_labels, dim_date, dim_mocode, dim_time, dim_victim,
                                 location_incoming, newer_only)
@@ -146,7 +146,7 @@ def loads_after(store: TableStore, watermark: int, upto: int) -> DataFrame:
     parts = store.parts_since(RAW, RAW_TABLE, watermark)
     raw = store.read(RAW, RAW_TABLE) if parts is None else _rows_in(store, RAW, RAW_TABLE, parts)
     fresh = raw.filter((F.col(LOAD_SEQ) > watermark) & (F.col(LOAD_SEQ) <= upto))
-    return staged(stg_incidents(fresh), "loads")[0]
+    return written(stg_incidents(fresh), "loads")
 
 
 def late_keys(store: TableStore, name: str, watermark) -> DataFrame | None:
@@ -274,7 +274,7 @@ def run_models(spark: SparkSession, store: TableStore, load_ts: str,
 
     def location_model() -> DataFrame:
         return advance_snapshot(store, CORE, "dim_location", location_incoming(fresh("dim_location"), load_ts),
-                                ["id"], LOCATION_CHECK_COLS, load_ts, upto)
+                                ["id"], LOCATION_CHECK_COLS, load_ts, upto, key_covers_checks=True)
 
     # Wave 1: every dimension (independent of each other). Generated and seed
     # tables are full refreshes, code dimensions merge the loads they have not
@@ -315,12 +315,18 @@ def run_models(spark: SparkSession, store: TableStore, load_ts: str,
         keys, updated = LIVE_MODELS[name]
         return _merge_live(store, name, staged_inc[name], keys, updated, upto)
 
-    _run_wave({n: (lambda n=n: stage_increment(n)) for n in LIVE_MODELS}, staged_inc.__setitem__, parallel)
-    deltas = ReportDeltas(store, star, marks, staged_inc, date_range) if with_reports else None
-    if deltas:
+    def advance_live(name: str) -> DataFrame:
+        staged_inc[name] = stage_increment(name)
+        return merge_live(name)
+
+    if not with_reports:
+        _run_wave({n: (lambda n=n: advance_live(n)) for n in LIVE_MODELS}, done, parallel)
+    else:
+        # The reports' old rows are counted between the increments and the merges.
+        _run_wave({n: (lambda n=n: stage_increment(n)) for n in LIVE_MODELS}, staged_inc.__setitem__, parallel)
+        deltas = ReportDeltas(store, star, marks, staged_inc, date_range)
         deltas.before_merge(parallel)
-    _run_wave({n: (lambda n=n: merge_live(n)) for n in LIVE_MODELS}, done, parallel)
-    if deltas:
+        _run_wave({n: (lambda n=n: merge_live(n)) for n in LIVE_MODELS}, done, parallel)
         # Wave 3: the reports, from the counts that the load has changed.
         deltas.after_merge(upto, parallel)
 

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from blotter.operators.joins import staged
+from blotter.operators.joins import staged, written
 from blotter.operators.snapshot import VALID_TO, snapshot_check
 from blotter.sources.store import PART, TableStore
 
@@ -29,10 +29,12 @@ def snapshot_part(keys: list[str], ranges: int) -> Column:
 
 
 def advance_snapshot(store: TableStore, schema: str, name: str, incoming: DataFrame, keys: list[str],
-                     check_cols: list[str], load_ts, watermark) -> DataFrame:
+                     check_cols: list[str], load_ts, watermark, key_covers_checks: bool = False) -> DataFrame:
     """Apply one snapshot run of ``incoming`` (one row per key; see
     ``snapshot_check``) to the snapshot table ``name``, made if there is none.
-    A run that was interrupted is run again with the same rows and stamp."""
+    A run that was interrupted is run again with the same rows and stamp. Where
+    the key is made of the compared columns (``key_covers_checks``) no version is
+    ever closed, so none is looked for."""
     known = store.meta(schema, name)
     ranges = int((known or {}).get("hash_parts") or store.hash_parts)
     part = snapshot_part(keys, ranges)
@@ -44,7 +46,9 @@ def advance_snapshot(store: TableStore, schema: str, name: str, incoming: DataFr
     table = store.read_live(schema, name)
     compared = snapshot_check(table.filter(F.col(PART).isin(touched)).drop(PART), incoming, keys, check_cols,
                               load_ts, incoming_rows=n)
-    versions, _ = staged(compared, f"{name}_versions")
+    if key_covers_checks:
+        return store.write_live(compared, schema, name, [], watermark, part=part, parts=sorted(touched))
+    versions = written(compared, f"{name}_versions")
     closing = versions.filter(F.col(VALID_TO).isNotNull())
     closed = [r[0] for r in closing.select(part).distinct().collect()]
     if closed:
