@@ -18,8 +18,8 @@ def brute(rows, labels):
                "C": 100 * len(re.findall("[A-Z]", t)) > 2 * len(t), "D": bool(re.search(r"[#$%&*|]", t)),
                "E": i is not None and any(j is not None and j < i and u == t for j, u, _ in texts)}
         fails.append({f for f, bad in own.items() if bad})
-    good = {d for d, q, _ in labels if q == 1}
-    toxic = {d for d, _, x in labels if x == 1}
+    good = {d for d, q, _ in labels if q == 1 and d is not None}  # a row without an id has no label
+    toxic = {d for d, _, x in labels if x == 1 and d is not None}
     out, shapley = {}, {}
     for part in {s for *_, s in texts}:
         own = [(i, f) for (i, _, s), f in zip(texts, fails) if s == part]
