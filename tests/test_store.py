@@ -186,3 +186,55 @@ def test_row_counts_are_those_of_the_written_rows(spark):
     store = TableStore(spark, scratch_path(spark, "store-rows"))
     store.write(spark.range(1000).repartition(7), "s", "t", sort_within=["id"])
     assert store.rows("s", "t") == 1000
+
+
+def test_layout_follows_the_rows_and_not_the_report_numbers(spark, sf_small):
+    """Report numbers far apart, more shuffle partitions than cores: few files
+    in every live table, the same partitions in all, and the same rows."""
+    import glob
+    from blotter.plans import pipeline as P
+    from blotter.sources.fixture import incident_fixture
+    number = F.col("dr_no").cast("long")
+    fx = incident_fixture(spark, sf_small).filter(number % 7 == 0)
+    far = fx.withColumn("dr_no", (number * 60_000_000).cast("string"))
+    stores = []
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        for name, batch in (("near", fx), ("far", far)):
+            store = TableStore(spark, scratch_path(spark, f"layout-{name}"))
+            P.load_raw(store, batch.filter("area <> '3'"))
+            P.run_models(spark, store, "2024-02-01 00:00:00")
+            P.load_raw(store, batch)
+            stores.append((store, P.run_models(spark, store, "2024-02-02 00:00:00")))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    (_, near_star), (store, far_star) = stores
+    cores = spark.sparkContext.defaultParallelism
+    parts = set()
+    for schema, t in ((P.RAW, P.RAW_TABLE), (P.CORE, "fct_incidents"), (P.CORE, "bridge_crime_code")):
+        path = store._live_path(schema, t).replace("file:", "")
+        parts |= {os.path.basename(p) for p in glob.glob(path + "/dr_part=*")}
+        assert store.layout(schema, t) == store.layout(P.RAW, P.RAW_TABLE)
+        assert len(glob.glob(path + "/dr_part=*/*.parquet")) <= 2 * 5 * min(40, cores), t
+    assert 1 < len(parts) <= 5
+    for t in ("fct_incidents", "bridge_crime_code"):
+        near = near_star.table(t).withColumn("dr_no", F.col("dr_no") * 60_000_000)
+        rows = far_star.table(t)
+        assert rows.count() == near.count() > 0
+        assert rows.exceptAll(near).count() == 0
+
+
+def test_large_merge_shuffles_only_the_source_into_fewer_buckets(spark):
+    """Fewer buckets than shuffle partitions: the target still stays in place."""
+    from blotter.operators.merge import merge_upsert
+    store = TableStore(spark, scratch_path(spark, "few-buckets"), buckets=3)
+    rows = spark.range(300).select("id", F.lit(1).alias("v")).withColumnRenamed("id", "dr_no")
+    target = store.write_live(rows, "s", "f", ["dr_no"], 1)
+    source = spark.range(200, 400).select(F.col("id").alias("dr_no"), F.lit(2).alias("v"))
+    merged = merge_upsert(target, source, ["dr_no"], source_rows=200, broadcast_rows=0,
+                          insert_partitioning=(3, ["dr_no"]))
+    merged.write.format("noop").mode("overwrite").save()
+    plan = merged._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert {(r.v, r["n"]) for r in merged.groupBy("v").agg(F.count("*").alias("n")).collect()} == {(1, 200), (2, 200)}
