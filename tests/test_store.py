@@ -5,8 +5,8 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from blotter.session import scratch_path
-from blotter.sources.store import TableStore
+from blotter.session import conform_session, scratch_path
+from blotter.sources.store import FEW_PARTS, TableStore
 
 
 def test_versions_meta_and_half_written_folders(spark):
@@ -238,3 +238,48 @@ def test_large_merge_shuffles_only_the_source_into_fewer_buckets(spark):
     plan = merged._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert plan.count("Exchange hashpartitioning") == 1
     assert {(r.v, r["n"]) for r in merged.groupBy("v").agg(F.count("*").alias("n")).collect()} == {(1, 200), (2, 200)}
+
+
+def test_session_generates_only_methods_that_the_jvm_compiles(spark):
+    """A session made elsewhere has Spark's own limit, under which the wide
+    projections ran interpreted."""
+    key = "spark.sql.codegen.hugeMethodLimit"
+    spark.conf.set(key, "65535")
+    conform_session(spark)
+    assert int(spark.conf.get(key)) <= 8000
+
+
+def test_layout_counts_ranges_before_widths(spark, monkeypatch):
+    """The widths are counted on the ranges with rows, and come out as counted
+    on the rows: numbers below zero, no numbers and strays included."""
+    store = TableStore(spark, scratch_path(spark, "fit"), buckets=3)
+    for numbers in ([], [None], [-60_000_000, 5, None, 70_000_000], [i * 90_000_000 for i in range(40)],
+                    [7, 7, 3 * 10**15, -(10**12)], [10**18, None, 1]):
+        df = spark.createDataFrame([(None if n is None else str(n),) for n in numbers], "dr_no string")
+        ranges = lambda w: {-1 if n is None else int(n / w) if abs(n) < 2**52 else n // w for n in numbers}
+        wanted = max(FEW_PARTS, 2 * -(-len(numbers) // 10_000_000))
+        width = next(w for w in (50_000_000 << k for k in range(38)) if len(ranges(w)) <= wanted)
+        assert store.fit_layout(df, "dr_no") == (3, width)
+    many = spark.range(1000).select(F.col("id").cast("string").alias("dr_no"))
+    seen = []
+    monkeypatch.setattr(type(many), "first", lambda df, first=type(many).first: seen.append(
+        df._jdf.queryExecution().analyzed().toString()) or first(df))
+    store.fit_layout(many, "dr_no")
+    assert seen[0].count("Aggregate") == 2
+
+
+def test_live_write_sorts_once(spark, monkeypatch):
+    """The writer sorts by partition, bucket and key; no other sort before it."""
+    store = TableStore(spark, scratch_path(spark, "one-sort"), buckets=2, part_width=100)
+    calls = []
+    df = spark.range(300).select((299 - F.col("id")).alias("dr_no"))
+    sort = type(df).sortWithinPartitions
+    monkeypatch.setattr(type(df), "sortWithinPartitions", lambda df, *a, **k: calls.append(a) or sort(df, *a, **k))
+    store.write_live(df, "s", "t", ["dr_no"], 1)
+    assert calls == []
+    files = spark.read.parquet(store.path("s", "t") + "/live").select("dr_no", F.input_file_name().alias("f"),
+                                                                      F.monotonically_increasing_id().alias("at")).collect()
+    per_file = {}
+    for r in sorted(files, key=lambda r: r.at):
+        per_file.setdefault(r.f, []).append(r.dr_no)
+    assert len(per_file) == 6 and all(v == sorted(v) for v in per_file.values())
