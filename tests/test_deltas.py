@@ -202,3 +202,22 @@ def test_positions_are_global_and_skip_nothing(spark):
     want = sorted(((r.k is None, r.k or 0, r.id) for r in df.collect()))
     assert [(r.position, r.id) for r in got] == [(i, w[2]) for i, w in enumerate(want)]
     assert with_position(df.limit(0), [F.col("id")]).count() == 0
+
+
+def test_affected_rows_are_looked_up_once_for_all_reports(spark, sf_small, monkeypatch):
+    """Not once per count: facts and bridge before and after the merge."""
+    looked, affected = [], D.ReportDeltas._affected
+    monkeypatch.setattr(D.ReportDeltas, "_affected", lambda run, name: looked.append(plan(affected(run, name))) or affected(run, name))
+    counted, counts = [], D.ReportDeltas.counts
+    monkeypatch.setattr(D.ReportDeltas, "counts", lambda run, *a: counted.append(plan(counts(run, *a))) or counts(run, *a))
+    monkeypatch.setattr(D, "fits_broadcast", lambda *a: False)
+    store = TableStore(spark, scratch_path(spark, "looked-up"), buckets=3, part_width=100)
+    for stamp, batch in moved_feed(spark, sf_small)[:2]:
+        P.load_raw(store, batch)
+        star = P.run_models(spark, store, stamp, with_reports=True)
+    assert len(looked) == 4 and len(counted) == 15
+    assert all("changed_reports" not in text for text in counted)
+    # The reports go into the table's buckets.
+    assert all("RepartitionByExpression [dr_no" in text and ", 3" in text for text in looked)
+    for name in P.REPORTS:
+        assert content(star.table(name)) == content(star.report(name))
