@@ -240,6 +240,33 @@ def test_large_merge_shuffles_only_the_source_into_fewer_buckets(spark):
     assert {(r.v, r["n"]) for r in merged.groupBy("v").agg(F.count("*").alias("n")).collect()} == {(1, 200), (2, 200)}
 
 
+def test_large_bridge_merge_shuffles_only_the_source(spark, monkeypatch):
+    """Merge keys are more than the bucket's: the target stays in its buckets
+    and the result is written without another exchange."""
+    from blotter.operators import merge as M
+    from blotter.plans import pipeline as P
+    conform_session(spark)
+    store = TableStore(spark, scratch_path(spark, "bridge-merge"), buckets=3)
+    rows = lambda lo, hi, v: spark.range(lo, hi).select(
+        (F.col("id") / 3).cast("long").alias("dr_no"), (F.col("id") % 3).alias("code"), F.lit(v).alias("dlu"))
+    store.write_live(rows(0, 300, 1), P.CORE, "b", ["dr_no"], 1)
+    inc = store.write(rows(200, 400, 2).unionByName(rows(0, 2, 3).withColumn("dr_no", F.lit(None).cast("long"))),
+                      P.INCREMENTS, "b")
+    monkeypatch.setattr(M, "fits_broadcast", lambda *a: False)
+    plans, how = [], []
+    write = TableStore.write_live
+
+    def watched(self, df, *a, **k):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        how.append(k.get("prepartitioned"))
+        return write(self, df, *a, **k)
+
+    monkeypatch.setattr(TableStore, "write_live", watched)
+    out = P._merge_live(store, "b", inc, ["dr_no", "code"], ["dlu"], 2)
+    assert plans[0].count("Exchange hashpartitioning") == 1 and how == [True]
+    assert {(r.dlu, r["n"]) for r in out.groupBy("dlu").agg(F.count("*").alias("n")).collect()} == {(1, 200), (2, 200), (3, 2)}
+
+
 def test_session_generates_only_methods_that_the_jvm_compiles(spark):
     """A session made elsewhere has Spark's own limit, under which the wide
     projections ran interpreted."""
