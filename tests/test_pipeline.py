@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from blotter.plans import pipeline as P
 from blotter.plans.queries import RUN_TS, batch_star, change_feed, full_star
 from blotter.session import scratch_path
-from blotter.sources.fixture import BATCH_STAMPS
+from blotter.sources.fixture import BATCH_STAMPS, incident_fixture
 from blotter.sources.landing import read_incidents_csv, with_load_ts
 from blotter.sources.store import TableStore
 from blotter.streaming.ingest import ingest_available
@@ -67,6 +67,29 @@ def test_fact_build_is_one_stage(spark, sf_small):
     assert "Exchange hashpartitioning" not in plan
 
 
+def test_first_build_deals_out_rows_before_they_get_keys(spark, sf_small, monkeypatch):
+    """Fact and bridges: one exchange into the buckets, below every lookup."""
+    plans = {}
+    write = TableStore.write_live
+
+    def watched(self, df, schema, name, *a, **k):
+        if name in P.LIVE_MODELS:
+            plans[name] = df._jdf.queryExecution().executedPlan().toString().split("\n"), k["prepartitioned"]
+        return write(self, df, schema, name, *a, **k)
+
+    monkeypatch.setattr(TableStore, "write_live", watched)
+    store = TableStore(spark, scratch_path(spark, "dealt"))
+    P.load_raw(store, incident_fixture(spark, sf_small))
+    P.run_models(spark, store, RUN_TS)
+    assert set(plans) == set(P.LIVE_MODELS)
+    for name, (lines, prepartitioned) in plans.items():
+        deal = [i for i, x in enumerate(lines) if "Exchange hashpartitioning" in x]
+        # The streamed side of the joins comes first in the plan.
+        joins = [i for i, x in enumerate(lines) if "BroadcastHashJoin" in x]
+        assert prepartitioned and len(deal) == 1 and joins and joins[0] < deal[0], name
+        assert not any("md5" in x for x in lines[deal[0]:]), name
+
+
 def test_landing_csv_quotes_and_null_tokens(spark):
     d = tempfile.mkdtemp(prefix="landing-")
     header = ",".join(["dr_no", "date_rptd", "date_occ", "time_occ", "area", "area_name", "rpt_dist_no",
