@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, cut
+from .common import arrow_batches, cut, drop_tables, release_shuffles
 from .graph import connected_components
 
 STRETCH = 1024
@@ -197,15 +197,18 @@ def joined_buckets(open_rows: DataFrame, first: DataFrame, near: Near,
     in an earlier table). Pairs exist inside a task only: it reports one
     link for two components. Repeated rows count once, nulls are not allowed; a
     bucket of any size is compared stretch by stretch; without rows, or without
-    a bucket that spans components, the result is ``first``."""
+    a bucket that spans components, the result is ``first``. Payloads stand here
+    once per bucket of their node, so what holds them goes as soon as it was read."""
     spark = open_rows.sparkSession
+    done: list[str] = []
     first = cut(first, "first_components")
     rows = cut(open_rows.distinct().join(first, "node", "left")
-               .select("table", "key", F.coalesce("component", "node").alias("component"), "node"), "open_rows")
+               .select("table", "key", F.coalesce("component", "node").alias("component"), "node"), "open_rows", done)
     mixed = rows.groupBy("table", "key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")) \
         .filter("lo <> hi").select("table", "key")
-    left = cut(rows.join(mixed, ["table", "key"], "left_semi"), "mixed_rows")
+    left = cut(rows.join(mixed, ["table", "key"], "left_semi"), "mixed_rows", done)
     if left.isEmpty():
+        drop_tables(spark, done)
         return first
     left = left.join(payload, "node") if payload is not None else left.withColumn(
         "payload", F.lit(None).cast("binary"))
@@ -214,7 +217,8 @@ def joined_buckets(open_rows: DataFrame, first: DataFrame, near: Near,
             "payload array<binary>")
     with arrow_batches(spark, 2 * STRETCH):
         parts = cut(left.select(*order, "payload").repartitionByRange(*order).sortWithinPartitions(*order)
-                    .mapInArrow(_stretches, kind), "stretches")
+                    .mapInArrow(_stretches, kind), "stretches", done)
+    release_shuffles(spark)
     a, b = parts.alias("a"), parts.alias("b")
     pairs = a.join(b, (F.col("a.table") == F.col("b.table")) & (F.col("a.key") == F.col("b.key"))
                    & (F.struct("a.lo", "a.id") <= F.struct("b.lo", "b.id"))
@@ -223,6 +227,8 @@ def joined_buckets(open_rows: DataFrame, first: DataFrame, near: Near,
                          F.col("b.payload").alias("p"))
     with arrow_batches(spark, 16):
         more = cut(pairs.mapInArrow(_across(near), "a long, b long").distinct(), "more_links")
+    drop_tables(spark, done)
+    release_shuffles(spark)
     merged = connected_components(more)
     top = merged.select(F.col("node").alias("component"), F.col("component").alias("top"))
     # Nodes without a first component are their own.

@@ -242,7 +242,7 @@ def _similar(similarity: float):
                     last, left = a[i], shingle_set(x[i])
                 right = shingle_set(y[i])
                 both = len(left & right)
-                if both >= similarity * (len(left) + len(right) - both):
+                if both >= similarity * (len(left) + len(right) - both) - 1e-6:  # as in jaccard_near
                     good.append(i)
             yield pa.RecordBatch.from_arrays([pa.array([a[i] for i in good], pa.int64()),
                                               pa.array([b[i] for i in good], pa.int64())], ["a", "b"])
@@ -307,11 +307,12 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spark = docs.sparkSession
     base = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"),
                        F.col(text_col).alias("text"))
+    early: list[str] = []
     with arrow_batches(spark, 1000):
-        units = cut(find_units(base).withColumn("unit", F.monotonically_increasing_id()), "units")
+        units = cut(find_units(base).withColumn("unit", F.monotonically_increasing_id()), "units", early)
     # Nearly all passages occur once: only digests are counted here, and places
     # are brought together once it is known which classes are needed.
-    repeats = cut(units.groupBy("digest").count().filter("count > 1").select("digest"), "repeats")
+    repeats = cut(units.groupBy("digest").count().filter("count > 1").select("digest"), "repeats", early)
     release_shuffles(spark)
 
     # Candidates: every class with the smallest class of each of its bands. Both
@@ -332,9 +333,11 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         links = cut(pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y")
                     .mapInArrow(_similar(similarity), "a long, b long"), "similar", done)
     release_shuffles(spark)
-    # Then what a bucket still holds in different components, all against all.
-    clusters = cut(joined_buckets(meeting.select("table", "key", "node"), connected_components(links),
-                                  jaccard_near(similarity),
+    # Then what a bucket still holds in different components, all against all:
+    # but for its smallest class, which has been compared with every other one,
+    # so the many buckets of two need no second look.
+    clusters = cut(joined_buckets(meeting.filter("node <> lo").select("table", "key", "node"),
+                                  connected_components(links), jaccard_near(similarity),
                                   words.select(F.col("digest").alias("node"),
                                                F.concat("keys", "words").alias("payload"))), "clusters")
     drop_tables(spark, done)
@@ -345,6 +348,8 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     own = F.lit(False) if own_words is None else (F.size("bands") > 0) & (F.col("n_words") >= own_words)
     places = cut(units.select("unit", "row", "doc_id", "digest", "first_word", "n_words", own.alias("own"))
                  .join(wanted, "digest").drop("digest"), "places")
+    drop_tables(spark, early)
+    release_shuffles(spark)
     keepers = places.groupBy("component").agg(
         F.min(F.struct("unit", "row", "first_word", "n_words")).alias("keep"), F.max("row").alias("hi"),
         F.max("own").alias("own")).withColumn("wide", F.expr("keep.row < hi"))

@@ -258,3 +258,51 @@ def test_query_against_all_pairs_of_paragraphs(spark, tmp_path):
     removed = sum(g.n_words for g in got if not g.kept)
     firsts = {min(k for k, x in enumerate(group) if x == g) for g in group}
     assert removed == sum(len(split(units[k][1])) for k in range(len(units)) if sizes[group[k]] > 1 and k not in firsts)
+
+
+def test_pairs_with_the_first_of_a_bucket_are_compared_once(spark, monkeypatch):
+    """Half similar lines that share a band with one other line each: the pair
+    has been checked as a candidate and needs no second look."""
+    import blotter.llm.paragraphs as module
+    seen, real = [], module.joined_buckets
+
+    def look(open_rows, *rest):
+        seen.append([(x.table, x.key) for x in open_rows.collect()])
+        return real(open_rows, *rest)
+
+    monkeypatch.setattr(module, "joined_buckets", look)
+    lines = []
+    for k in range(12):
+        w = words(60, k)
+        lines += [" ".join(w), " ".join(w[:45] + words(15, 100 + k))]
+    u = Units([x.encode() for x in lines])
+    assert (u.bands[::2] == u.bands[1::2]).any()
+    substring_dedup(frame(spark, [(i, x, "", "") for i, x in enumerate(lines)])).collect()
+    assert len(seen) == 1 and seen[0] and len(set(seen[0])) == len(seen[0])  # one row of a bucket: no pair
+
+
+def test_scratch_tables_go_after_their_last_reader(spark, monkeypatch):
+    """Units and the payloads of large buckets are most of the disk."""
+    import os
+
+    import blotter.llm.buckets as buckets
+    import blotter.llm.paragraphs as module
+    made, real = {}, module.cut
+
+    def noted(df, name, into=None):
+        out = real(df, name, into)
+        made.setdefault(name, []).extend(f.removeprefix("file://") for f in out.inputFiles())
+        return out
+
+    monkeypatch.setattr(module, "cut", noted)
+    monkeypatch.setattr(buckets, "cut", noted)
+    r, rows = random.Random(9), []
+    for i in range(90):
+        w = words(110, i % 3)
+        for _ in range(r.randint(0, 6)):
+            w[r.randrange(5, 105)] = f"edit{r.randrange(10 ** 6)}"
+        rows.append((i, " ".join(w), "", ""))
+    assert len(substring_dedup(frame(spark, rows)).collect()) > 3
+    for name in ("units", "repeats", "open_rows", "mixed_rows", "stretches"):
+        assert made[name] and not [f for f in made[name] if os.path.exists(f)], name
+    assert all(os.path.exists(f) for f in made["places"])
